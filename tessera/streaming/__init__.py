@@ -1,0 +1 @@
+"""Trace logs as they are appended."""

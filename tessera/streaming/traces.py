@@ -1,0 +1,11 @@
+"""A trace folder as a stream: the same lines, schema and column operators as in batch."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.sources.traces import TRACE_SCHEMA
+
+
+def stream_trace(spark: SparkSession, path: str, schema: str = TRACE_SCHEMA) -> DataFrame:
+    return spark.readStream.schema(schema).json(path)
