@@ -116,23 +116,25 @@ def _mappings(triples: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def subclass_edges(triples: DataFrame) -> DataFrame:
     """Direct (child, parent) pairs; a concept is not counted as its own parent."""
     edges = triples.where(F.col("p") == t.SUBCLASS_OF).select(F.col("s").alias("child"), F.col("o").alias("parent"))
-    return edges.where(F.col("child") != F.col("parent")).distinct()
+    return edges.where(F.col("child") != F.col("parent"))
 
 
 def _inner_edges(edges: DataFrame) -> DataFrame:
     """Edges whose child has children itself: what is left once the leaves are set aside."""
     parents = edges.select(F.col("parent").alias("child")).distinct()
-    return edges.join(parents, "child", "left_semi")
+    return materialise(edges.join(parents, "child", "left_semi").distinct(), "inner-edges")
 
 
-def closure(edges: DataFrame) -> DataFrame:
+def closure(edges: DataFrame, ancestors: DataFrame | None = None) -> DataFrame:
     """All (child, ancestor, depth) pairs with the smallest depth; cycles are harmless.
 
     Only inner nodes go through the rounds, each round extending the pairs that the round
     before found first. Leaves, usually nearly all nodes, take one join with the result. The
-    loop ends when a round finds nothing new, which it must, as pairs are finite.
+    loop ends when a round finds nothing new, which it must, as pairs are finite. With
+    ``ancestors`` only pairs below those concepts are unfolded to the leaves.
     """
-    inner = materialise(_inner_edges(edges), "closure-edges")
+    edges = materialise(edges, "edges")
+    inner = _inner_edges(edges)
     frontier = inner.select("child", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
     found, depth = frontier, 1
     while True:
@@ -144,16 +146,18 @@ def closure(edges: DataFrame) -> DataFrame:
         if frontier.isEmpty():
             break
         found = found.unionByName(frontier)
+    itself = edges.select("parent", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct()
     above = found.select(F.col("child").alias("parent"), "ancestor", (F.col("depth") + 1).alias("depth"))
-    direct = edges.select("child", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
-    inherited = edges.join(above, "parent").select("child", "ancestor", "depth")
-    reached = direct.unionByName(inherited).where(F.col("child") != F.col("ancestor"))
+    above = itself.unionByName(above)
+    if ancestors is not None:
+        above = above.join(ancestors.select("ancestor").distinct(), "ancestor", "left_semi")
+    reached = edges.join(above, "parent").where(F.col("child") != F.col("ancestor"))
     return reached.groupBy("child", "ancestor").agg(F.min("depth").alias("depth"))
 
 
-def is_subclass_of(pairs: DataFrame, closed: DataFrame) -> DataFrame:
+def is_subclass_of(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     """Answer (child, ancestor) questions; every concept is a kind of itself."""
-    known = closed.select("child", "ancestor", F.lit(True).alias("__yes"))
+    known = closure(edges, pairs).select("child", "ancestor", F.lit(True).alias("__yes"))
     answered = pairs.join(known, ["child", "ancestor"], "left")
     yes = F.coalesce("__yes", F.col("child") == F.col("ancestor"))
     return answered.select("child", "ancestor", yes.alias("is_subclass"))
@@ -179,33 +183,28 @@ def paths_from_root(edges: DataFrame, separator: str = " > ") -> DataFrame:
     Inner nodes are reached level by level; the leaves join once at the end. Nodes that only
     a cycle leads to have no root and so no path.
     """
-    inner = materialise(_inner_edges(edges), "path-edges")
+    edges = materialise(edges, "edges")
+    inner = _inner_edges(edges)
     children = edges.select(F.col("child").alias("concept"))
     tops = edges.select(F.col("parent").alias("concept")).distinct().join(children, "concept", "left_anti")
-    frontier = materialise(tops.select("concept", F.col("concept").alias("path"), F.lit(0).alias("depth")), "path-0")
-    found, depth = frontier, 0
+    roots = materialise(tops.select("concept", F.col("concept").alias("path"), F.lit(0).alias("depth")), "path-0")
+    frontier, found, depth = roots, roots, 0
     while True:
         depth += 1
-        fresh = _extend(frontier, inner, separator, depth).join(found, "concept", "left_anti")
+        fresh = _extend(frontier, inner, separator).join(found, "concept", "left_anti")
         frontier = materialise(fresh, f"path-{depth}")
         if frontier.isEmpty():
             break
         found = found.unionByName(frontier)
-    grown = found.select(F.col("concept").alias("parent"), "path", "depth")
-    leaves = edges.join(inner.select("child"), "child", "left_anti")
-    below = leaves.join(grown, "parent").select(
-        F.col("child").alias("concept"),
-        F.struct((F.col("depth") + 1).alias("depth"), F.concat("path", F.lit(separator), "child").alias("path")).alias("way"),
-    )
-    best = below.groupBy("concept").agg(F.min("way").alias("way")).select("concept", "way.path", "way.depth")
-    return found.unionByName(best)
+    return roots.unionByName(_extend(found, edges, separator))
 
 
-def _extend(frontier: DataFrame, edges: DataFrame, separator: str, depth: int) -> DataFrame:
-    step = frontier.select(F.col("concept").alias("parent"), "path").join(edges, "parent")
-    grown = F.concat("path", F.lit(separator), "child")
-    shortest = step.groupBy(F.col("child").alias("concept")).agg(F.min(grown).alias("path"))
-    return shortest.withColumn("depth", F.lit(depth))
+def _extend(reached: DataFrame, edges: DataFrame, separator: str) -> DataFrame:
+    """The best way to each child of the concepts reached."""
+    step = reached.select(F.col("concept").alias("parent"), "path", "depth").join(edges, "parent")
+    way = F.struct((F.col("depth") + 1).alias("depth"), F.concat("path", F.lit(separator), "child").alias("path"))
+    best = step.groupBy(F.col("child").alias("concept")).agg(F.min(way).alias("way"))
+    return best.select("concept", "way.path", "way.depth")
 
 
 def roll_up(values: DataFrame, closed: DataFrame, concept: str, value: str, out: str) -> DataFrame:
@@ -221,15 +220,22 @@ def roll_up(values: DataFrame, closed: DataFrame, concept: str, value: str, out:
 
 
 def names(triples: DataFrame) -> DataFrame:
-    """Every case-folded label and alternative label with its concept."""
+    """Case-folded labels and alternative labels with their concepts."""
     named = triples.where(F.col("p").isin(t.LABEL, t.ALT_LABEL))
-    return named.select(F.lower(F.trim("o")).alias("name"), F.col("s").alias("concept")).distinct()
+    return named.select(F.lower(F.trim("o")).alias("name"), F.col("s").alias("concept"))
 
 
 def resolve(terms: DataFrame, column: str, triples: DataFrame) -> DataFrame:
-    """Distinct terms with the concepts they name; terms that name nothing keep a null."""
+    """Distinct terms with the concepts they name; terms that name nothing keep a null.
+
+    Matches and misses are taken apart. An inner join may be split on either side, so a name
+    that very many concepts share does not end up in one task.
+    """
     asked = terms.select(F.col(column).alias("term")).distinct().withColumn("name", F.lower(F.trim("term")))
-    return asked.join(names(triples), "name", "left").select("term", "concept")
+    known = names(triples)
+    matched = asked.join(known, "name").select("term", "concept").distinct()
+    missed = asked.join(known.select("name").distinct(), "name", "left_anti")
+    return matched.unionByName(missed.select("term", F.lit(None).cast("string").alias("concept")))
 
 
 def threshold_check(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import preview, size_label
 from tessera.operators import running
+from tessera.session import materialise
 
 _FOLDED = "__folded"
 
@@ -118,11 +119,12 @@ def newly_unlocked(
     """Criteria an answer passes that the last successful answer before it did not.
 
     The first successful answer unlocks all it passes. Failed answers unlock nothing and are
-    not compared against. Runs of any length are cut into blocks of ``block`` steps.
+    not compared against. Runs of any length are cut into blocks of ``block`` steps. The flags
+    are written out first: they are read twice, and the texts behind them should not be.
     """
     names = flag_names(rubric)
     state = F.when(F.col("usable"), F.struct(*names))
-    before = running.previous(flagged, state, "__before", order=seq, by=run, block=F.floor(F.col(seq) / block))
+    before = running.previous(materialise(flagged, "flags"), state, "__before", order=seq, by=run, block=F.floor(F.col(seq) / block))
     fresh = _listed(rubric, lambda n: F.col(n) & ~F.coalesce(F.col(f"__before.{n}"), F.lit(False)))
     return before.withColumn("newly_unlocked", fresh).drop("__before")
 

@@ -8,8 +8,9 @@ both into one lazy DataFrame: only the joins a query refers to are made, each ta
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,15 +44,21 @@ class Join:
 
     ``preaggregate`` marks a target that grows with the data. Facts are then summed per
     foreign key before the join, so that a key holding a third of the facts arrives at the
-    join as one row per group and not as a hot partition.
+    join as one row per group and not as a hot partition. Targets that stay small need no such
+    step: Spark broadcasts them once it has seen their size.
     """
 
     name: str
-    target: SemanticModel
+    model: SemanticModel | Callable[[], SemanticModel]
     foreign_key: str
     key: str
     preaggregate: bool = False
 
+    @cached_property
+    def target(self) -> SemanticModel:
+        """The joined model; one given as a function is made when a query first needs it."""
+        return self.model if isinstance(self.model, SemanticModel) else self.model()
+
 
 @dataclass(frozen=True)
 class SemanticModel:
@@ -260,14 +267,12 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
     first_steps = [model.join(path[0]) for path in paths.columns if len(path) == 1]
     links = [F.col(j.foreign_key).alias(f"__fk_{j.name}") for j in first_steps]
 
-    merged = any(j.preaggregate for j in first_steps)
-    if merged:
-        states = [s for t in terms for s in aggregate(t.aggregate).partial(values[t], t.alias)]
-        facts = facts.groupBy(*own, *links).agg(*states) if states else facts.select(*own, *links).distinct()
-    else:
-        facts = facts.select(*own, *links, *[values[t].alias(f"__in_{t.alias}") for t in terms])
-
+    inputs = {t: F.col(f"__in_{t.alias}") for t in terms}
+    facts = facts.select(*own, *links, *[values[t].alias(f"__in_{t.alias}") for t in terms])
+    merged = False
     for path in sorted(paths.columns, key=len):
+        if _join_at(model, path).preaggregate:
+            facts, merged = _collapse(facts, inputs, merged), True
         facts = _join_target(facts, model, path, paths)
     for condition, joined in filters:
         if joined:
@@ -278,15 +283,7 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
         (F.col(n) if "." not in d.name else _dimension_column(d, flat)).alias(d.alias)
         for (d, flat), n in zip(dims, names, strict=True)
     ]
-    states = [
-        s
-        for t in terms
-        for s in (
-            aggregate(t.aggregate).merge(t.alias)
-            if merged
-            else aggregate(t.aggregate).partial(F.col(f"__in_{t.alias}"), t.alias)
-        )
-    ]
+    states = _states(inputs, merged)
     grouped = facts.groupBy(*keys).agg(*states) if states else facts.select(*keys).distinct()
     aliases = [d.alias for d in query.dimensions]
     out = grouped.select(*[F.col(f"`{a}`") for a in aliases], *[aggregate(t.aggregate).finish(t.alias) for t in terms])
@@ -297,6 +294,34 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
     return order_and_limit(out, query.order, query.limit, aliases)
 
 
+def _states(inputs: dict[formulas.Term, Column], merged: bool) -> list[Column]:
+    """Aggregates over the facts, or over what an earlier step has made of them."""
+    return [
+        state
+        for term, value in inputs.items()
+        for state in (
+            aggregate(term.aggregate).merge(term.alias)
+            if merged
+            else aggregate(term.aggregate).partial(value, term.alias)
+        )
+    ]
+
+
+def _collapse(facts: DataFrame, inputs: dict[formulas.Term, Column], merged: bool) -> DataFrame:
+    """One row per combination of everything that is not a measure."""
+    measured = {f"__in_{t.alias}" for t in inputs}
+    measured |= {f"{t.alias}__{s}" for t in inputs for s in aggregate(t.aggregate).states}
+    keys = [c for c in facts.columns if c not in measured]
+    states = _states(inputs, merged)
+    return facts.groupBy(*keys).agg(*states) if states else facts.select(*keys).distinct()
+
+
+def _join_at(root: SemanticModel, path: Sequence[str]) -> Join:
+    for step in path[:-1]:
+        root = root.join(step).target
+    return root.join(path[-1])
+
+
 def flat_name(dimension: Dimension, flat: str) -> str:
     return f"{flat}__{dimension.grain}" if dimension.grain and "." not in dimension.name else flat
 
@@ -307,10 +332,7 @@ def _dimension_column(dimension: Dimension, flat: str) -> Column:
 
 def _join_target(facts: DataFrame, root: SemanticModel, path: tuple[str, ...], paths: _Paths) -> DataFrame:
     """Left join of one target: its key, the columns read, and the links further on."""
-    model = root
-    for step in path[:-1]:
-        model = model.join(step).target
-    join = model.join(path[-1])
+    join = _join_at(root, path)
     onward = [p[-1] for p in paths.columns if len(p) == len(path) + 1 and p[: len(path)] == path]
     link = "__fk_" + "_".join(path)
     target = join.target.logical().select(

@@ -12,13 +12,17 @@ def events(trace: DataFrame, *kinds: str, column: str = "event") -> DataFrame:
     return trace.where(F.col(column).isin(*kinds))
 
 
-def tool_argument(arguments: Column) -> Column:
-    """The query in a tool call's JSON arguments: ``sql``, else ``query``, else the first value."""
-    given = F.from_json(arguments, "map<string,string>")
-    return query_argument(given)
+def tool_arguments(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Add the query in a tool call's JSON arguments.
+
+    The parsed map is a column of its own for a moment, so that each line is parsed once.
+    """
+    parsed = df.withColumn("__given", F.from_json(column, "map<string,string>"))
+    return parsed.withColumn(out, query_argument(F.col("__given"))).drop("__given")
 
 
 def query_argument(given: Column) -> Column:
+    """``sql``, else ``query``, else the first value; empty texts count as missing."""
     first = F.get(F.map_values(given), F.lit(0))
     return F.coalesce(F.nullif(given["sql"], F.lit("")), F.nullif(given["query"], F.lit("")), first)
 
@@ -34,23 +38,27 @@ def result_rows(trace: DataFrame) -> DataFrame:
 
 
 def latency(trace: DataFrame, event: str, value: str, quantiles: Sequence[float]) -> DataFrame:
-    """Count, average, maximum and exact quantiles of a latency per event kind."""
-    timed = trace.where(F.col(value).isNotNull())
-    stats = timed.groupBy(event).agg(
-        F.count(value).alias("n"), F.avg(value).alias("avg_latency"), F.max(value).alias("max_latency")
+    """Count, average, maximum and exact quantiles of a latency per event kind.
+
+    The log is read once: everything is taken from the counted values. Lines without an event
+    kind are left out.
+    """
+    timed = trace.where(F.col(value).isNotNull() & F.col(event).isNotNull())
+    counted = timed.groupBy(event, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    stats = counted.groupBy(event).agg(
+        F.sum("n").alias("n"),
+        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("avg_latency"),
+        F.max("v").alias("max_latency"),
     )
-    marks = exact_quantiles(timed, event, value, quantiles)
-    return stats.join(marks, event)
+    return stats.join(exact_quantiles(counted, event, quantiles), event)
 
 
-def exact_quantiles(df: DataFrame, key: str, value: str, quantiles: Sequence[float]) -> DataFrame:
-    """Interpolated quantiles per key without holding a key's values in one task.
+def exact_quantiles(counted: DataFrame, key: str, quantiles: Sequence[float]) -> DataFrame:
+    """Interpolated quantiles per key from (key, v, n) rows, ``n`` being how often ``v`` occurs.
 
-    Equal values are counted first. Unit-wide bins of the counted values, far fewer, are then
-    numbered per key to find the bins that hold the wanted ranks, and only the values of those
-    bins are ranked.
+    No task holds a key's values. Unit-wide bins, far fewer than values, are numbered per key
+    to find the bins that hold the wanted ranks; only the values of those bins are ranked.
     """
-    counted = df.groupBy(key, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     binned = counted.withColumn("bin", F.floor("v"))
     upto = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     bins = (
@@ -60,15 +68,11 @@ def exact_quantiles(df: DataFrame, key: str, value: str, quantiles: Sequence[flo
         .withColumn("first", F.col("last") - F.col("bin_n") + 1)
         .withColumn("total", F.sum("bin_n").over(Window.partitionBy(key)))
     )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("q"), (F.lit(float(q)) * (F.col("total") - 1)).alias("at"))
-            for i, q in enumerate(quantiles)
-        ]
-    )
-    low, high = F.floor(F.col("at")), F.ceil(F.col("at"))
-    hit = ((low >= F.col("first")) & (low <= F.col("last"))) | ((high >= F.col("first")) & (high <= F.col("last")))
-    asked = bins.select(key, "bin", "first", "last", F.inline(wanted)).where(hit)
+    ranks = [(F.lit(i).alias("q"), F.lit(float(q)) * (F.col("total") - 1)) for i, q in enumerate(quantiles)]
+    wanted = F.array(*[F.struct(q, at.alias("at"), F.floor(at).alias("low"), F.ceil(at).alias("high")) for q, at in ranks])
+    holds = _between("low", "first", "last") | _between("high", "first", "last")
+    asked = bins.select(key, "bin", "first", "last", F.inline(wanted)).where(holds)
+
     inside = Window.partitionBy(key, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         binned.join(asked.select(key, "bin", "first").distinct(), [key, "bin"])
@@ -76,11 +80,15 @@ def exact_quantiles(df: DataFrame, key: str, value: str, quantiles: Sequence[flo
         .withColumn("from", F.col("to") - F.col("n") + 1)
         .drop("first")
     )
-    found = ranked.join(asked.select(key, "bin", "q", "at"), [key, "bin"])
-    at = lambda rank: F.max(F.when((rank >= F.col("from")) & (rank <= F.col("to")), F.col("v")))
-    ends = found.groupBy(key, "q").agg(F.first("at").alias("at"), at(low).alias("lo"), at(high).alias("hi"))
-    mark = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
-    columns = [
-        F.max(F.when(F.col("q") == i, mark)).alias(f"p{round(q * 100)}_latency") for i, q in enumerate(quantiles)
-    ]
-    return ends.groupBy(key).agg(*columns)
+    found = ranked.join(asked.select(key, "bin", "q", "at", "low", "high"), [key, "bin"])
+    ends = found.groupBy(key, "q", "at", "low").agg(
+        F.max(F.when(_between("low", "from", "to"), F.col("v"))).alias("below"),
+        F.max(F.when(_between("high", "from", "to"), F.col("v"))).alias("above"),
+    )
+    mark = F.col("below") + (F.col("above") - F.col("below")) * (F.col("at") - F.col("low"))
+    names = [f"p{round(q * 100)}_latency" for q in quantiles]
+    return ends.groupBy(key).agg(*[F.max(F.when(F.col("q") == i, mark)).alias(n) for i, n in enumerate(names)])
+
+
+def _between(rank: str, first: str, last: str) -> Column:
+    return F.col(rank).between(F.col(first), F.col(last))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import scoring
 from tessera.operators.scoring import Criterion
-from tessera.sources.catalog import read_table
+from tessera.plans.tables import read_table
 
 # Word criteria that the test texts meet to different degrees.
 RUBRIC = (

@@ -9,9 +9,9 @@ from tessera.functions.numbers import percent
 from tessera.operators import position
 from tessera.operators.metrics import Dimension, Measure, Metric, MetricLayer, MetricModel, entity_duplicates
 from tessera.operators.quality import formula_mismatches
-from tessera.plans.tables import CAPITAL_SQL, MONEY, capital_position
+from tessera.plans.tables import CAPITAL_SQL, MONEY, capital_position, read_table
 from tessera.session import new_path
-from tessera.sources.catalog import read_table, save_model
+from tessera.sources.catalog import save_model
 from tessera.sources.spine import spine_over
 
 MINIMUM_PCT = 30.0

@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import ontology as onto
-from tessera.plans.tables import CAPITAL_SQL, MONEY, capital_position
+from tessera.plans.tables import CAPITAL_SQL, MONEY, capital_position, read_table
 from tessera.session import new_path
 from tessera.sources import triples as t
-from tessera.sources.catalog import read_table
 
 BASE = "urn:concept:"
 VOCABULARY = onto.Vocabulary("urn:vocabulary:")
@@ -145,7 +144,7 @@ def is_subclass_of(spark, sf):
     asked = onto.subjects(party_triples(spark, sf), t.OWL_CLASS).select(
         F.col("s").alias("child"), F.lit(BASE + "region/0").alias("ancestor")
     )
-    return onto.is_subclass_of(asked, onto.closure(_edges(spark, sf)))
+    return onto.is_subclass_of(asked, _edges(spark, sf))
 
 
 def concept_path(spark, sf):

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.numbers import decimals_as_doubles
 from tessera.operators.exposure import concentration, due_within, exposure_by, rated_at_or_below
 from tessera.operators.semantic import SemanticQuery, run
-from tessera.plans.tables import MONEY, orders
-from tessera.sources.catalog import read_table
+from tessera.plans.tables import MONEY, orders, read_table
 
 AS_OF = "1998-01-01"
 SCALE = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators import quality
 from tessera.plans import retail
+from tessera.plans.tables import read_table
 from tessera.sources import contracts as c
-from tessera.sources.catalog import read_table
 
 _FOLDER = Path(__file__).parent / "contracts"
 ORDERS = c.load(_FOLDER / "orders.json")

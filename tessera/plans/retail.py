@@ -12,8 +12,9 @@ from tessera.operators import semantic
 from tessera.operators.exposure import within_last
 from tessera.operators.semantic import SemanticQuery, run
 from tessera.plans import tables
+from tessera.plans.tables import read_table
 from tessera.session import new_path
-from tessera.sources.catalog import governed_sql, read_table
+from tessera.sources.catalog import governed_sql
 from tessera.sources.records import write_records
 from tessera.sources.spine import spine_over
 

@@ -8,10 +8,32 @@ from pyspark.sql import functions as F
 from tessera.functions.dates import quarter_end
 from tessera.functions.numbers import percent
 from tessera.operators.semantic import Field, Join, SemanticModel, SemanticQuery, run
-from tessera.sources.catalog import read_table
+from tessera.sources.catalog import scan
 
 MONEY = "decimal(18,2)"
 
+# The columns of the tables, so that no job is spent on inferring them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return scan(spark, f"{folder}/{name}.parquet", SCHEMAS[name])
+
 
 def region(spark: SparkSession, sf: str) -> SemanticModel:
     return SemanticModel.from_frame("region", read_table(spark, sf, "region"), primary_key=["r_regionkey"])
@@ -22,7 +44,7 @@ def nation(spark: SparkSession, sf: str) -> SemanticModel:
         "nation",
         read_table(spark, sf, "nation"),
         primary_key=["n_nationkey"],
-        joins=[Join("region", region(spark, sf), "n_regionkey", "r_regionkey")],
+        joins=[Join("region", lambda: region(spark, sf), "n_regionkey", "r_regionkey")],
     )
 
 
@@ -32,7 +54,7 @@ def customer(spark: SparkSession, sf: str) -> SemanticModel:
         read_table(spark, sf, "customer"),
         primary_key=["c_custkey"],
         exact={"c_acctbal": MONEY},
-        joins=[Join("nation", nation(spark, sf), "c_nationkey", "n_nationkey")],
+        joins=[Join("nation", lambda: nation(spark, sf), "c_nationkey", "n_nationkey")],
     )
 
 
@@ -50,13 +72,15 @@ def orders(spark: SparkSession, sf: str) -> SemanticModel:
             Field("ordered_at", "o_orderdate"),
             Field("priority", "o_orderpriority"),
         ),
-        joins=(Join("customer", customer(spark, sf), "customer_id", "c_custkey", preaggregate=True),),
+        joins=(Join("customer", lambda: customer(spark, sf), "customer_id", "c_custkey", preaggregate=True),),
         time_dimension="ordered_at",
     )
 
 
 def items(spark: SparkSession, sf: str) -> SemanticModel:
-    parts = SemanticModel.from_frame("part", read_table(spark, sf, "part"), primary_key=["p_partkey"])
+    def parts() -> SemanticModel:
+        return SemanticModel.from_frame("part", read_table(spark, sf, "part"), primary_key=["p_partkey"])
+
     return SemanticModel.from_frame(
         "items",
         read_table(spark, sf, "lineitem"),

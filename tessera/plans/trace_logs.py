@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import traces
+from tessera.plans.tables import read_table
 from tessera.session import new_path
-from tessera.sources.catalog import read_table
 from tessera.sources.records import write_records
 from tessera.sources.traces import read_trace
 
@@ -54,8 +54,8 @@ def trace_events(spark, sf):
 
 
 def trace_sql_arg(spark, sf):
-    events = read_table(spark, sf, "events")
-    return events.select("event_id", traces.tool_argument(F.col("props")).alias("argument"))
+    calls = read_table(spark, sf, "events").select("event_id", "props")
+    return traces.tool_arguments(calls, "props", "argument").drop("props")
 
 
 def trace_lineage(spark, sf):

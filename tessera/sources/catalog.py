@@ -7,12 +7,15 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tessera.operators.semantic import SemanticModel
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def scan(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
+    """A parquet table; with a schema given, no footer is read to find it."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def save_model(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:

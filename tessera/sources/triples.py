@@ -23,9 +23,10 @@ OWL_DATATYPE_PROPERTY = "http://www.w3.org/2002/07/owl#DatatypeProperty"
 XSD_STRING = "http://www.w3.org/2001/XMLSchema#string"
 XSD_DATE = "http://www.w3.org/2001/XMLSchema#date"
 
-_SUBJECT = r"^\s*(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+"
-_OBJECT = r'(?:<([^>]*)>|(_:\S+)|"([^"\\]*+(?:\\.[^"\\]*+)*+)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)'
-_LINE = _SUBJECT + _OBJECT + r"\s*\.\s*(?:#.*)?$"
+# A line is subject, predicate and the rest; the rest is an IRI, a blank node or a literal.
+_LINE = r"^\s*(?:<[^>]*>|_:\S+)\s+<[^>]*>\s+(?:<[^>]*>|_:\S+|\".*\"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?)\s*\.\s*$"
+_COMMENT = r"\.\s*#[^\"]*$"
+_SUFFIX = r"\"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?\s*\.$"
 
 
 def statement(p: str, o: Column, lang: str | None = None, datatype: str | None = None) -> Column:
@@ -44,34 +45,68 @@ def triples_of(df: DataFrame, subject: Column, *statements: Column) -> DataFrame
     return rows.where(F.col("o").isNotNull())
 
 
+def _statements(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the file, stripped, and rid of a comment where only that keeps them from parsing."""
+    lines = spark.read.text(path).select(F.btrim("value", F.lit(" \t")).alias("line"))
+    bare = F.when(F.col("line").rlike(_LINE), F.col("line")).otherwise(F.regexp_replace("line", _COMMENT, "."))
+    return lines.select(bare.alias("line"))
+
+
+def malformed(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are neither triples nor empty nor comments, which ``read_ntriples`` passes over."""
+    known = F.col("line").rlike(_LINE) | (F.col("line") == "") | F.col("line").startswith("#")
+    return _statements(spark, path).where(~known)
+
+
 def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """Parse N-Triples lines; lines that hold no triple are skipped."""
-    lines = spark.read.text(path).where(F.col("value").rlike(_LINE))
-    part = lambda i: F.nullif(F.regexp_extract("value", _LINE, i), F.lit(""))
-    literal = F.regexp_extract("value", _LINE, 6)
-    iri = F.coalesce(part(4), part(5))
-    plain = F.regexp_replace(literal, r"\\'", "'")
-    unescaped = F.from_json(F.concat(F.lit('["'), plain, F.lit('"]')), "array<string>")[0]
-    text = F.when(F.instr(literal, "\\") > 0, unescaped).otherwise(literal)
-    datatype = F.when(part(7).isNotNull(), F.lit(LANG_STRING)).otherwise(F.coalesce(part(8), F.lit(XSD_STRING)))
-    return lines.select(
-        F.coalesce(part(1), part(2)).alias("s"),
-        part(3).alias("p"),
-        F.coalesce(iri, text).alias("o"),
-        part(7).alias("lang"),
-        F.when(iri.isNull(), datatype).alias("datatype"),
+    """Parse N-Triples lines; see ``malformed`` for those that hold no triple."""
+    lines = _statements(spark, path).where(F.col("line").rlike(_LINE))
+    parts = lines.select(F.split("line", r"\s+", 3).alias("part"))
+    fields = parts.select(
+        _bare(F.col("part")[0]).alias("s"), _bare(F.col("part")[1]).alias("p"), F.col("part")[2].alias("rest")
+    )
+    literal = F.col("rest").startswith('"')
+    split = fields.select(
+        "s",
+        "p",
+        F.when(~literal, _bare(F.regexp_replace("rest", r"\s*\.$", ""))).alias("iri"),
+        F.when(literal, F.regexp_replace(F.expr("substring(rest, 2)"), _SUFFIX, "")).alias("text"),
+        F.when(literal, F.nullif(F.regexp_extract("rest", _SUFFIX, 1), F.lit(""))).alias("lang"),
+        F.when(literal, F.nullif(F.regexp_extract("rest", _SUFFIX, 2), F.lit(""))).alias("type"),
+    )
+    datatype = F.when(F.col("lang").isNotNull(), F.lit(LANG_STRING)).otherwise(F.coalesce("type", F.lit(XSD_STRING)))
+    return split.select(
+        "s",
+        "p",
+        F.coalesce("iri", _unescaped(F.col("text"))).alias("o"),
+        "lang",
+        F.when(F.col("text").isNotNull(), datatype).alias("datatype"),
     )
 
 
+def _bare(node: Column) -> Column:
+    """An IRI without its brackets; blank nodes stay as they are."""
+    return F.regexp_replace(node, r"^<|>$", "")
+
+
+def _unescaped(text: Column) -> Column:
+    """Backslash escapes are those of JSON, save for the single quote."""
+    boxed = F.concat(F.lit('["'), F.regexp_replace(text, r"\\'", "'"), F.lit('"]'))
+    return F.when(F.instr(text, "\\") > 0, F.from_json(boxed, "array<string>")[0]).otherwise(text)
+
+
+def _node(column: str) -> Column:
+    return F.when(F.col(column).startswith("_:"), F.col(column)).otherwise(F.concat(F.lit("<"), column, F.lit(">")))
+
+
 def write_ntriples(triples: DataFrame, path: str) -> None:
-    node = lambda c: F.when(F.col(c).startswith("_:"), F.col(c)).otherwise(F.concat(F.lit("<"), c, F.lit(">")))
-    boxed = F.to_json(F.array("o"))
-    quoted = F.expr("substring({0}, 2, length({0}) - 2)".format("__box"))
+    quoted = F.expr("substring(boxed, 2, length(boxed) - 2)")
     literal = (
         F.when(F.col("lang").isNotNull(), F.concat(quoted, F.lit("@"), "lang"))
         .when(F.col("datatype") == XSD_STRING, quoted)
         .otherwise(F.concat(quoted, F.lit("^^<"), "datatype", F.lit(">")))
     )
-    obj = F.when(F.col("datatype").isNull() & F.col("lang").isNull(), node("o")).otherwise(literal)
-    line = F.concat(node("s"), F.lit(" <"), "p", F.lit("> "), obj, F.lit(" ."))
-    triples.withColumn("__box", boxed).select(line.alias("value")).write.mode("overwrite").text(path)
+    obj = F.when(F.col("datatype").isNull() & F.col("lang").isNull(), _node("o")).otherwise(literal)
+    line = F.concat(_node("s"), F.lit(" <"), "p", F.lit("> "), obj, F.lit(" ."))
+    boxed = triples.withColumn("boxed", F.to_json(F.array("o")))
+    boxed.select(line.alias("value")).write.mode("overwrite").text(path)
