@@ -157,6 +157,7 @@ def closure(edges: DataFrame, ancestors: DataFrame | None = None) -> DataFrame:
 
 def is_subclass_of(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     """Answer (child, ancestor) questions; every concept is a kind of itself."""
+    pairs = materialise(pairs, "questions")
     known = closure(edges, pairs).select("child", "ancestor", F.lit(True).alias("__yes"))
     answered = pairs.join(known, ["child", "ancestor"], "left")
     yes = F.coalesce("__yes", F.col("child") == F.col("ancestor"))

@@ -168,7 +168,6 @@ class SemanticQuery:
         having: Iterable[str] | None = None,
         order: Iterable[Mapping | str] | None = None,
         limit: int | None = None,
-        **_ignored,
     ) -> SemanticQuery:
         """Normalise a request: bare strings are accepted, an order without dimensions and
         empty filters are dropped, and a limit of zero or null means none."""

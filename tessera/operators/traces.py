@@ -56,39 +56,49 @@ def latency(trace: DataFrame, event: str, value: str, quantiles: Sequence[float]
 def exact_quantiles(counted: DataFrame, key: str, quantiles: Sequence[float]) -> DataFrame:
     """Interpolated quantiles per key from (key, v, n) rows, ``n`` being how often ``v`` occurs.
 
-    No task holds a key's values. Unit-wide bins, far fewer than values, are numbered per key
-    to find the bins that hold the wanted ranks; only the values of those bins are ranked.
+    A wanted rank is closed in on in three steps, none of which puts a key's values into one
+    task: logarithmic bins (some millions at the very most), then a million equal parts of the
+    bin that holds the rank, and last the few values of that part.
     """
-    binned = counted.withColumn("bin", F.floor("v"))
-    upto = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = (
-        binned.groupBy(key, "bin")
-        .agg(F.sum("n").alias("bin_n"))
-        .withColumn("last", F.sum("bin_n").over(upto) - 1)
-        .withColumn("first", F.col("last") - F.col("bin_n") + 1)
-        .withColumn("total", F.sum("bin_n").over(Window.partitionBy(key)))
-    )
-    ranks = [(F.lit(i).alias("q"), F.lit(float(q)) * (F.col("total") - 1)) for i, q in enumerate(quantiles)]
-    wanted = F.array(*[F.struct(q, at.alias("at"), F.floor(at).alias("low"), F.ceil(at).alias("high")) for q, at in ranks])
-    holds = _between("low", "first", "last") | _between("high", "first", "last")
-    asked = bins.select(key, "bin", "first", "last", F.inline(wanted)).where(holds)
-
-    inside = Window.partitionBy(key, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        binned.join(asked.select(key, "bin", "first").distinct(), [key, "bin"])
-        .withColumn("to", F.col("first") + F.sum("n").over(inside) - 1)
-        .withColumn("from", F.col("to") - F.col("n") + 1)
-        .drop("first")
-    )
-    found = ranked.join(asked.select(key, "bin", "q", "at", "low", "high"), [key, "bin"])
-    ends = found.groupBy(key, "q", "at", "low").agg(
-        F.max(F.when(_between("low", "from", "to"), F.col("v"))).alias("below"),
-        F.max(F.when(_between("high", "from", "to"), F.col("v"))).alias("above"),
-    )
-    mark = F.col("below") + (F.col("above") - F.col("below")) * (F.col("at") - F.col("low"))
+    total = F.col("total") - 1
+    at = [F.lit(float(q)) * total for q in quantiles]
+    wanted = [
+        F.struct(F.lit(i).alias("q"), x.alias("at"), rank.alias("rank"))
+        for i, x in enumerate(at)
+        for rank in (F.floor(x), F.ceil(x))
+    ]
+    totals = counted.groupBy(key).agg(F.sum("n").alias("total"))
+    asked = totals.select(key, F.inline(F.array(*wanted)))
+    ranks = asked.select(key, "rank").distinct()
+
+    size = F.abs(F.col("v").cast("double"))
+    # A bin that cannot be null lets all branches share the one shuffle of ``counted``.
+    bin_of = F.coalesce(F.signum("v") * F.floor(F.log2(size + 1) * 4096), F.lit(0.0))
+    binned = counted.withColumn("bin", bin_of)
+    bins = binned.groupBy(key, "bin").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    hit = _holding(_ranked(bins, [key], "bin", F.lit(0)).join(ranks, key))
+    hit = hit.select(key, "rank", "bin", "first", "lo", "hi")
+
+    part = F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")) * 2**20)
+    split = binned.join(hit, [key, "bin"]).withColumn("part", F.coalesce(part, F.lit(0)))
+    parts = split.groupBy(key, "rank", "part").agg(F.sum("n").alias("n"), F.min("first").alias("base"))
+    near = _holding(_ranked(parts, [key, "rank"], "part", F.col("base"))).select(key, "rank", "part", "first")
+
+    values = split.drop("first").join(near, [key, "rank", "part"])
+    exact = _holding(_ranked(values, [key, "rank"], "v", F.col("first"))).select(key, "rank", "v")
+    ends = asked.join(exact, [key, "rank"]).groupBy(key, "q", "at")
+    marks = ends.agg(F.min("v").alias("below"), F.max("v").alias("above"))
+    mark = F.col("below") + (F.col("above") - F.col("below")) * (F.col("at") - F.floor("at"))
     names = [f"p{round(q * 100)}_latency" for q in quantiles]
-    return ends.groupBy(key).agg(*[F.max(F.when(F.col("q") == i, mark)).alias(n) for i, n in enumerate(names)])
+    return marks.groupBy(key).agg(*[F.max(F.when(F.col("q") == i, mark)).alias(n) for i, n in enumerate(names)])
+
+
+def _ranked(rows: DataFrame, by: Sequence[str], order: str, base: Column) -> DataFrame:
+    """Add the ``first`` and ``last`` rank each row stands for, counted from ``base``."""
+    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    last = base + F.sum("n").over(upto) - 1
+    return rows.withColumn("last", last).withColumn("first", F.col("last") - F.col("n") + 1)
 
 
-def _between(rank: str, first: str, last: str) -> Column:
-    return F.col(rank).between(F.col(first), F.col(last))
+def _holding(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("rank").between(F.col("first"), F.col("last")))

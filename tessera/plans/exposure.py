@@ -9,6 +9,9 @@ from tessera.functions.numbers import decimals_as_doubles
 from tessera.operators.exposure import concentration, due_within, exposure_by, rated_at_or_below
 from tessera.operators.semantic import SemanticQuery, run
 from tessera.plans.tables import MONEY, orders, read_table
+from tessera.session import new_path
+from tessera.sources.catalog import conform, save_model
+from tessera.sources.schemas import TRADE_EXPOSURE
 
 AS_OF = "1998-01-01"
 SCALE = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -28,13 +31,34 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_totalprice").alias("notional"),
         F.col("o_orderdate").alias("settles"),
         F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("instrument"),
     )
     parties = read_table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("counterparty"), F.col("c_mktsegment").alias("rating")
+        F.col("c_custkey").alias("o_custkey"),
+        F.col("c_name").alias("counterparty"),
+        F.col("c_mktsegment").alias("rating"),
+        "c_nationkey",
     )
     return placed.join(parties, "o_custkey", "left").drop("o_custkey")
 
 
+def model_trade_exposure(spark, sf):
+    """The trades as a typed table, written and read back."""
+    homes = read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home"))
+    wide = trades(spark, sf).join(homes, "c_nationkey", "left").select(
+        F.col("trade_id"),
+        "counterparty",
+        F.col("instrument").alias("instrument_type"),
+        F.col("notional").alias("notional_usd_mm"),
+        F.col("settles").alias("settlement_date"),
+        F.col("rating").alias("credit_rating"),
+        F.col("home").alias("region"),
+        F.when(F.col("status") == "O", "OPEN").when(F.col("status") == "F", "SETTLED").otherwise("DEFAULTED").alias("status"),
+    )
+    saved = save_model(conform(wide, TRADE_EXPOSURE), new_path(spark, "trade-exposure"))
+    return saved.withColumn("notional_usd_mm", F.col("notional_usd_mm").cast("double"))
+
+
 def _open_by(spark: SparkSession, sf: str, *dimensions: str) -> DataFrame:
     query = SemanticQuery.of(
         measures=[{"formula": "order_total:sum", "name": "exposure"}, {"formula": "*:count", "name": "trades"}],
@@ -87,10 +111,11 @@ def settlement_ladder(spark, sf):
 
 def rating_at_or_below(spark, sf):
     open_trades = trades(spark, sf).where(F.col("status") == "O")
-    return open_trades.where(rated_at_or_below(F.col("rating"), FLOOR, SCALE)).drop("settles")
+    return open_trades.where(rated_at_or_below(F.col("rating"), FLOOR, SCALE)).drop("settles", "instrument", "c_nationkey")
 
 
 QUERIES = {
+    "model_trade_exposure": model_trade_exposure,
     "open_exposure_by_counterparty": open_exposure_by_counterparty,
     "exposure_by_region": exposure_by_region,
     "exposure_by_instrument": exposure_by_instrument,
@@ -104,6 +129,12 @@ _SUM = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
 _PARTY = "FROM orders LEFT JOIN customer ON o_custkey = c_custkey"
 
 ORACLE = {
+    "model_trade_exposure": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS trade_id, c_name AS counterparty, o_orderpriority AS instrument_type,
+               o_totalprice AS notional_usd_mm, CAST(o_orderdate AS DATE) AS settlement_date,
+               c_mktsegment AS credit_rating, n_name AS region,
+               CASE o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'F' THEN 'SETTLED' ELSE 'DEFAULTED' END AS status
+        {_PARTY} LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "open_exposure_by_counterparty": f"""
         SELECT o_custkey AS customer_id, c_name AS customer_c_name, {_SUM} AS exposure, COUNT(*) AS trades
         {_PARTY} WHERE o_orderstatus = 'O' GROUP BY ALL""",

@@ -14,7 +14,7 @@ from tessera.operators.semantic import SemanticQuery, run
 from tessera.plans import tables
 from tessera.plans.tables import read_table
 from tessera.session import new_path
-from tessera.sources.catalog import governed_sql
+from tessera.sources.catalog import Catalog, governed_sql
 from tessera.sources.records import write_records
 from tessera.sources.spine import spine_over
 
@@ -25,7 +25,7 @@ FROM orders WHERE o_orderstatus = 'O' GROUP BY o_orderpriority
 
 # A request as callers send it: bare strings, objects, and parts to be dropped.
 REQUEST = """
-{"measures": ["order_total:sum", {"formula": "*:count", "name": "placed"}],
+{"source_model": "orders", "measures": ["order_total:sum", {"formula": "*:count", "name": "placed"}],
  "dimensions": ["priority", {"name": "ordered_at", "granularity": "year"}],
  "filters": [], "order": [{"column": "order_total_sum", "direction": "desc"}], "limit": 0}
 """
@@ -117,7 +117,8 @@ def placed_last_n_days(spark, sf):
 
 
 def normalise_query(spark, sf):
-    return _ask(spark, sf, **json.loads(REQUEST))
+    catalog = Catalog({"orders": tables.orders(spark, sf)})
+    return decimals_as_doubles(catalog.query(json.loads(REQUEST)))
 
 
 def revenue_by_store(spark, sf):

@@ -7,9 +7,10 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.semantic import SemanticModel
+from tessera.operators.semantic import SemanticModel, SemanticQuery, run
 
 
 def scan(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -18,6 +19,12 @@ def scan(spark: SparkSession, path: str, schema: str | T.StructType | None = Non
     return reader.parquet(path)
 
 
+def conform(df: DataFrame, schema: str) -> DataFrame:
+    """The columns of a declared table, in its order and cast to its types."""
+    declared = T.StructType.fromDDL(schema)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared.fields])
+
+
 def save_model(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """Materialise a model as a table, replacing an older one, and read it back."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -46,6 +53,11 @@ class Catalog:
             raise ValueError(f"unknown model {name!r}; models: {', '.join(sorted(self.models)) or 'none'}")
         return self.models[name]
 
+    def query(self, request: Mapping) -> DataFrame:
+        """Answer a request that names its ``source_model``."""
+        rest = {k: v for k, v in request.items() if k != "source_model"}
+        return run(self.model(request["source_model"]), SemanticQuery.of(**rest))
+
 
 _SCRIPT = re.compile(r"\b(TRANSFORM|MAP|REDUCE)\b.*\bUSING\b", re.IGNORECASE | re.DOTALL)
 

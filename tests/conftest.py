@@ -13,12 +13,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tessera.session import local_session  # noqa: E402
+from tessera.sources.schemas import CAPITAL_POSITION as CAPITAL_DDL  # noqa: E402
+from tessera.sources.schemas import TRADE_EXPOSURE as TRADE_DDL  # noqa: E402
 
 # Capital positions of one entity over three quarters.
-CAPITAL_DDL = (
-    "reporting_date date, entity string, cet1_capital_mm decimal(18,2), rwa_mm decimal(18,2), "
-    "cet1_ratio_pct decimal(6,4), combined_buffer decimal(6,4)"
-)
 CAPITAL_ROWS = [
     ("2025-09-30", "BANK_HOLDCO", "27410.00", "190500.00", "14.39", "9.75"),
     ("2025-12-31", "BANK_HOLDCO", "28150.00", "192000.00", "14.66", "9.75"),
@@ -26,10 +24,6 @@ CAPITAL_ROWS = [
 ]
 
 # Ten trades.
-TRADE_DDL = (
-    "trade_id string, counterparty string, instrument_type string, notional_usd_mm decimal(18,2), "
-    "settlement_date date, credit_rating string, region string, status string"
-)
 TRADE_ROWS = [
     ("T001", "GOLDMAN_SACHS", "FX_FORWARD", "450.00", "2026-05-30", "AA", "NORTH_AMERICA", "OPEN"),
     ("T002", "DEUTSCHE_BANK", "BOND", "320.00", "2026-06-15", "A", "EUROPE", "OPEN"),

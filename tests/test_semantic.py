@@ -120,6 +120,14 @@ def test_top_k_is_one_step(model):
     assert "TakeOrderedAndProject" in plan
 
 
+def test_requests_name_their_model(model):
+    catalog = Catalog({"orders": model})
+    request = {"source_model": "orders", "measures": ["*:count"], "limit": None}
+    assert catalog.query(request).first()["count"] == 300
+    with pytest.raises(TypeError):
+        catalog.query({**request, "dimension": ["store_id"]})
+
+
 def test_unknown_names_list_the_known_ones(model):
     with pytest.raises(ValueError, match="store_id, total"):
         ask(model, measures=["missing:sum"])

@@ -64,6 +64,8 @@ def test_quantiles_are_exact(spark):
         "hot": [round(rng.expovariate(0.02), 2) for _ in range(3000)] + [7.25] * 1500,
         "few": [1.0, 2.5],
         "one": [-3.75],
+        "wide": [rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 12) for _ in range(2000)],
+        "dense": [rng.random() for _ in range(2000)],
     }
     df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs] + [("hot", None)], "k string, v double")
     marks = (0.0, 0.25, 0.5, 0.95, 1.0)
