@@ -165,15 +165,15 @@ def is_subclass_of(pairs: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def roots_and_leaves(triples: DataFrame, kind: str = t.OWL_CLASS) -> DataFrame:
-    """Concepts at the top or the bottom of the hierarchy, flagged."""
-    edges = subclass_edges(triples)
-    marks = (
-        subjects(triples, kind)
-        .select(F.col("s").alias("concept"), F.lit(True).alias("typed"), F.lit(False).alias("up"), F.lit(False).alias("down"))
-        .unionByName(edges.select(F.col("child").alias("concept"), F.lit(False).alias("typed"), F.lit(True).alias("up"), F.lit(False).alias("down")))
-        .unionByName(edges.select(F.col("parent").alias("concept"), F.lit(False).alias("typed"), F.lit(False).alias("up"), F.lit(True).alias("down")))
+    """Concepts at the top or the bottom of the hierarchy, flagged; one pass over the triples."""
+    typed = (F.col("p") == t.RDF_TYPE) & (F.col("o") == kind)
+    edge = (F.col("p") == t.SUBCLASS_OF) & (F.col("s") != F.col("o"))
+    child = F.struct(F.col("s").alias("concept"), typed.alias("typed"), edge.alias("up"), F.lit(False).alias("down"))
+    parent = F.struct(
+        F.col("o").alias("concept"), F.lit(False).alias("typed"), F.lit(False).alias("up"), edge.alias("down")
     )
-    seen = marks.groupBy("concept").agg(F.max("typed").alias("typed"), F.max("up").alias("up"), F.max("down").alias("down"))
+    marks = triples.where(F.col("p").isin(t.RDF_TYPE, t.SUBCLASS_OF)).select(F.inline(F.array(child, parent)))
+    seen = marks.groupBy("concept").agg(*[F.max(m).alias(m) for m in ("typed", "up", "down")])
     ends = seen.where(F.col("typed") & ~(F.col("up") & F.col("down")))
     return ends.select("concept", (~F.col("up")).alias("is_root"), (~F.col("down")).alias("is_leaf"))
 

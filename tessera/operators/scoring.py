@@ -124,7 +124,8 @@ def newly_unlocked(
     """
     names = flag_names(rubric)
     state = F.when(F.col("usable"), F.struct(*names))
-    before = running.previous(materialise(flagged, "flags"), state, "__before", order=seq, by=run, block=F.floor(F.col(seq) / block))
+    step = F.floor(F.col(seq) / block)
+    before = running.previous(materialise(flagged, "flags"), state, "__before", order=seq, by=run, block=step)
     fresh = _listed(rubric, lambda n: F.col(n) & ~F.coalesce(F.col(f"__before.{n}"), F.lit(False)))
     return before.withColumn("newly_unlocked", fresh).drop("__before")
 

@@ -44,7 +44,9 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_trade_exposure(spark, sf):
     """The trades as a typed table, written and read back."""
-    homes = read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home"))
+    nations = read_table(spark, sf, "nation")
+    homes = nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home"))
+    state = F.when(F.col("status") == "O", "OPEN").when(F.col("status") == "F", "SETTLED").otherwise("DEFAULTED")
     wide = trades(spark, sf).join(homes, "c_nationkey", "left").select(
         F.col("trade_id"),
         "counterparty",
@@ -53,7 +55,7 @@ def model_trade_exposure(spark, sf):
         F.col("settles").alias("settlement_date"),
         F.col("rating").alias("credit_rating"),
         F.col("home").alias("region"),
-        F.when(F.col("status") == "O", "OPEN").when(F.col("status") == "F", "SETTLED").otherwise("DEFAULTED").alias("status"),
+        state.alias("status"),
     )
     saved = save_model(conform(wide, TRADE_EXPOSURE), new_path(spark, "trade-exposure"))
     return saved.withColumn("notional_usd_mm", F.col("notional_usd_mm").cast("double"))
@@ -111,7 +113,8 @@ def settlement_ladder(spark, sf):
 
 def rating_at_or_below(spark, sf):
     open_trades = trades(spark, sf).where(F.col("status") == "O")
-    return open_trades.where(rated_at_or_below(F.col("rating"), FLOOR, SCALE)).drop("settles", "instrument", "c_nationkey")
+    low = open_trades.where(rated_at_or_below(F.col("rating"), FLOOR, SCALE))
+    return low.drop("settles", "instrument", "c_nationkey")
 
 
 QUERIES = {

@@ -45,9 +45,9 @@ def contract_columns(spark, sf):
 def contract_checks(spark, sf):
     """Every declared check with its verdict."""
     reports = [
-        quality.contract_report(read_table(spark, sf, table), contract, table).withColumn("contract", F.lit(contract.id))
-        for contract in ALL
-        for table in contract.checks
+        quality.contract_report(read_table(spark, sf, table), k, table).withColumn("contract", F.lit(k.id))
+        for k in ALL
+        for table in k.checks
     ]
     return c.check_table(spark, ALL).join(_stack(reports), ["contract", "table_name", "check_text"])
 
@@ -201,41 +201,46 @@ def _checks_sql(*tables: str, extra: str = "") -> str:
 
 _CONTRACT_OF = "CASE '{table}' WHEN 'events' THEN 'urn:product:events:v1' ELSE 'urn:contract:orders:v1' END AS contract,"
 
-_CONFORMS = """
-    SELECT '{t}' AS table_name, '{c}' AS column_name, '{d}' AS declared_type, {a} AS actual_type, {ok} AS type_ok,
-           {nulls} AS null_rows, {good} AS conforms FROM {t}"""
+_CONFORMS = (
+    "SELECT '{t}' AS table_name, '{c}' AS column_name, '{d}' AS declared_type, {a} AS actual_type, {ok} AS type_ok, "
+    "{nulls} AS null_rows, {good} AS conforms{source}"
+)
+
+# Fixed values: (table, column, declared type, actual type or None, fits, required).
+_DECLARED = (
+    ("orders", "o_orderkey", "number", "bigint", True, True),
+    ("orders", "o_custkey", "number", "bigint", True, True),
+    ("orders", "o_orderstatus", "string", "string", True, True),
+    ("orders", "o_totalprice", "number", "double", True, True),
+    ("orders", "o_orderdate", "date", "timestamp_ntz", True, True),
+    ("orders", "o_channel", "string", None, False, False),
+    ("lineitem", "l_orderkey", "number", "bigint", True, True),
+    ("lineitem", "l_linenumber", "number", "int", True, True),
+    ("lineitem", "l_quantity", "number", "double", True, True),
+    ("lineitem", "l_discount", "string", "double", False, True),
+    ("lineitem", "l_shipdate", "date", "timestamp_ntz", True, True),
+    ("events", "event_id", "BIGINT", "bigint", True, False),
+    ("events", "ts", "TIMESTAMP", "timestamp_ntz", True, False),
+    ("events", "user_id", "BIGINT", "bigint", True, False),
+    ("events", "event_type", "VARCHAR", "string", True, False),
+    ("events", "value", "DOUBLE", "double", True, False),
+    ("labels", "doc_id", "BIGINT", "bigint", True, False),
+    ("labels", "quality", "INTEGER", "int", True, False),
+    ("labels", "toxic", "INTEGER", "int", True, False),
+)
 
 
 def _conformance_sql() -> str:
-    # Fixed values: (table, column, declared type, actual type or None, fits, required).
-    cells = [
-        ("orders", "o_orderkey", "number", "bigint", True, True),
-        ("orders", "o_custkey", "number", "bigint", True, True),
-        ("orders", "o_orderstatus", "string", "string", True, True),
-        ("orders", "o_totalprice", "number", "double", True, True),
-        ("orders", "o_orderdate", "date", "timestamp_ntz", True, True),
-        ("orders", "o_channel", "string", None, False, False),
-        ("lineitem", "l_orderkey", "number", "bigint", True, True),
-        ("lineitem", "l_linenumber", "number", "int", True, True),
-        ("lineitem", "l_quantity", "number", "double", True, True),
-        ("lineitem", "l_discount", "string", "double", False, True),
-        ("lineitem", "l_shipdate", "date", "timestamp_ntz", True, True),
-        ("events", "event_id", "BIGINT", "bigint", True, False),
-        ("events", "ts", "TIMESTAMP", "timestamp_ntz", True, False),
-        ("events", "user_id", "BIGINT", "bigint", True, False),
-        ("events", "event_type", "VARCHAR", "string", True, False),
-        ("events", "value", "DOUBLE", "double", True, False),
-        ("labels", "doc_id", "BIGINT", "bigint", True, False),
-        ("labels", "quality", "INTEGER", "int", True, False),
-        ("labels", "toxic", "INTEGER", "int", True, False),
-    ]
     rows = []
-    for table, column, declared, actual, fits, required in cells:
-        nulls = f"COUNT(*) - COUNT({column})" if actual else "CAST(NULL AS BIGINT)"
-        good = f"{fits} AND COUNT(*) = COUNT({column})" if required else str(fits)
-        kind = f"'{actual}'" if actual else "CAST(NULL AS VARCHAR)"
-        source = f"(SELECT COUNT(*) FROM {table})" if not actual else table
-        rows.append(_CONFORMS.format(t=table, c=column, d=declared, a=kind, ok=fits, nulls=nulls, good=good).replace(f"FROM {table}", f"FROM {source}"))
+    for table, column, declared, actual, fits, required in _DECLARED:
+        counted = {
+            "a": f"'{actual}'",
+            "nulls": f"COUNT(*) - COUNT({column})",
+            "good": f"{fits} AND COUNT(*) = COUNT({column})" if required else str(fits),
+            "source": f" FROM {table}",
+        }
+        absent = {"a": "CAST(NULL AS VARCHAR)", "nulls": "CAST(NULL AS BIGINT)", "good": "FALSE", "source": ""}
+        rows.append(_CONFORMS.format(t=table, c=column, d=declared, ok=fits, **(counted if actual else absent)))
     return "\nUNION ALL ".join(rows)
 
 

@@ -64,7 +64,10 @@ def trace_lineage(spark, sf):
 
 def trace_result_rows(spark, sf):
     found = traces.result_rows(trace(spark, sf))
-    return found.select("timestamp", "rows", "position", F.col("record")["user"].alias("user"), F.col("record")["event"].alias("event_id"))
+    record = F.col("record")
+    return found.select(
+        "timestamp", "rows", "position", record["user"].alias("user"), record["event"].alias("event_id")
+    )
 
 
 def trace_latency(spark, sf):

@@ -60,14 +60,16 @@ class Catalog:
 
 
 _SCRIPT = re.compile(r"\b(TRANSFORM|MAP|REDUCE)\b.*\bUSING\b", re.IGNORECASE | re.DOTALL)
+_STORED_TABLE = re.compile(r"SubqueryAlias [^\s,]*\.[^\s,]+")
 
 
 def governed_sql(spark: SparkSession, tables: Mapping[str, str], sql: str) -> DataFrame:
     """Run one read-only query over the parquet tables given as name to path.
 
     The text stands as a subquery, where Spark's grammar admits nothing but a query: a command
-    fails to parse and is never run. A session of its own holds only the named tables, and
-    neither file paths nor scripts can be addressed.
+    fails to parse and is never run. A session of its own holds only the named tables. File
+    paths and scripts cannot be addressed, and a query whose plan names a stored table of some
+    database is refused before it runs.
     """
     text = sql.strip().rstrip(";")
     if _SCRIPT.search(text):
@@ -78,4 +80,9 @@ def governed_sql(spark: SparkSession, tables: Mapping[str, str], sql: str) -> Da
     session.conf.set("spark.sql.runSQLOnFiles", "false")
     for name, path in tables.items():
         session.read.parquet(path).createOrReplaceTempView(name)
-    return session.sql(f"SELECT * FROM (\n{text}\n) AS governed")
+    query = f"SELECT * FROM (\n{text}\n) AS governed"
+    result = session.sql(query)
+    stored = _STORED_TABLE.search(session.sql(f"EXPLAIN EXTENDED {query}").first()[0])
+    if stored:
+        raise PermissionError(f"not among the governed tables: {stored.group(0).split(' ', 1)[1]}")
+    return result

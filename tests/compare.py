@@ -25,7 +25,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(value)
+        return "nan" if math.isnan(value) else repr(value + 0.0)  # a negative zero equals zero
     if isinstance(value, decimal.Decimal):
         return f"decimal {value}"
     if isinstance(value, dt.datetime):

@@ -98,11 +98,20 @@ def test_commands_are_refused(spark, text):
         governed_sql(spark, {"orders": ORDERS}, text)
 
 
-def test_only_named_tables_can_be_read(spark):
+def test_only_named_tables_can_be_read(spark, tmp_path):
     spark.range(3).createOrReplaceTempView("other_view")
     for text in ("SELECT * FROM other_view", f"SELECT * FROM parquet.`{ORDERS}`"):
         with pytest.raises(AnalysisException):
             governed_sql(spark, {"orders": ORDERS}, text)
+    spark.range(1).write.parquet(str(tmp_path / "stored"))
+    spark.sql(f"CREATE TABLE stored_orders USING parquet LOCATION '{tmp_path}/stored'")
+    nested = "SELECT * FROM orders WHERE 1 IN (SELECT id FROM default.stored_orders)"
+    try:
+        for text in ("SELECT * FROM stored_orders", nested):
+            with pytest.raises(PermissionError, match="stored_orders"):
+                governed_sql(spark, {"orders": ORDERS}, text)
+    finally:
+        spark.sql("DROP TABLE stored_orders")
     with pytest.raises(PermissionError):
         governed_sql(spark, {"orders": ORDERS}, "SELECT TRANSFORM(o_orderkey) USING 'cat' FROM orders")
 
@@ -111,6 +120,8 @@ def test_queries_run(spark):
     text = "WITH o AS (SELECT * FROM orders) SELECT count(*) AS n FROM o -- all;"
     assert governed_sql(spark, {"orders": ORDERS}, text).first().n == 1500
     assert governed_sql(spark, {"orders": ORDERS}, "SELECT 1 AS a;").first().a == 1
+    joined = "SELECT a.o_custkey, max(b.o_totalprice) AS m FROM orders a JOIN orders AS b USING (o_orderkey) GROUP BY 1"
+    assert governed_sql(spark, {"orders": ORDERS}, joined).columns == ["o_custkey", "m"]
 
 
 def test_records(spark, capital):
