@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import formulas
 from tessera.functions.dates import GRAINS, truncate
+from tessera.functions.numbers import exact_amount
 from tessera.operators.aggregates import AGGREGATES, aggregate
 from tessera.operators.semantic import order_and_limit
 from tessera.sources.spine import periods
@@ -22,11 +23,18 @@ METRIC_TIME = "metric_time"
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate over an expression; ``latest`` sums the rows of the newest date only."""
+    """An aggregate over an expression; ``latest`` sums the rows of the newest date only.
+
+    ``exact`` is the number of decimals of a double that holds an amount, to be summed exactly.
+    """
 
     name: str
     agg: str
     expr: str
+    exact: int | None = None
+
+    def value(self) -> Column:
+        return F.expr(self.expr) if self.exact is None else exact_amount(F.expr(self.expr), self.exact)
 
 
 @dataclass(frozen=True)
@@ -186,14 +194,14 @@ class MetricLayer:
         newest = [(n, m) for n, m in named if m.agg == "latest"]
         parts = []
         if plain:
-            states = [s for n, m in plain for s in aggregate(m.agg).partial(F.expr(m.expr), n)]
+            states = [s for n, m in plain for s in aggregate(m.agg).partial(m.value(), n)]
             parts.append(
                 facts.groupBy(*keys).agg(*states).select(*aliases, *[aggregate(m.agg).finish(n) for n, m in plain])
             )
         if newest:
             time = model.time()
             at = truncate(F.expr(time.expr or f"`{time.name}`"), "day").alias("__at")
-            daily = facts.groupBy(*keys, at).agg(*[F.sum(F.expr(m.expr)).alias(n) for n, m in newest])
+            daily = facts.groupBy(*keys, at).agg(*[F.sum(m.value()).alias(n) for n, m in newest])
             last = [F.max_by(n, "__at").alias(n) for n, _ in newest]
             parts.append(daily.groupBy(*aliases).agg(*last))
         return parts

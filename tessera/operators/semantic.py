@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import formulas
 from tessera.functions.dates import GRAINS, truncate
+from tessera.functions.numbers import exact_amount
 from tessera.operators import running
 from tessera.operators.aggregates import aggregate
 
@@ -26,13 +27,14 @@ _QUOTED = re.compile(r"('(?:[^']|'')*')")
 
 @dataclass(frozen=True)
 class Field:
-    """A model column. ``exact`` is the decimal type in which it is summed, where it is money."""
+    """A model column. ``exact`` is the number of decimals of a double that holds an amount:
+    it is then summed exactly."""
 
     name: str
     expr: str | None = None
     hidden: bool = False
     primary_key: bool = False
-    exact: str | None = None
+    exact: int | None = None
 
     def column(self) -> Column:
         return F.expr(self.expr or f"`{self.name}`").alias(self.name)
@@ -75,7 +77,7 @@ class SemanticModel:
         frame: DataFrame,
         primary_key: Iterable[str] = (),
         hidden: Iterable[str] = (),
-        exact: Mapping[str, str] | None = None,
+        exact: Mapping[str, int] | None = None,
         rename: Mapping[str, str] | None = None,
         joins: Sequence[Join] = (),
         time_dimension: str | None = None,
@@ -260,7 +262,7 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
             values[term] = F.lit(1)
         else:
             exact = model.field(term.column).exact if term.aggregate in ("sum", "avg", "average") else None
-            values[term] = F.col(term.column).cast(exact) if exact else F.col(term.column)
+            values[term] = F.col(term.column) if exact is None else exact_amount(term.column, exact)
 
     own = [_dimension_column(d, flat).alias(flat_name(d, flat)) for d, flat in dims if "." not in d.name]
     first_steps = [model.join(path[0]) for path in paths.columns if len(path) == 1]

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import percent
+from tessera.functions.numbers import exact_amount, percent
 from tessera.operators import position
 from tessera.operators.metrics import Dimension, Measure, Metric, MetricLayer, MetricModel, entity_duplicates
 from tessera.operators.quality import formula_mismatches
-from tessera.plans.tables import CAPITAL_SQL, MONEY, capital_position, read_table
+from tessera.plans.tables import CAPITAL_SQL, capital_position, read_table
 from tessera.session import new_path
 from tessera.sources.catalog import save_model
 from tessera.sources.spine import spine_over
@@ -23,11 +23,11 @@ def capital_model(frame: DataFrame) -> MetricModel:
         "capital_position",
         frame,
         measures=(
-            Measure("cet1_capital_total", "sum", f"CAST(cet1_capital_mm AS {MONEY})"),
-            Measure("rwa_total", "sum", f"CAST(rwa_mm AS {MONEY})"),
+            Measure("cet1_capital_total", "sum", "cet1_capital_mm", exact=2),
+            Measure("rwa_total", "sum", "rwa_mm", exact=2),
             Measure("cet1_ratio_avg", "average", "cet1_ratio_pct"),
             Measure("combined_buffer_avg", "average", "combined_buffer"),
-            Measure("rwa_newest", "latest", f"CAST(rwa_mm AS {MONEY})"),
+            Measure("rwa_newest", "latest", "rwa_mm", exact=2),
         ),
         dimensions=(
             Dimension("reporting_date", "time", grain="month"),
@@ -79,12 +79,12 @@ def trading_layer(spark: SparkSession, sf: str) -> MetricLayer:
                 orders,
                 measures=(
                     Measure("order_rows", "count", "o_orderkey"),
-                    Measure("order_amount", "sum", f"CAST(o_totalprice AS {MONEY})"),
+                    Measure("order_amount", "sum", "o_totalprice", exact=2),
                     Measure(
                         "urgent_open",
                         "sum",
-                        "CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' "
-                        f"THEN CAST(o_totalprice AS {MONEY}) END",
+                        "CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN o_totalprice END",
+                        exact=2,
                     ),
                 ),
                 dimensions=(Dimension("ordered", "time", "o_orderdate"), Dimension("status", expr="o_orderstatus")),
@@ -93,7 +93,7 @@ def trading_layer(spark: SparkSession, sf: str) -> MetricLayer:
             MetricModel(
                 "items",
                 items,
-                measures=(Measure("shipped_amount", "sum", f"CAST(l_extendedprice AS {MONEY})"),),
+                measures=(Measure("shipped_amount", "sum", "l_extendedprice", exact=2),),
                 dimensions=(Dimension("shipped", "time", "l_shipdate"), Dimension("flag", expr="l_returnflag")),
             ),
         ],
@@ -234,7 +234,7 @@ def entity_uniqueness(spark, sf):
 
 def ratio_of_sums(spark, sf):
     rows = capital_position(spark, sf).select(
-        "entity", F.col("cet1_capital_mm").cast(MONEY).alias("capital"), F.col("rwa_mm").cast(MONEY).alias("assets")
+        "entity", exact_amount("cet1_capital_mm").alias("capital"), exact_amount("rwa_mm").alias("assets")
     )
     return position.ratio_of_sums(rows, "capital", "assets", ["entity"]).select("entity", "ratio_of_sums")
 
@@ -270,8 +270,8 @@ def ratio_trend(spark, sf):
     rows = capital_position(spark, sf).select(
         "reporting_date",
         "cet1_ratio_pct",
-        F.col("cet1_capital_mm").cast(MONEY).alias("capital"),
-        F.col("rwa_mm").cast(MONEY).alias("assets"),
+        exact_amount("cet1_capital_mm").alias("capital"),
+        exact_amount("rwa_mm").alias("assets"),
     )
     return _doubles(position.trend(rows, "reporting_date", "capital", "assets", "cet1_ratio_pct"), average_ratio=6)
 

@@ -11,8 +11,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.numbers import exact_amount
 from tessera.operators import ontology as onto
-from tessera.plans.tables import CAPITAL_SQL, MONEY, capital_position, read_table
+from tessera.plans.tables import CAPITAL_SQL, capital_position, read_table
 from tessera.session import new_path
 from tessera.sources import triples as t
 
@@ -157,7 +158,7 @@ def concept_roots(spark, sf):
 
 def hierarchy_rollup(spark, sf):
     amounts = read_table(spark, sf, "orders").select(
-        _iri("customer", "o_custkey").alias("concept"), F.col("o_totalprice").cast(MONEY).alias("amount")
+        _iri("customer", "o_custkey").alias("concept"), exact_amount("o_totalprice").alias("amount")
     )
     rolled = onto.roll_up(amounts, onto.closure(_edges(spark, sf)), "concept", "amount", "total")
     return rolled.withColumn("total", F.col("total").cast("double"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import decimals_as_doubles
+from tessera.functions.numbers import decimals_as_doubles, exact_amount
 from tessera.operators.exposure import concentration, due_within, exposure_by, rated_at_or_below
 from tessera.operators.semantic import SemanticQuery, run
-from tessera.plans.tables import MONEY, orders, read_table
+from tessera.plans.tables import orders, read_table
 from tessera.session import new_path
 from tessera.sources.catalog import conform, save_model
 from tessera.sources.schemas import TRADE_EXPOSURE
@@ -80,12 +80,12 @@ def exposure_by_region(spark, sf):
 
 def exposure_by_instrument(spark, sf):
     instruments = read_table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
-    return decimals_as_doubles(exposure_by(instruments, ["o_orderpriority"], F.col("o_totalprice").cast(MONEY)))
+    return decimals_as_doubles(exposure_by(instruments, ["o_orderpriority"], exact_amount("o_totalprice")))
 
 
 def rating_concentration(spark, sf):
     rated = _open_by(spark, sf, "customer.c_mktsegment").withColumnRenamed("customer_c_mktsegment", "rating")
-    return decimals_as_doubles(concentration(rated, ["rating"], F.col("exposure").cast(MONEY)))
+    return decimals_as_doubles(concentration(rated, ["rating"], exact_amount("exposure")))
 
 
 def due_within_n_days(spark, sf):
@@ -97,7 +97,7 @@ def due_within_n_days(spark, sf):
 def settlement_ladder(spark, sf):
     """Open amount and trades due within growing horizons, in one pass; overdue trades apart."""
     open_trades = read_table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
-    when, amount = F.col("o_orderdate"), F.col("o_totalprice").cast(MONEY)
+    when, amount = F.col("o_orderdate"), exact_amount("o_totalprice")
     rungs = [("overdue", when < F.lit(AS_OF).cast("date"))]
     rungs += [(f"within {n} days", due_within(when, AS_OF, n, overdue=False)) for n in (7, 30, 90)]
     row = open_trades.agg(

@@ -10,8 +10,6 @@ from tessera.functions.numbers import percent
 from tessera.operators.semantic import Field, Join, SemanticModel, SemanticQuery, run
 from tessera.sources.catalog import scan
 
-MONEY = "decimal(18,2)"
-
 # The columns of the tables, so that no job is spent on inferring them.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -53,7 +51,7 @@ def customer(spark: SparkSession, sf: str) -> SemanticModel:
         "customer",
         read_table(spark, sf, "customer"),
         primary_key=["c_custkey"],
-        exact={"c_acctbal": MONEY},
+        exact={"c_acctbal": 2},
         joins=[Join("nation", lambda: nation(spark, sf), "c_nationkey", "n_nationkey")],
     )
 
@@ -67,8 +65,8 @@ def orders(spark: SparkSession, sf: str) -> SemanticModel:
             Field("order_id", "o_orderkey", primary_key=True),
             Field("customer_id", "o_custkey"),
             Field("status", "o_orderstatus"),
-            Field("order_total", "o_totalprice", exact=MONEY),
-            Field("settled_total", "CASE WHEN o_orderstatus = 'F' THEN o_totalprice END", hidden=True, exact=MONEY),
+            Field("order_total", "o_totalprice", exact=2),
+            Field("settled_total", "CASE WHEN o_orderstatus = 'F' THEN o_totalprice END", hidden=True, exact=2),
             Field("ordered_at", "o_orderdate"),
             Field("priority", "o_orderpriority"),
         ),
@@ -85,7 +83,7 @@ def items(spark: SparkSession, sf: str) -> SemanticModel:
         "items",
         read_table(spark, sf, "lineitem"),
         primary_key=["l_orderkey", "l_linenumber"],
-        exact={"l_extendedprice": MONEY, "l_quantity": MONEY},
+        exact={"l_extendedprice": 2, "l_quantity": 2},
         joins=[Join("part", parts, "l_partkey", "p_partkey", preaggregate=True)],
         time_dimension="l_shipdate",
     )

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from conftest import CAPITAL_DDL, RATING_SCALE, capital_rows
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import percent
+from tessera.functions.numbers import exact_amount, percent
 from tessera.operators import position, quality
 from tessera.operators.exposure import concentration, due_within, exposure_by, rated_at_or_below, within_last
 from tessera.operators.metrics import Dimension, Measure, Metric, MetricLayer, MetricModel
@@ -227,3 +228,12 @@ def test_maximum_is_not_latest(spark):
     assert as_dict(rows, "entity", "cet1_ratio_pct") == {"A": 12, "B": 8}
     total = layer(falling).query(["capital_latest", "cet1_capital"]).first()
     assert (float(total.capital_latest), float(total.cet1_capital)) == (14, 24)
+
+
+def test_exact_amounts(spark):
+    values = [0.1, 0.2, 0.29, -1.15, 1234567890.07, 99999999999.99, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.x for r in df.select(exact_amount("v").alias("x")).collect()]
+    assert got == [None if v is None else Decimal(str(v)).quantize(Decimal("0.01")) for v in values]
+    thirds = df.select(exact_amount("v", 0).alias("x")).where("v = 0.29").first()
+    assert thirds.x == 0

@@ -43,7 +43,7 @@ def model(spark):
         fields=(
             Field("oid", primary_key=True),
             Field("store_id"),
-            Field("total", exact="decimal(18,2)"),
+            Field("total", exact=2),
             Field("double_total", "total * 2", hidden=True),
         ),
         joins=(Join("stores", stores, "store_id", "sid", preaggregate=True),),
