@@ -136,9 +136,8 @@ class MetricLayer:
             by_model.setdefault(self._measures[metric.measure][0].name, []).append(metric)
 
         parts = [
-            part
+            self._aggregate(self.models[model], members, groups, tuple(where or ()))
             for model, members in by_model.items()
-            for part in self._aggregate(self.models[model], members, groups, tuple(where or ()))
         ]
         combined = self._combine(parts, groups)
         if spine is not None:
@@ -184,27 +183,29 @@ class MetricLayer:
 
     def _aggregate(
         self, model: MetricModel, members: list[Metric], groups: list[_Group], where: tuple[str, ...]
-    ) -> list[DataFrame]:
-        """One aggregate for the model's measures, and one more for its ``latest`` ones."""
+    ) -> DataFrame:
+        """The model's measures per group, from one pass over its facts.
+
+        ``latest`` measures need the day as a further key; the others are then taken per day
+        first and merged.
+        """
         facts = reduce(lambda df, text: df.where(F.expr(text)), where, model.frame)
         keys = [self._group_column(model, g) for g in groups]
         aliases = [F.col(g.alias) for g in groups]
         named = [(m.name, self._measures[m.measure][1]) for m in members]
         plain = [(n, m) for n, m in named if m.agg != "latest"]
         newest = [(n, m) for n, m in named if m.agg == "latest"]
-        parts = []
-        if plain:
-            states = [s for n, m in plain for s in aggregate(m.agg).partial(m.value(), n)]
-            parts.append(
-                facts.groupBy(*keys).agg(*states).select(*aliases, *[aggregate(m.agg).finish(n) for n, m in plain])
-            )
+        states = [s for n, m in plain for s in aggregate(m.agg).partial(m.value(), n)]
         if newest:
             time = model.time()
-            at = truncate(F.expr(time.expr or f"`{time.name}`"), "day").alias("__at")
-            daily = facts.groupBy(*keys, at).agg(*[F.sum(m.value()).alias(n) for n, m in newest])
-            last = [F.max_by(n, "__at").alias(n) for n, _ in newest]
-            parts.append(daily.groupBy(*aliases).agg(*last))
-        return parts
+            day = truncate(F.expr(time.expr or f"`{time.name}`"), "day").alias("__day")
+            daily = facts.groupBy(*keys, day).agg(*states, *[F.sum(m.value()).alias(n) for n, m in newest])
+            merged = [s for n, m in plain for s in aggregate(m.agg).merge(n)]
+            grouped = daily.groupBy(*aliases).agg(*merged, *[F.max_by(n, "__day").alias(n) for n, _ in newest])
+        else:
+            grouped = facts.groupBy(*keys).agg(*states)
+        finished = [aggregate(m.agg).finish(n) for n, m in plain]
+        return grouped.select(*aliases, *finished, *[F.col(n) for n, _ in newest])
 
     def _combine(self, parts: list[DataFrame], groups: list[_Group]) -> DataFrame:
         """Lay the parts side by side on their group keys, null keys matching null keys.

@@ -38,6 +38,7 @@ def capital_model(frame: DataFrame) -> MetricModel:
     )
 
 
+# Names and labels of the capital metrics.
 CAPITAL_METRICS = (
     Metric("cet1_ratio", "CET1 Ratio (%)", "Average of the reported ratios.", measure="cet1_ratio_avg"),
     Metric(

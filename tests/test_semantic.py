@@ -6,6 +6,8 @@ import random
 
 import pytest
 from conftest import plan_of
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tessera.functions import formulas
 from tessera.operators.semantic import (
@@ -180,3 +182,35 @@ def test_catalog_registers_once(spark):
     assert catalog.ingest({"a": spark.range(1), "b": spark.range(1), "c": spark.range(1)}, ["a", "b"]) == ["a", "b"]
     with pytest.raises(ValueError, match="unknown model"):
         catalog.model("c")
+
+
+@st.composite
+def arithmetic(draw, depth=3):
+    if depth == 0 or draw(st.booleans()):
+        return draw(st.sampled_from(["a:sum", "b:max", "*:count", "2", "0.5"]))
+    left, right = draw(arithmetic(depth=depth - 1)), draw(arithmetic(depth=depth - 1))
+    return f"({left} {draw(st.sampled_from('+-*/'))} {right})"
+
+
+def test_formulas_follow_arithmetic(spark):
+    """Random formulas against Python, with null for a zero divisor."""
+    texts: list[str] = []
+
+    @settings(max_examples=40, deadline=None, database=None)
+    @given(arithmetic())
+    def collect(text):
+        texts.append(text)
+
+    collect()
+    values = {"a_sum": 3.0, "b_max": -1.5, "count": 2.0}
+    row = spark.createDataFrame([tuple(values.values())], "a_sum double, b_max double, count double")
+    unique = list(dict.fromkeys(texts))
+    columns = [formulas.to_column(formulas.parse(t).tree).cast("double").alias(f"f{i}") for i, t in enumerate(unique)]
+    got = row.select(*columns).first()
+    for i, text in enumerate(unique):
+        plain = text.replace("a:sum", "a_sum").replace("b:max", "b_max").replace("*:count", "count")
+        try:
+            expected = eval(plain, {"__builtins__": {}}, values)
+        except ZeroDivisionError:
+            expected = None
+        assert got[i] == (None if expected is None else pytest.approx(expected)), text
