@@ -225,8 +225,16 @@ def _flat(path: Sequence[str], column: str) -> str:
     return "__".join([*path, column])
 
 
-def _resolve_filter(text: str, paths: _Paths) -> tuple[Column, bool]:
-    """A filter over flat names, and whether it reads a joined model."""
+@dataclass(frozen=True)
+class _Filter:
+    """A condition over flat names; ``carried`` are root columns a joined condition reads too."""
+
+    condition: Column
+    joined: bool
+    carried: tuple[str, ...]
+
+
+def _resolve_filter(text: str, paths: _Paths) -> _Filter:
     joined = False
 
     def swap(found: re.Match) -> str:
@@ -240,7 +248,9 @@ def _resolve_filter(text: str, paths: _Paths) -> tuple[Column, bool]:
         part if part.startswith("'") else re.sub(r"[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+", swap, part)
         for part in _QUOTED.split(text)
     ]
-    return F.expr("".join(parts)), joined
+    words = {w for part in parts if not part.startswith("'") for w in re.findall(r"\w+", part)}
+    carried = tuple(f.name for f in paths.root.fields if joined and f.name in words)
+    return _Filter(F.expr("".join(parts)), joined, carried)
 
 
 def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
@@ -252,9 +262,9 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
     filters = [_resolve_filter(f, paths) for f in query.filters]
 
     facts = model.logical()
-    for condition, joined in filters:
-        if not joined:
-            facts = facts.where(condition)
+    for item in filters:
+        if not item.joined:
+            facts = facts.where(item.condition)
 
     values = {}
     for term in terms:
@@ -264,20 +274,28 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
             exact = model.field(term.column).exact if term.aggregate in ("sum", "avg", "average") else None
             values[term] = F.col(term.column) if exact is None else exact_amount(term.column, exact)
 
-    own = [_dimension_column(d, flat).alias(flat_name(d, flat)) for d, flat in dims if "." not in d.name]
-    first_steps = [model.join(path[0]) for path in paths.columns if len(path) == 1]
-    links = [F.col(j.foreign_key).alias(f"__fk_{j.name}") for j in first_steps]
+    own = {flat_name(d, flat): _dimension_column(d, flat) for d, flat in dims if "." not in d.name}
+    own |= {name: F.col(name) for item in filters for name in item.carried}
+    links = {}
+    for path in paths.columns:
+        key = model.join(path[0]).foreign_key
+        # A foreign key that is itself asked for serves as the link, so that one shuffle does for both.
+        links[path] = key if len(path) == 1 and key in own else "__fk_" + "_".join(path)
+    for path, link in links.items():
+        if len(path) == 1 and link not in own:
+            own[link] = F.col(model.join(path[0]).foreign_key)
 
     inputs = {t: F.col(f"__in_{t.alias}") for t in terms}
-    facts = facts.select(*own, *links, *[values[t].alias(f"__in_{t.alias}") for t in terms])
+    taken = [values[t].alias(f"__in_{t.alias}") for t in terms]
+    facts = facts.select(*[column.alias(name) for name, column in own.items()], *taken)
     merged = False
     for path in sorted(paths.columns, key=len):
         if _join_at(model, path).preaggregate:
             facts, merged = _collapse(facts, inputs, merged), True
-        facts = _join_target(facts, model, path, paths)
-    for condition, joined in filters:
-        if joined:
-            facts = facts.where(condition)
+        facts = _join_target(facts, model, path, paths, links)
+    for item in filters:
+        if item.joined:
+            facts = facts.where(item.condition)
 
     names = [flat_name(d, flat) for d, flat in dims]
     keys = [
@@ -331,17 +349,20 @@ def _dimension_column(dimension: Dimension, flat: str) -> Column:
     return truncate(F.col(flat), dimension.grain) if dimension.grain else F.col(flat)
 
 
-def _join_target(facts: DataFrame, root: SemanticModel, path: tuple[str, ...], paths: _Paths) -> DataFrame:
+def _join_target(
+    facts: DataFrame, root: SemanticModel, path: tuple[str, ...], paths: _Paths, links: dict[tuple[str, ...], str]
+) -> DataFrame:
     """Left join of one target: its key, the columns read, and the links further on."""
     join = _join_at(root, path)
-    onward = [p[-1] for p in paths.columns if len(p) == len(path) + 1 and p[: len(path)] == path]
-    link = "__fk_" + "_".join(path)
+    onward = [p for p in paths.columns if len(p) == len(path) + 1 and p[: len(path)] == path]
     target = join.target.logical().select(
         F.col(join.key).alias("__pk"),
         *[F.col(c).alias(_flat(path, c)) for c in sorted(paths.columns[path])],
-        *[F.col(join.target.join(n).foreign_key).alias("__fk_" + "_".join([*path, n])) for n in onward],
+        *[F.col(join.target.join(p[-1]).foreign_key).alias(links[p]) for p in onward],
     )
-    return facts.join(target, F.col(link) == F.col("__pk"), "left").drop("__pk", link)
+    link = links[path]
+    spent = [link] if link.startswith("__fk_") else []
+    return facts.join(target, F.col(link) == F.col("__pk"), "left").drop("__pk", *spent)
 
 
 def _finish(

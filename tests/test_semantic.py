@@ -105,6 +105,22 @@ def test_filter_on_joined_column_and_quoted_dots(model):
     assert none["count"] == 0
 
 
+def test_filter_over_both_sides(model):
+    text = "stores.name = 'A' OR store_id = 11 OR (stores.regions.name = 'total' AND total > 1)"
+    rows = ask(model, measures=["*:count"], dimensions=["stores.name"], filters=[text]).collect()
+    counts = {r.stores_name: r["count"] for r in ask(model, measures=["*:count"], dimensions=["stores.name"]).collect()}
+    assert {r.stores_name: r["count"] for r in rows} == {"A": counts["A"], "B": counts["B"]}
+
+
+def test_foreign_key_asked_for_is_the_link(spark, model):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(ask(model, measures=["*:count"], dimensions=["store_id", "stores.name"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_empty_input_gives_one_row_without_dimensions(model):
     row = ask(model, measures=["*:count", "total:sum"], filters=["total > 1000"]).first()
     assert (row["count"], row.total_sum) == (0, None)
