@@ -163,16 +163,18 @@ def required_date(as_of: dt.date | str, promise: str) -> Column:
     """The newest date that must be in a table on ``as_of``.
 
     ``T+n`` asks for data no older than ``n`` business days. ``PnD`` asks for the last quarter
-    end whose deadline of ``n`` business days has passed.
+    end whose deadline of ``n`` business days has passed; months, as in ``P1M``, are added first.
     """
     today = as_date(as_of)
     rolling = re.match(r"^T\+(\d+)$", promise.strip())
     if rolling:
         return add_business_days(today, -int(rolling.group(1)))
-    days = Period.parse(promise).days
-    quarter = F.date_sub(truncate(today, "quarter"), 1)
-    earlier = F.date_sub(truncate(quarter, "quarter"), 1)
-    return F.when(add_business_days(quarter, days) <= today, quarter).otherwise(earlier)
+    period = Period.parse(promise)
+    ends = [F.date_sub(truncate(today, "quarter"), 1)]
+    for _ in range(period.months // 3 + period.days // 60 + 1):
+        ends.append(F.date_sub(truncate(ends[-1], "quarter"), 1))
+    due = [F.when(add_business_days(F.add_months(end, period.months), period.days) <= today, end) for end in ends]
+    return F.coalesce(*due)
 
 
 def freshness(df: DataFrame, table: str, column: str, as_of: dt.date | str, promise: str) -> DataFrame:

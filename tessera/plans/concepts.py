@@ -86,7 +86,7 @@ def declared_triples(spark: SparkSession) -> DataFrame:
         rows += [(iri, t.RDF_TYPE, t.OWL_CLASS, None, None), (iri, t.LABEL, label, "en", t.LANG_STRING)]
         rows += [(iri, V.column, column, None, t.XSD_STRING)] if column else []
         rows += [(iri, V.minimum, minimum, None, t.XSD_STRING)] if minimum else []
-    return spark.createDataFrame(rows, t.SCHEMA)
+    return spark.createDataFrame(rows, t.SCHEMA).coalesce(1)
 
 
 def _edges(spark, sf) -> DataFrame:

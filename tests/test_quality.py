@@ -82,6 +82,11 @@ def test_grains(spark):
         ("2026-04-07", "P5D", "2026-03-31"),
         ("2026-04-06", "P5D", "2025-12-31"),
         ("2026-03-31", "P5D", "2025-12-31"),
+        ("2026-04-29", "P1M", "2025-12-31"),
+        ("2026-04-30", "P1M", "2026-03-31"),
+        ("2026-06-30", "P6M", "2025-12-31"),
+        ("2026-06-29", "P6M", "2025-09-30"),
+        ("2026-06-20", "P90D", "2025-12-31"),
         ("2026-06-01", "T+1", "2026-05-29"),
         ("2026-06-03", "T+1", "2026-06-02"),
     ],
