@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster an executor
     could not read what another one wrote there.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
