@@ -85,13 +85,14 @@ def labels(triples: DataFrame) -> DataFrame:
 def linked_label(triples: DataFrame, predicate: str, out: str, kind: str = t.OWL_CLASS) -> DataFrame:
     """Per concept the label of what ``predicate`` points to; null where there is none.
 
-    Labels are first reduced to the nodes pointed at. Few targets are the rule, so the last
-    join is small on one side; should one target be named by a third of all concepts, the
-    adaptive skew join splits it.
+    Labels are first reduced to the nodes pointed at and written out. Few targets are the rule,
+    and then Spark, knowing the size, broadcasts them; should there be many, and one of them
+    named by a third of all concepts, the adaptive skew join splits it.
     """
     own = describe(triples, kind, {"label": t.LABEL, "__to": predicate})
     targets = own.select(F.col("__to").alias("concept")).where(F.col("concept").isNotNull()).distinct()
     named = targets.join(labels(triples), "concept").select(F.col("concept").alias("__to"), F.col("label").alias(out))
+    named = materialise(named, "target-labels")
     return own.join(named, "__to", "left").select("concept", "label", out)
 
 
@@ -244,14 +245,15 @@ def threshold_check(
 ) -> DataFrame:
     """Mapped columns of each row against the minimum their concept requires.
 
-    Only the mapped columns that carry a minimum are unfolded to rows; there are no more of
-    them than the table has columns.
+    The rules are written out first, so that Spark knows how few they are and does not shuffle
+    the unfolded rows by the handful of column names.
     """
     properties = {"label": t.LABEL, "column_name": vocabulary.column, "minimum": vocabulary.minimum}
     rules = describe(triples, t.OWL_CLASS, properties).where(F.col("column_name").isin(*columns))
     rules = rules.select("column_name", "label", percent_text("minimum").alias("minimum_pct"))
+    rules = materialise(rules.where(F.col("minimum_pct").isNotNull()), "threshold-rules")
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
     unfolded = positions.select(*keys, F.inline(F.array(*pairs)))
-    checked = unfolded.join(rules.where(F.col("minimum_pct").isNotNull()), "column_name")
+    checked = unfolded.join(rules, "column_name")
     meets = F.col("value") >= F.col("minimum_pct")
     return checked.select(*keys, "column_name", "label", "value", "minimum_pct", meets.alias("meets_minimum"))
