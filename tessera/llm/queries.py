@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing
-from tessera.llm.common import table
+from tessera.llm import bpe, exact_dedup, lang_id, mixing, toxicity, url_filter
+from tessera.llm.common import remainder, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +67,52 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op3_mixing": op3_mixing}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 5) == 0
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select(
+        F.col("id").alias("doc_id"), (remainder("id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lang_id.identify(table(spark, sf_dir, "documents"), remainder("doc_id", 3) != 1)
+    return found.select(
+        F.col("id").alias("doc_id"), (remainder("id", 3) == 1).alias("held_out"), F.col("lang").alias("lang_pred"), "score", "rejected"
+    )
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
+    return coded.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+#: (host, path, verdict)
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "block_score")
+
+
+QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op3_mixing": op3_mixing,
+    "op7_toxicity": op7_toxicity,
+    "op8_language_id": op8_language_id,
+    "op9_bpe": op9_bpe,
+    "op10_url_filter": op10_url_filter,
+}
 ORACLE = {"op1_exact_dedup": OP1_SQL, "op3_mixing": OP3_SQL}
