@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+#: Folders written inside each open scope, the innermost last.
+_scopes: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
+
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
@@ -44,17 +50,46 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new folder's name; with ``keep`` it outlives the innermost :func:`scratch` block."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    scopes = _scopes.get()[: -1 if keep else None]
+    if scopes:
+        scopes[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run has written, wherever Spark keeps it."""
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables written inside, once the block ends.
+
+    Results that are still to be read are written with ``keep``: they go with the enclosing block, if
+    there is one. Outside of any block nothing is removed.
+    """
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), own))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in own:
+            remove(spark, path)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage like a checkpoint does, survives lost executors, and unlike a
     checkpoint tells the optimizer the real size, so that it broadcasts only what is small.
     """
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = new_path(spark, label, keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

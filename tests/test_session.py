@@ -6,7 +6,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tessera.session import CHECKPOINT_KEY, materialise, new_path, shared_dir
+from tessera.session import CHECKPOINT_KEY, materialise, new_path, scratch, shared_dir
 
 
 class _Conf(dict):
@@ -39,3 +39,19 @@ def test_materialise_keeps_rows_and_types(spark, capital):
     assert again.schema.simpleString() == capital.schema.simpleString()
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, capital.collect()))
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_a_scope_removes_what_it_wrote(spark, capital):
+    with scratch(spark):
+        with scratch(spark):
+            gone, kept = materialise(capital, "gone"), materialise(capital, "kept", keep=True)
+            files = [df.inputFiles()[0] for df in (gone, kept)]
+            assert all(_exists(spark, file) for file in files)
+        assert not _exists(spark, files[0]) and _exists(spark, files[1])
+        assert kept.count() == capital.count()
+    assert not _exists(spark, files[1])
+
+
+def _exists(spark, file):
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
