@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, lang_id, mixing, toxicity, url_filter
+from tessera.llm import bpe, exact_dedup, hnsw_dedup, lang_id, mixing, toxicity, url_filter
 from tessera.llm.common import remainder, table
 
 
@@ -67,6 +67,35 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
+def op4_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER (ORDER BY vec_id, label) AS r, vec_id, label, embedding::DOUBLE[] AS e,
+         label IS NOT NULL AND coalesce(len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS sound
+  FROM embeddings
+), link AS (
+  SELECT a.r AS a, b.r AS b
+  FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND a.sound AND b.sound AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(a, b) AS (
+  SELECT r, r FROM v
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), low AS (
+  SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.b = v.r GROUP BY reach.a
+), many AS (
+  SELECT a AS r, count(*) AS n FROM link GROUP BY a
+)
+SELECT v.vec_id, coalesce(many.n, 0) AS n_links, low.component_id,
+       v.vec_id IS NOT DISTINCT FROM low.component_id AS kept
+FROM v JOIN low USING (r) LEFT JOIN many USING (r)
+"""
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 5) == 0
     scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
@@ -110,9 +139,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_hnsw_dedup": op4_hnsw_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
 }
-ORACLE = {"op1_exact_dedup": OP1_SQL, "op3_mixing": OP3_SQL}
+ORACLE = {"op1_exact_dedup": OP1_SQL, "op3_mixing": OP3_SQL, "op4_hnsw_dedup": OP4_SQL}
