@@ -142,3 +142,44 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             break
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def words_of(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, lengths, words before each text) of the words in texts laid end to end."""
+    inside = ~_SPACE[flat]
+    before = np.concatenate([[False], inside[:-1]])
+    first = offsets[:-1][np.diff(offsets) > 0]
+    before[first] = False
+    starts = np.flatnonzero(inside & ~before)
+    after = np.concatenate([inside[1:], [False]])
+    last = offsets[1:][np.diff(offsets) > 0] - 1
+    after[last] = False
+    lengths = np.flatnonzero(inside & ~after) + 1 - starts
+    return starts, lengths, np.searchsorted(starts, offsets)
+
+
+def word_hashes(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, from its bytes taken eight at a time."""
+    padded = np.concatenate([flat, np.zeros(16, np.uint8)])
+    eights = np.ndarray((len(padded) - 8,), dtype="<u8", buffer=padded, strides=(1,))
+    out = mix64(lengths.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    live, done = np.arange(len(starts)), 0
+    while len(live):
+        left = lengths[live] - done
+        part = eights[starts[live] + done] & _KEEP[np.minimum(left, 8)]
+        out[live] = mix64(out[live] * np.uint64(0xD6E8FEB86659FD93) + part)
+        live, done = live[left > 8], done + 8
+    return out
+
+
+def grams(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of ``n`` neighbours; one for each run that is complete."""
+    out = hashes[: max(len(hashes) - n + 1, 0)].copy()
+    for k in range(1, n):
+        out = mix64(out * np.uint64(0xD6E8FEB86659FD93) + hashes[k : k + len(out)])
+    return out

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, hnsw_dedup, lang_id, mixing, toxicity, url_filter
+from tessera.llm import bpe, exact_dedup, hnsw_dedup, jaccard_join, lang_id, mixing, toxicity, url_filter
 from tessera.llm.common import remainder, table
 
 
@@ -27,6 +27,42 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "class_id", "n_links", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
+    )
+
+
+OP2_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT r, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
+                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+  FROM d
+), e AS (
+  SELECT r, len(g) AS n, unnest(g) AS t FROM s
+), link AS (
+  SELECT a.r AS a, b.r AS b
+  FROM e a JOIN e b ON a.t = b.t AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n)
+), reach(a, b) AS (
+  SELECT r, r FROM d
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), low AS (
+  SELECT reach.a AS r, min(d.doc_id) AS class_id FROM reach JOIN d ON reach.b = d.r GROUP BY reach.a
+), many AS (
+  SELECT a AS r, count(*) AS n FROM link GROUP BY a
+)
+SELECT d.doc_id, low.class_id, coalesce(many.n, 0) AS n_links, d.doc_id IS NOT DISTINCT FROM low.class_id AS kept
+FROM d JOIN low USING (r) LEFT JOIN many USING (r)
+"""
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -138,6 +174,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_mixing": op3_mixing,
     "op4_hnsw_dedup": op4_hnsw_dedup,
     "op7_toxicity": op7_toxicity,
@@ -145,4 +182,4 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
 }
-ORACLE = {"op1_exact_dedup": OP1_SQL, "op3_mixing": OP3_SQL, "op4_hnsw_dedup": OP4_SQL}
+ORACLE = {"op1_exact_dedup": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op3_mixing": OP3_SQL, "op4_hnsw_dedup": OP4_SQL}
