@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, hnsw_dedup, jaccard_join, lang_id, mixing, toxicity, url_filter
+from tessera.llm import bpe, exact_dedup, hnsw_dedup, jaccard_join, lang_id, mixing, suffix_dedup, toxicity, url_filter
 from tessera.llm.common import remainder, table
 
 
@@ -132,6 +132,18 @@ FROM v JOIN low USING (r) LEFT JOIN many USING (r)
 """
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, removed = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    runs = removed.select(
+        "key", F.size("spans").cast("long").alias("spans"), F.length("kept").cast("long").alias("left"), F.sha2("kept", 256).alias("sha")
+    )
+    joined = rows.join(runs, "key", "left")
+    return joined.select(
+        F.col("id").alias("doc_id"), "n_bytes", F.coalesce(F.col("n_bytes") - F.col("left"), F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("sha", F.lower(F.hex("key"))).alias("kept_sha256"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 5) == 0
     scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
@@ -177,6 +189,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_mixing": op3_mixing,
     "op4_hnsw_dedup": op4_hnsw_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_bpe": op9_bpe,
