@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, hnsw_dedup, jaccard_join, lang_id, mixing, suffix_dedup, toxicity, url_filter
+from tessera.llm import bpe, exact_dedup, hnsw_dedup, jaccard_join, lang_id, lm_score, mixing, suffix_dedup, toxicity, url_filter
 from tessera.llm.common import remainder, table
 
 
@@ -132,6 +132,40 @@ FROM v JOIN low USING (r) LEFT JOIN many USING (r)
 """
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.score(table(spark, sf_dir, "documents"))
+    mean = F.when(F.col("words") > 0, F.round(F.col("score") / F.col("words"), 6))
+    return scored.select(F.col("id").alias("doc_id"), F.col("words").alias("n_words"), F.round("score", 4).alias("log_score"), mean.alias("mean_log_score"))
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), w AS (
+  SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d
+), t AS (
+  SELECT r, i, w, CASE WHEN i > 1 THEN lag(w) OVER (PARTITION BY r ORDER BY i) END AS v FROM w
+), one AS (
+  SELECT w, r, count(*) AS own, sum(count(*)) OVER (PARTITION BY w) AS total FROM w GROUP BY w, r
+), two AS (
+  SELECT v, w, r, count(*) AS own, sum(count(*)) OVER (PARTITION BY v, w) AS total FROM t WHERE v IS NOT NULL GROUP BY v, w, r
+), p AS (
+  SELECT t.r, CASE
+    WHEN two.total > two.own THEN ln((two.total - two.own)::DOUBLE / (before.total - before.own)::DOUBLE)
+    ELSE ln(greatest((own.total - own.own)::DOUBLE, 0.5) / greatest((SELECT count(*) FROM w) - len(d.ws), 1)::DOUBLE)
+         + CASE WHEN t.v IS NULL THEN 0 ELSE ln(0.4) END
+    END AS s
+  FROM t JOIN d USING (r) JOIN one own ON own.r = t.r AND own.w = t.w
+  LEFT JOIN one before ON before.r = t.r AND before.w = t.v
+  LEFT JOIN two ON two.r = t.r AND two.v = t.v AND two.w = t.w
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(s, 0), 4) AS log_score,
+       CASE WHEN len(ws) > 0 THEN round(s / len(ws), 6) END AS mean_log_score
+FROM d LEFT JOIN (SELECT r, sum(s) AS s FROM p GROUP BY r) USING (r)
+"""
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, removed = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
     runs = removed.select(
@@ -189,10 +223,11 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_mixing": op3_mixing,
     "op4_hnsw_dedup": op4_hnsw_dedup,
+    "op5_lm_score": op5_lm_score,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
 }
-ORACLE = {"op1_exact_dedup": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op3_mixing": OP3_SQL, "op4_hnsw_dedup": OP4_SQL}
+ORACLE = {"op1_exact_dedup": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op3_mixing": OP3_SQL, "op4_hnsw_dedup": OP4_SQL, "op5_lm_score": OP5_SQL}
