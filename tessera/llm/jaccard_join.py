@@ -360,11 +360,10 @@ def keep_one(
 
     Documents without words stay. Of rows that repeat the smallest id with one set of n-grams, one stays.
     """
-    found = join(docs, id_column, text_column, words, threshold)
+    found = materialise(join(docs, id_column, text_column, words, threshold), "found")
     losers = found.filter(~F.col("id").eqNullSafe(F.col("class_id"))).select("id", "cls").distinct()
     losers = losers.select(F.col("id").alias("i"), F.col("cls").alias("c"))
-    repeated = found.filter("cls IS NOT NULL").groupBy("id", "cls").count().filter("count > 1").limit(1).count()
-    if not repeated and not found.filter("id IS NULL").limit(1).count() and found.count() == found.select("id").distinct().count():
+    if found.count() == found.filter("id IS NOT NULL").select("id").distinct().count():
         # The ids tell the rows apart: no text is needed to find them again.
         return docs.join(losers, F.col(id_column).cast("long") == F.col("i"), "left_anti")
     whole = _signed(docs, id_column, text_column, words, whole=True).select("id", "cls", "row")
