@@ -78,7 +78,7 @@ class Block:
             seen = together > 0
             logs[self.second[~seen]] += np.log(BACKOFF)
             logs[self.second[seen]] = np.log(together[seen] / others[self.second[seen] - 1])
-        return np.bincount(self.doc, weights=logs, minlength=len(self.sizes))
+        return np.bincount(self.doc, weights=logs, minlength=len(self.sizes)).astype(np.float64)
 
 
 def pack(values: np.ndarray) -> bytes:
