@@ -32,10 +32,15 @@ def quarter_end(col: Column) -> Column:
 
 @dataclass(frozen=True)
 class Period:
-    """A calendar length: whole months plus whole days."""
+    """A calendar length: whole months, weeks and days. A week is seven days, or five business days."""
 
     months: int
     days: int
+    weeks: int = 0
+
+    @property
+    def business_days(self) -> int:
+        return 5 * self.weeks + self.days
 
     @classmethod
     def parse(cls, text: str) -> Period:
@@ -43,13 +48,10 @@ class Period:
         if not found or not any(found.groups()):
             raise ValueError(f"not an ISO-8601 date period: {text!r}")
         years, months, weeks, days = (int(g or 0) for g in found.groups())
-        return cls(years * 12 + months, weeks * 7 + days)
+        return cls(years * 12 + months, days, weeks)
 
     def before(self, col: Column) -> Column:
-        return F.date_sub(F.add_months(col, -self.months), self.days)
-
-    def after(self, col: Column) -> Column:
-        return F.date_add(F.add_months(col, self.months), self.days)
+        return F.date_sub(F.add_months(col, -self.months), 7 * self.weeks + self.days)
 
 
 def add_business_days(col: Column, days: int) -> Column:

@@ -1,4 +1,4 @@
-"""Ratios and percentages that return null, not an error, on a zero divisor."""
+"""Ratios and percentages that return null, not an error, on a zero divisor; lossless sums of amounts."""
 
 from __future__ import annotations
 
@@ -22,14 +22,46 @@ def percent(numerator: Column | str, denominator: Column | str) -> Column:
     return ratio(numerator, denominator) * F.lit(100.0)
 
 
-def exact_amount(value: Column | str, scale: int = 2) -> Column:
-    """A double that holds an amount of ``scale`` decimals as the decimal it stands for.
+#: Whole amounts are counted in blocks of this many, so that sums of either part stay 64-bit.
+_BLOCK = 1 << 16
 
-    Sums of these do not depend on the order of adding. Goes by way of whole units, which costs
-    far less than casting every double to a decimal.
+
+def exact_parts(value: Column | str, scale: int = 2) -> dict[str, Column]:
+    """A double amount in parts whose sums lose nothing and do not depend on the order of adding.
+
+    ``high`` and ``low`` count units of ``10^-scale``, in blocks and within a block. ``rest`` is what
+    the units leave over: nothing for an amount of ``scale`` decimals. ``odd`` holds NaN, infinities
+    and amounts of 1e20 and more, which no unit count can hold; for them the other parts are null.
     """
-    units = F.rint(_col(value) * F.lit(10.0**scale)).cast("bigint").cast("decimal(18,0)")
-    return units * F.lit(Decimal(1).scaleb(-scale))
+    unit = 10.0**scale
+    given = _col(value).cast("double")
+    usable = F.when(F.abs(given) < 1e20, given)
+    blocks = F.floor(usable / _BLOCK)
+    inner = usable - blocks.cast("double") * _BLOCK
+    low = F.rint(inner * unit).cast("bigint")
+    counted = (blocks.cast("double") * _BLOCK * unit + low.cast("double")) / unit
+    # Up to here a double tells the units of an amount apart, and the nearest amount leaves no rest.
+    rest = F.when(F.abs(usable) * unit < 9e15, usable - counted).otherwise(inner - low.cast("double") / unit)
+    return {
+        "high": blocks * F.lit(10**scale),
+        "low": low,
+        "rest": rest,
+        "odd": F.when(~(F.abs(given) < 1e20), given),
+    }
+
+
+def exact_total(high: Column, low: Column, rest: Column, scale: int = 2) -> Column:
+    """Summed parts as a decimal of at least six decimals."""
+    units = high.cast("decimal(19,0)") * F.lit(Decimal(_BLOCK)) + low.cast("decimal(19,0)")
+    return units * F.lit(Decimal(1).scaleb(-scale)) + rest.cast(f"decimal(22,{max(scale, 6)})")
+
+
+def exact_sum(value: Column | str, scale: int = 2) -> Column:
+    """Sum of amounts held as doubles, without loss up to the double it returns."""
+    parts = {name: F.sum(part) for name, part in exact_parts(value, scale).items()}
+    odd = parts.pop("odd")
+    total = exact_total(**parts, scale=scale).cast("double")
+    return F.when(odd.isNotNull(), F.coalesce(total, F.lit(0.0)) + odd).otherwise(total)
 
 
 def percent_text(value: Column | str) -> Column:

@@ -19,7 +19,3 @@ def size_label(chars: Column) -> Column:
 def preview(col: Column, width: int = 400) -> Column:
     return F.substring(col, 1, width)
 
-
-def tidy(col: Column, default: str = "not specified") -> Column:
-    """Trimmed text, or ``default`` where it is missing."""
-    return F.coalesce(F.trim(col), F.lit(default))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import ratio
+from tessera.functions.numbers import exact_parts, exact_total, ratio
 
 
 @dataclass(frozen=True)
@@ -17,6 +17,8 @@ class Aggregate:
 
     states: dict[str, tuple[Callable[[Column], Column], Callable[[Column], Column]]]
     result: Callable[[dict[str, Column]], Column]
+    #: Whether the result is a decimal, beside which the state ``odd`` holds what no decimal can.
+    exact: bool = False
 
     def partial(self, value: Column, alias: str) -> list[Column]:
         return [first(value).alias(f"{alias}__{state}") for state, (first, _) in self.states.items()]
@@ -45,8 +47,29 @@ AGGREGATES: dict[str, Aggregate] = {
 }
 
 
-def aggregate(name: str) -> Aggregate:
-    try:
-        return AGGREGATES[name]
-    except KeyError:
-        raise ValueError(f"unknown aggregate {name!r}, expected one of {', '.join(AGGREGATES)}") from None
+def _exact(name: str, scale: int) -> Aggregate:
+    """A sum or an average of doubles that hold amounts of ``scale`` decimals."""
+
+    def part(which: str) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
+        return (lambda value: F.sum(exact_parts(value, scale)[which])), F.sum
+
+    def total(states: dict[str, Column]) -> Column:
+        return exact_total(states["high"], states["low"], states["rest"], scale)
+
+    def average(states: dict[str, Column]) -> Column:
+        plain, odd = total(states).cast("double"), states["odd"]
+        return ratio(F.when(odd.isNotNull(), F.coalesce(plain, F.lit(0.0)) + odd).otherwise(plain), states["n"])
+
+    states = {which: part(which) for which in ("high", "low", "rest", "odd")}
+    if name == "sum":
+        return Aggregate(states, total, exact=True)
+    return Aggregate(states | {"n": _COUNT}, average)
+
+
+def aggregate(name: str, scale: int | None = None) -> Aggregate:
+    """The aggregate of that name; with a ``scale``, sums of doubles that hold amounts lose nothing."""
+    if name not in AGGREGATES:
+        raise ValueError(f"unknown aggregate {name!r}, expected one of {', '.join(AGGREGATES)}")
+    if scale is not None and name in ("sum", "avg", "average"):
+        return _exact(name, scale)
+    return AGGREGATES[name]

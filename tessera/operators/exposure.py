@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import as_date
-from tessera.functions.numbers import percent
+from tessera.functions.numbers import exact_sum, percent
+
+
+def due_this_week(col: Column, as_of: dt.date | str) -> Column:
+    """Settles from ``as_of`` to the Sunday of its week."""
+    day = dt.date.fromisoformat(str(as_of))
+    return due_within(col, day, 6 - day.weekday(), overdue=False)
 
 
 def due_within(col: Column, as_of: dt.date | str, days: int, overdue: bool = True) -> Column:
@@ -38,12 +44,13 @@ def rated_at_or_below(col: Column, floor: str, scale: Sequence[str]) -> Column:
     return col.isin(*scale[list(scale).index(floor) :])
 
 
-def exposure_by(df: DataFrame, keys: Sequence[str], amount: Column, out: str = "exposure") -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(amount).alias(out), F.count(F.lit(1)).alias("trades"))
+def exposure_by(df: DataFrame, keys: Sequence[str], amount: str, out: str = "exposure", scale: int = 2) -> DataFrame:
+    """Sum and number of trades per key; amounts are doubles of ``scale`` decimals."""
+    return df.groupBy(*keys).agg(exact_sum(amount, scale).alias(out), F.count(F.lit(1)).alias("trades"))
 
 
 def concentration(df: DataFrame, keys: Sequence[str], amount: Column, out: str = "exposure") -> DataFrame:
-    """Exposure per key and its share of the total in percent.
+    """Exposure per key and its share of the total in percent; decimals are summed as they are.
 
     The total comes from the grouped rows as a scalar subquery: the groups are neither joined
     with it nor gathered under one window.

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import formulas
 from tessera.functions.dates import GRAINS, truncate
-from tessera.functions.numbers import exact_amount
-from tessera.operators.aggregates import AGGREGATES, aggregate
+from tessera.operators.aggregates import AGGREGATES, Aggregate, aggregate
 from tessera.operators.semantic import order_and_limit
 from tessera.sources.spine import periods
 
@@ -34,7 +33,10 @@ class Measure:
     exact: int | None = None
 
     def value(self) -> Column:
-        return F.expr(self.expr) if self.exact is None else exact_amount(F.expr(self.expr), self.exact)
+        return F.expr(self.expr)
+
+    def aggregate(self) -> Aggregate:
+        return aggregate("sum" if self.agg == "latest" else self.agg, self.exact)
 
 
 @dataclass(frozen=True)
@@ -143,7 +145,8 @@ class MetricLayer:
         if spine is not None:
             combined = self._fill(combined, groups, spine)
         aliases = [g.alias for g in groups]
-        out = combined.select(*[F.col(a) for a in aliases], *[self._value(n).alias(n) for n in wanted])
+        exact = [n for n in base if formulas.odd_name(n) in combined.columns]
+        out = combined.select(*[F.col(a) for a in aliases], *[self._value(n, exact).alias(n) for n in wanted])
         order = [(o.lstrip("-"), o.startswith("-")) for o in order_by or ()]
         return order_and_limit(out, order, limit or None, aliases)
 
@@ -195,17 +198,23 @@ class MetricLayer:
         named = [(m.name, self._measures[m.measure][1]) for m in members]
         plain = [(n, m) for n, m in named if m.agg != "latest"]
         newest = [(n, m) for n, m in named if m.agg == "latest"]
-        states = [s for n, m in plain for s in aggregate(m.agg).partial(m.value(), n)]
+        states = [s for n, m in named for s in m.aggregate().partial(m.value(), n)]
         if newest:
             time = model.time()
             day = truncate(F.expr(time.expr or f"`{time.name}`"), "day").alias("__day")
-            daily = facts.groupBy(*keys, day).agg(*states, *[F.sum(m.value()).alias(n) for n, m in newest])
-            merged = [s for n, m in plain for s in aggregate(m.agg).merge(n)]
-            grouped = daily.groupBy(*aliases).agg(*merged, *[F.max_by(n, "__day").alias(n) for n, _ in newest])
+            daily = facts.groupBy(*keys, day).agg(*states)
+            merged = [s for n, m in plain for s in m.aggregate().merge(n)]
+            last = [
+                F.max_by(column, "__day").alias(column)
+                for n, m in newest
+                for column in (f"{n}__{state}" for state in m.aggregate().states)
+            ]
+            grouped = daily.groupBy(*aliases).agg(*merged, *last)
         else:
             grouped = facts.groupBy(*keys).agg(*states)
-        finished = [aggregate(m.agg).finish(n) for n, m in plain]
-        return grouped.select(*aliases, *finished, *[F.col(n) for n, _ in newest])
+        finished = [m.aggregate().finish(n) for n, m in named]
+        odd = [F.col(f"`{formulas.odd_name(n)}`") for n, m in named if m.aggregate().exact]
+        return grouped.select(*aliases, *finished, *odd)
 
     def _combine(self, parts: list[DataFrame], groups: list[_Group]) -> DataFrame:
         """Lay the parts side by side on their group keys, null keys matching null keys.
@@ -221,19 +230,21 @@ class MetricLayer:
         return stacked.groupBy(*keys).agg(*[F.max(v).alias(v) for v in values])
 
     def _fill(self, combined: DataFrame, groups: list[_Group], spine: DataFrame) -> DataFrame:
-        """Left join from the spine's periods to the aggregate, which is already small."""
+        """The spine's periods beside the aggregate, which is already small.
+
+        Facts before or after the spine, and those without a date, keep their rows.
+        """
         times = [g for g in groups if g.name == METRIC_TIME]
         if len(times) != 1:
             raise ValueError(f"period fill needs one {METRIC_TIME} grouping")
         time = times[0]
         grain = time.grain or "day"
-        return periods(spine, grain).withColumnRenamed("period", time.alias).join(combined, time.alias, "left")
+        return periods(spine, grain).withColumnRenamed("period", time.alias).join(combined, time.alias, "full")
 
-    def _value(self, name: str) -> Column:
+    def _value(self, name: str, exact: list[str]) -> Column:
         metric = self.metric(name)
-        if metric.measure:
-            return F.col(name)
-        return _substitute(formulas.parse(metric.expr).tree, self)
+        tree = ast.Name(name) if metric.measure else _expanded(formulas.parse(metric.expr).tree, self)
+        return formulas.settled(tree, exact)
 
     def catalogue(self, spark: SparkSession) -> DataFrame:
         """Name, label, type, description and dimensions of every metric."""
@@ -293,14 +304,14 @@ class MetricLayer:
         return everything.join(notes, ["kind", "name"], "left").withColumn("valid", F.col("message").isNull())
 
 
-def _substitute(tree, layer: MetricLayer) -> Column:
+def _expanded(tree: ast.expr, layer: MetricLayer) -> ast.expr:
     """A derived metric's arithmetic with every metric name replaced by its own value."""
     class Expand(ast.NodeTransformer):
         def visit_Name(self, node: ast.Name) -> ast.expr:
             metric = layer.metric(node.id)
             return node if metric.measure else self.visit(formulas.parse(metric.expr).tree)
 
-    return formulas.to_column(Expand().visit(tree))
+    return Expand().visit(tree)
 
 
 def entity_duplicates(model: MetricModel, entity: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import percent_text
+from tessera.operators.aggregates import Aggregate, aggregate
 from tessera.session import materialise
 from tessera.sources import triples as t
 
@@ -126,34 +127,56 @@ def _inner_edges(edges: DataFrame) -> DataFrame:
     return materialise(edges.join(parents, "child", "left_semi").distinct(), "inner-edges")
 
 
-def closure(edges: DataFrame, ancestors: DataFrame | None = None) -> DataFrame:
-    """All (child, ancestor, depth) pairs with the smallest depth; cycles are harmless.
+def _leaf_parents(edges: DataFrame) -> DataFrame:
+    """(child, parent) of the concepts without children that have exactly one parent."""
+    inner = edges.select(F.col("parent").alias("child")).distinct()
+    leaves = edges.join(inner, "child", "left_anti").groupBy("child")
+    one = leaves.agg(F.min("parent").alias("parent"), F.max("parent").alias("other"))
+    return materialise(one.where("parent = other").select("child", "parent"), "leaf-parents")
+
+
+def _above(edges: DataFrame, ancestors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(edges, above): for every parent its (parent, ancestor, depth), itself at depth 1.
 
-    Only inner nodes go through the rounds, each round extending the pairs that the round
-    before found first. Leaves, usually nearly all nodes, take one join with the result. The
-    loop ends when a round finds nothing new, which it must, as pairs are finite. With
-    ``ancestors`` only pairs below those concepts are unfolded to the leaves.
+    Only inner nodes go through the rounds. A round joins the pairs found so far with themselves, so the
+    length of the paths doubles; the rounds end when one finds nothing new, which it must, as pairs are
+    finite. The result is written: Spark then knows how small it is beside the edges.
     """
     edges = materialise(edges, "edges")
     inner = _inner_edges(edges)
-    frontier = inner.select("child", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
-    found, depth = frontier, 1
+    found = inner.select("child", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
+    found, known, rounds = materialise(found, "closure-round"), None, 0
     while True:
-        depth += 1
-        step = frontier.join(inner.withColumnRenamed("child", "ancestor"), "ancestor")
-        pairs = step.select("child", F.col("parent").alias("ancestor")).where(F.col("child") != F.col("ancestor"))
-        fresh = pairs.distinct().join(found, ["child", "ancestor"], "left_anti").withColumn("depth", F.lit(depth))
-        frontier = materialise(fresh, f"closure-round-{depth}")
-        if frontier.isEmpty():
+        size = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("depth"), F.lit(0))).first()
+        if size == known:
             break
-        found = found.unionByName(frontier)
+        known, rounds = size, rounds + 1
+        on = found.select(F.col("child").alias("ancestor"), F.col("ancestor").alias("top"), F.col("depth").alias("more"))
+        longer = found.join(on, "ancestor").where(F.col("child") != F.col("top"))
+        longer = longer.select("child", F.col("top").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
+        reached = found.unionByName(longer).groupBy("child", "ancestor").agg(F.min("depth").alias("depth"))
+        found = materialise(reached, f"closure-round-{rounds}")
     itself = edges.select("parent", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct()
-    above = found.select(F.col("child").alias("parent"), "ancestor", (F.col("depth") + 1).alias("depth"))
-    above = itself.unionByName(above)
+    above = itself.unionByName(
+        found.select(F.col("child").alias("parent"), "ancestor", (F.col("depth") + 1).alias("depth"))
+    )
     if ancestors is not None:
         above = above.join(ancestors.select("ancestor").distinct(), "ancestor", "left_semi")
-    reached = edges.join(above, "parent").where(F.col("child") != F.col("ancestor"))
-    return reached.groupBy("child", "ancestor").agg(F.min("depth").alias("depth"))
+    return edges, materialise(above, "above")
+
+
+def closure(edges: DataFrame, ancestors: DataFrame | None = None) -> DataFrame:
+    """All (child, ancestor, depth) pairs with the smallest depth; cycles are harmless.
+
+    Inner nodes are closed in rounds, see :func:`_above`. Leaves, usually nearly all nodes, take one join
+    with the result, and those with one parent need no regrouping: their depths are the smallest already.
+    With ``ancestors`` only pairs below those concepts are unfolded to the leaves.
+    """
+    edges, above = _above(edges, ancestors)
+    single = _leaf_parents(edges)
+    plain = single.join(above, "parent").select("child", "ancestor", "depth")
+    others = edges.join(single, "child", "left_anti").join(above, "parent").where(F.col("child") != F.col("ancestor"))
+    return plain.unionByName(others.groupBy("child", "ancestor").agg(F.min("depth").alias("depth")))
 
 
 def is_subclass_of(pairs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -209,16 +232,40 @@ def _extend(reached: DataFrame, edges: DataFrame, separator: str) -> DataFrame:
     return best.select("concept", "way.path", "way.depth")
 
 
-def roll_up(values: DataFrame, closed: DataFrame, concept: str, value: str, out: str) -> DataFrame:
+def roll_up(
+    values: DataFrame, edges: DataFrame, concept: str, value: str, out: str, scale: int | None = None
+) -> DataFrame:
     """Each concept's own value plus those of all its descendants, each counted once.
 
     Values are summed per concept before they meet the hierarchy, so a concept with very many
-    facts is one row by then.
+    facts is one row by then. A leaf with one parent is then added to the parent's own sum; only
+    inner nodes and leaves with several parents meet the closure. With a ``scale``, values are doubles
+    of that many decimals and are summed without loss.
     """
-    own = values.groupBy(F.col(concept).alias("child")).agg(F.sum(value).alias("__own"))
-    lifted = own.join(closed, "child").select(F.col("ancestor").alias("concept"), "__own")
-    everything = own.select(F.col("child").alias("concept"), "__own").unionByName(lifted)
-    return everything.groupBy("concept").agg(F.sum("__own").alias(out))
+    how = aggregate("sum", scale)
+    edges, above = _above(edges)
+    own = values.groupBy(F.col(concept).alias("child")).agg(*how.partial(F.col(value), "own"))
+    own = materialise(own, "own-values")
+    kinds = _leaf_parents(edges)
+    placed = own.join(kinds, "child", "left")
+    states = [F.col(f"own__{s}") for s in how.states]
+    single = placed.where(F.col("parent").isNotNull()).select(F.col("parent").alias("child"), *states)
+    others = placed.where(F.col("parent").isNull()).select("child", *states)
+    base = materialise(others.unionByName(single).groupBy("child").agg(*how.merge("own")), "inner-values")
+    several = edges.join(kinds, "child", "left_anti").select("child", "parent")
+    lifted = several.join(above, "parent").where(F.col("child") != F.col("ancestor")).select("child", "ancestor").distinct()
+    lifted = base.join(lifted, "child").select(F.col("ancestor").alias("concept"), *states)
+    leaves = placed.where(F.col("parent").isNotNull()).select(F.col("child").alias("concept"), *states)
+    everything = base.select(F.col("child").alias("concept"), *states).unionByName(lifted).unionByName(leaves)
+    return everything.groupBy("concept").agg(*how.merge("own")).select("concept", _plain(how).alias(out))
+
+
+def _plain(how: Aggregate) -> Column:
+    total = how.result({s: F.col(f"own__{s}") for s in how.states})
+    if not how.exact:
+        return total
+    odd = F.col("own__odd")
+    return F.when(odd.isNotNull(), F.coalesce(total.cast("double"), F.lit(0.0)) + odd).otherwise(total.cast("double"))
 
 
 def names(triples: DataFrame) -> DataFrame:
@@ -231,10 +278,11 @@ def resolve(terms: DataFrame, column: str, triples: DataFrame) -> DataFrame:
     """Distinct terms with the concepts they name; terms that name nothing keep a null.
 
     Matches and misses are taken apart. An inner join may be split on either side, so a name
-    that very many concepts share does not end up in one task.
+    that very many concepts share does not end up in one task. Both sides are written once, since
+    each is read twice.
     """
     asked = terms.select(F.col(column).alias("term")).distinct().withColumn("name", F.lower(F.trim("term")))
-    known = names(triples)
+    asked, known = materialise(asked, "terms"), materialise(names(triples), "names")
     matched = asked.join(known, "name").select("term", "concept").distinct()
     missed = asked.join(known.select("name").distinct(), "name", "left_anti")
     return matched.unionByName(missed.select("term", F.lit(None).cast("string").alias("concept")))

@@ -37,19 +37,22 @@ def latest_row(df: DataFrame, time: str, tiebreak: Sequence[str]) -> DataFrame:
 def latest_per(df: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """The newest row per key as one aggregate; no task sees a whole key.
 
-    Rows of the same time are settled by the largest ``tiebreak`` columns.
+    Rows of the same time are settled by the largest ``tiebreak`` columns, all others if none are
+    named. Rows without a time come last: a key that has no other keeps one of them.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(F.col(time), *[F.col(c) for c in tiebreak])
+    rank = F.struct(F.col(time), *[F.col(c) for c in tiebreak or [c for c in rest if c != time]])
     row = F.max_by(F.struct(*[F.col(c) for c in rest]), rank).alias("__row")
-    dated = df.where(F.col(time).isNotNull())
-    return dated.groupBy(*keys).agg(row).select(*keys, "__row.*")
+    return df.groupBy(*keys).agg(row).select(*keys, "__row.*")
 
 
 def growth_since(df: DataFrame, keys: Sequence[str], time: str, value: str, base: dt.date | str) -> DataFrame:
-    """First and last value on or after ``base``, with absolute and percent growth."""
+    """First and last value on or after ``base``, with absolute and percent growth.
+
+    Several rows of one key and time are summed first.
+    """
     period = df.where(F.col(time) >= as_date(base))
-    ends = period.groupBy(*keys).agg(
+    ends = period.groupBy(*keys, time).agg(F.sum(value).alias(value)).groupBy(*keys).agg(
         F.min_by(value, time).alias("first_value"),
         F.max_by(value, time).alias("last_value"),
     )

@@ -162,7 +162,7 @@ def schema_conformance(df: DataFrame, table: str, specs: Sequence[ColumnSpec]) -
 def required_date(as_of: dt.date | str, promise: str) -> Column:
     """The newest date that must be in a table on ``as_of``.
 
-    ``T+n`` asks for data no older than ``n`` business days. ``PnD`` asks for the last quarter
+    ``T+n`` asks for data no older than ``n`` business days. ``PnD`` (``PnW``: five a week) asks for the last quarter
     end whose deadline of ``n`` business days has passed; months, as in ``P1M``, are added first.
     """
     today = as_date(as_of)
@@ -171,9 +171,9 @@ def required_date(as_of: dt.date | str, promise: str) -> Column:
         return add_business_days(today, -int(rolling.group(1)))
     period = Period.parse(promise)
     ends = [F.date_sub(truncate(today, "quarter"), 1)]
-    for _ in range(period.months // 3 + period.days // 60 + 1):
+    for _ in range(period.months // 3 + period.business_days // 60 + 1):
         ends.append(F.date_sub(truncate(ends[-1], "quarter"), 1))
-    due = [F.when(add_business_days(F.add_months(end, period.months), period.days) <= today, end) for end in ends]
+    due = [F.when(add_business_days(F.add_months(end, period.months), period.business_days) <= today, end) for end in ends]
     return F.coalesce(*due)
 
 

@@ -90,17 +90,21 @@ def long_form(flagged: DataFrame, keys: Sequence[str], rubric: Sequence[Criterio
     return flagged.select(*keys, F.inline(F.array(*pairs)))
 
 
-def matrix(
-    flagged: DataFrame, agent: str, agents: Sequence[str], rubric: Sequence[Criterion], layers: bool = False
-) -> DataFrame:
+def matrix(flagged: DataFrame, agent: str, rubric: Sequence[Criterion]) -> DataFrame:
     """Criterion by agent: 1 where any answer of the agent passes.
 
-    The flags are reduced per agent first; only one row per agent is unfolded and pivoted.
+    The flags are reduced per agent first and written; only one row per agent is unfolded and
+    pivoted. Every agent that occurs has a column, a null one the column ``null``.
     """
     reduced = flagged.groupBy(agent).agg(*[F.max(n).alias(n) for n in flag_names(rubric)])
-    cells = long_form(reduced, [agent], rubric).withColumn("cell", F.col("passed").cast("int"))
-    heading = "layer" if layers else "criterion"
-    return cells.groupBy(F.col("criterion").alias(heading)).pivot(agent, list(agents)).agg(F.max("cell"))
+    cells = long_form(materialise(reduced, "agents"), [agent], rubric)
+    return presence(cells, "criterion", agent, "passed")
+
+
+def presence(cells: DataFrame, row: str, agent: str, present: str) -> DataFrame:
+    """Stored flags as a matrix, such as layer by agent: 1 where any flag is set, null where there is none."""
+    reduced = cells.groupBy(row, agent).agg(F.max(F.col(present).cast("int")).alias("cell"))
+    return materialise(reduced, "cells").groupBy(row).pivot(agent).agg(F.max("cell"))
 
 
 def _listed(rubric: Sequence[Criterion], test) -> Column:
@@ -135,6 +139,12 @@ def context_size(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     return df.select(*keys, chars.cast("bigint").alias("chars"), size_label(chars).alias("size"))
 
 
+def size_by_agent(df: DataFrame, agent: str, text: str) -> DataFrame:
+    """How much text each agent holds, beside the matrix of what it gets right."""
+    sizes = df.groupBy(agent).agg(F.coalesce(F.sum(F.length(text).cast("bigint")), F.lit(0)).alias("chars"))
+    return sizes.select(agent, "chars", size_label(F.col("chars")).alias("size"))
+
+
 def answer_preview(df: DataFrame, keys: Sequence[str], text: str, width: int = 400) -> DataFrame:
     """The opening of each answer, and whether more follows."""
     return df.select(*keys, preview(F.col(text), width).alias("preview"), (F.length(text) > width).alias("truncated"))

@@ -18,9 +18,8 @@ from pyspark.sql import types as T
 
 from tessera.functions import formulas
 from tessera.functions.dates import GRAINS, truncate
-from tessera.functions.numbers import exact_amount
 from tessera.operators import running
-from tessera.operators.aggregates import aggregate
+from tessera.operators.aggregates import Aggregate, aggregate
 
 _QUOTED = re.compile(r"('(?:[^']|'')*')")
 
@@ -253,9 +252,17 @@ def _resolve_filter(text: str, paths: _Paths) -> _Filter:
     return _Filter(F.expr("".join(parts)), joined, carried)
 
 
-def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
-    """The query as a lazy DataFrame, one column per dimension and measure."""
+def run(model: SemanticModel, query: SemanticQuery, decimals: bool = False) -> DataFrame:
+    """The query as a lazy DataFrame, one column per dimension and measure.
+
+    Sums of exact fields are doubles, or with ``decimals`` decimals for further sums; an amount that no
+    decimal can hold (NaN, an infinity) then makes its group's sum null.
+    """
     parsed = [formulas.parse(m.formula, m.name) for m in query.measures]
+    outputs = [f.name for f in parsed] + [d.alias for d in query.dimensions]
+    twice = sorted({name for name in outputs if outputs.count(name) > 1})
+    if twice:
+        raise ValueError(f"several columns would be named {', '.join(twice)}; give the measures names")
     terms = list(dict.fromkeys(t for f in parsed for t in f.terms))
     paths = _Paths(model)
     dims = [(d, paths.need(d.name)) for d in query.dimensions]
@@ -266,13 +273,8 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
         if not item.joined:
             facts = facts.where(item.condition)
 
-    values = {}
-    for term in terms:
-        if term.column == "*":
-            values[term] = F.lit(1)
-        else:
-            exact = model.field(term.column).exact if term.aggregate in ("sum", "avg", "average") else None
-            values[term] = F.col(term.column) if exact is None else exact_amount(term.column, exact)
+    values = {t: F.lit(1) if t.column == "*" else F.col(t.column) for t in terms}
+    how = {t: aggregate(t.aggregate, None if t.column == "*" else model.field(t.column).exact) for t in terms}
 
     own = {flat_name(d, flat): _dimension_column(d, flat) for d, flat in dims if "." not in d.name}
     own |= {name: F.col(name) for item in filters for name in item.carried}
@@ -291,7 +293,7 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
     merged = False
     for path in sorted(paths.columns, key=len):
         if _join_at(model, path).preaggregate:
-            facts, merged = _collapse(facts, inputs, merged), True
+            facts, merged = _collapse(facts, inputs, how, merged), True
         facts = _join_target(facts, model, path, paths, links)
     for item in filters:
         if item.joined:
@@ -302,36 +304,41 @@ def run(model: SemanticModel, query: SemanticQuery) -> DataFrame:
         (F.col(n) if "." not in d.name else _dimension_column(d, flat)).alias(d.alias)
         for (d, flat), n in zip(dims, names, strict=True)
     ]
-    states = _states(inputs, merged)
+    states = _states(inputs, how, merged)
     grouped = facts.groupBy(*keys).agg(*states) if states else facts.select(*keys).distinct()
     aliases = [d.alias for d in query.dimensions]
-    out = grouped.select(*[F.col(f"`{a}`") for a in aliases], *[aggregate(t.aggregate).finish(t.alias) for t in terms])
+    exact = [t.alias for t in terms if how[t].exact]
+    finished = [how[t].finish(t.alias) for t in terms]
+    odd = [F.col(f"`{formulas.odd_name(a)}`") for a in exact]
+    out = grouped.select(*[F.col(f"`{a}`") for a in aliases], *finished, *odd)
 
-    out = _finish(out, model, query, parsed, aliases)
+    out = _finish(out, model, query, parsed, aliases, exact, decimals)
     for condition in query.having:
         out = out.where(F.expr(condition))
     return order_and_limit(out, query.order, query.limit, aliases)
 
 
-def _states(inputs: dict[formulas.Term, Column], merged: bool) -> list[Column]:
+def _states(inputs: dict[formulas.Term, Column], how: dict[formulas.Term, Aggregate], merged: bool) -> list[Column]:
     """Aggregates over the facts, or over what an earlier step has made of them."""
     return [
         state
         for term, value in inputs.items()
         for state in (
-            aggregate(term.aggregate).merge(term.alias)
+            how[term].merge(term.alias)
             if merged
-            else aggregate(term.aggregate).partial(value, term.alias)
+            else how[term].partial(value, term.alias)
         )
     ]
 
 
-def _collapse(facts: DataFrame, inputs: dict[formulas.Term, Column], merged: bool) -> DataFrame:
+def _collapse(
+    facts: DataFrame, inputs: dict[formulas.Term, Column], how: dict[formulas.Term, Aggregate], merged: bool
+) -> DataFrame:
     """One row per combination of everything that is not a measure."""
     measured = {f"__in_{t.alias}" for t in inputs}
-    measured |= {f"{t.alias}__{s}" for t in inputs for s in aggregate(t.aggregate).states}
+    measured |= {f"{t.alias}__{s}" for t in inputs for s in how[t].states}
     keys = [c for c in facts.columns if c not in measured]
-    states = _states(inputs, merged)
+    states = _states(inputs, how, merged)
     return facts.groupBy(*keys).agg(*states) if states else facts.select(*keys).distinct()
 
 
@@ -366,10 +373,20 @@ def _join_target(
 
 
 def _finish(
-    out: DataFrame, model: SemanticModel, query: SemanticQuery, parsed: list[formulas.Formula], aliases: list[str]
+    out: DataFrame,
+    model: SemanticModel,
+    query: SemanticQuery,
+    parsed: list[formulas.Formula],
+    aliases: list[str],
+    exact: list[str],
+    decimals: bool,
 ) -> DataFrame:
-    """Apply the formulas' arithmetic, window calls included, to the aggregated columns."""
+    """Apply the formulas' arithmetic, window calls included, to the aggregated columns.
+
+    Window calls run over the decimals; from a sum with an odd part on, a running total is NaN.
+    """
     extra: list[str] = []
+    odd = [F.col(f"`{formulas.odd_name(a)}`").isNotNull().cast("int") for a in exact]
 
     def window(call: str, inner: Column) -> Column:
         nonlocal out
@@ -378,9 +395,13 @@ def _finish(
         extra.append(column)
         step = running.cumulative if call == "cumsum" else running.change
         out = step(out, inner, column, order=time, by=rest, block=block)
+        if call == "cumsum" and odd and not decimals:
+            out = step(out, F.greatest(F.lit(0), *odd), f"{column}_odd", order=time, by=rest, block=block)
+            return F.when(F.col(f"{column}_odd") > 0, F.lit(float("nan"))).otherwise(F.col(column).cast("double"))
         return F.col(column)
 
-    results = [(f.name, formulas.to_column(f.tree, window)) for f in parsed]
+    settle = formulas.to_column if decimals else lambda tree, window: formulas.settled(tree, exact, window)
+    results = [(f.name, settle(f.tree, window)) for f in parsed]
     return out.select(*[F.col(f"`{a}`") for a in aliases], *[column.alias(name) for name, column in results])
 
 
@@ -402,7 +423,12 @@ def _time_axis(
 def order_and_limit(
     df: DataFrame, order: Sequence[tuple[str, bool]], limit: int | None, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
-    """Sort with nulls last; ties are settled by the group keys, so that a limit is repeatable."""
+    """Sort with nulls last; ties are settled by the group keys, so that a limit is repeatable.
+
+    A limit without an order takes the first groups by their keys.
+    """
+    if limit and not order:
+        df = df.orderBy(*[_sort(c, False) for c in tiebreak or df.columns])
     if order:
         known = set(df.columns)
         for column, _ in order:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import materialise
+
 
 def events(trace: DataFrame, *kinds: str, column: str = "event") -> DataFrame:
     return trace.where(F.col(column).isin(*kinds))
@@ -37,60 +40,70 @@ def result_rows(trace: DataFrame) -> DataFrame:
     return trace.select("event", "timestamp", "rows", F.posexplode("data").alias("position", "record"))
 
 
+#: Equal parts that a range of values is cut into by one reading of the log.
+_PARTS = 1 << 20
+
+
 def latency(trace: DataFrame, event: str, value: str, quantiles: Sequence[float]) -> DataFrame:
     """Count, average, maximum and exact quantiles of a latency per event kind.
 
-    The log is read once: everything is taken from the counted values. Lines without an event
-    kind are left out.
+    The first reading reduces the rows to logarithmic bins, some millions at the very most, from which
+    all but the quantiles come. Each further reading counts within the few ranges that hold a wanted
+    rank, see :func:`_narrowed`. Every reading is reduced before its shuffle; none shuffles values. The null
+    kind is a kind, and kinds without values have n = 0.
     """
-    timed = trace.where(F.col(value).isNotNull() & F.col(event).isNotNull())
-    counted = timed.groupBy(event, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    stats = counted.groupBy(event).agg(
-        F.sum("n").alias("n"),
-        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("avg_latency"),
-        F.max("v").alias("max_latency"),
+    rows = trace.select(F.col(event).alias("kind"), F.col(value).cast("double").alias("v"))
+    bin_of = F.signum("v") * F.floor(F.log2(F.abs("v") + 1) * 4096)
+    bins = rows.groupBy("kind", bin_of.alias("bin")).agg(
+        F.count("v").alias("n"), F.sum("v").alias("sum"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    return stats.join(exact_quantiles(counted, event, quantiles), event)
-
-
-def exact_quantiles(counted: DataFrame, key: str, quantiles: Sequence[float]) -> DataFrame:
-    """Interpolated quantiles per key from (key, v, n) rows, ``n`` being how often ``v`` occurs.
-
-    A wanted rank is closed in on in three steps, none of which puts a key's values into one
-    task: logarithmic bins (some millions at the very most), then a million equal parts of the
-    bin that holds the rank, and last the few values of that part.
-    """
-    total = F.col("total") - 1
-    at = [F.lit(float(q)) * total for q in quantiles]
+    bins = materialise(bins, "latency-bins")
+    stats = bins.groupBy("kind").agg(
+        F.sum("n").alias("n"), F.try_divide(F.sum("sum"), F.sum("n")).alias("avg_latency"), F.max("hi").alias("max_latency")
+    )
+    at = [F.lit(float(q)) * (F.col("n") - 1) for q in quantiles]
     wanted = [
-        F.struct(F.lit(i).alias("q"), x.alias("at"), rank.alias("rank"))
+        F.struct(F.lit(i).alias("q"), x.alias("at"), rank.cast("long").alias("rank"))
         for i, x in enumerate(at)
         for rank in (F.floor(x), F.ceil(x))
     ]
-    totals = counted.groupBy(key).agg(F.sum("n").alias("total"))
-    asked = totals.select(key, F.inline(F.array(*wanted)))
-    ranks = asked.select(key, "rank").distinct()
-
-    size = F.abs(F.col("v").cast("double"))
-    # A bin that cannot be null lets all branches share the one shuffle of ``counted``.
-    bin_of = F.coalesce(F.signum("v") * F.floor(F.log2(size + 1) * 4096), F.lit(0.0))
-    binned = counted.withColumn("bin", bin_of)
-    bins = binned.groupBy(key, "bin").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    hit = _holding(_ranked(bins, [key], "bin", F.lit(0)).join(ranks, key))
-    hit = hit.select(key, "rank", "bin", "first", "lo", "hi")
-
-    part = F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")) * 2**20)
-    split = binned.join(hit, [key, "bin"]).withColumn("part", F.coalesce(part, F.lit(0)))
-    parts = split.groupBy(key, "rank", "part").agg(F.sum("n").alias("n"), F.min("first").alias("base"))
-    near = _holding(_ranked(parts, [key, "rank"], "part", F.col("base"))).select(key, "rank", "part", "first")
-
-    values = split.drop("first").join(near, [key, "rank", "part"])
-    exact = _holding(_ranked(values, [key, "rank"], "v", F.col("first"))).select(key, "rank", "v")
-    ends = asked.join(exact, [key, "rank"]).groupBy(key, "q", "at")
-    marks = ends.agg(F.min("v").alias("below"), F.max("v").alias("above"))
+    asked = materialise(stats.where("n > 0").select("kind", F.inline(F.array(*wanted))), "latency-ranks")
+    ranks = asked.select("kind", "rank").distinct()
+    ordered = _ranked(bins.where("n > 0"), ["kind"], "bin", F.lit(0))
+    same = F.col("kind").eqNullSafe(F.col("k"))
+    hit = ordered.join(ranks.withColumnRenamed("kind", "k"), same)
+    exact = _narrowed(rows, _holding(hit).select("kind", "rank", "lo", "hi", "first"))
+    ends = asked.join(exact.select(F.col("kind").alias("k"), F.col("rank").alias("r"), "v"), same & (F.col("rank") == F.col("r")))
+    marks = ends.groupBy("kind", "q", "at").agg(F.min("v").alias("below"), F.max("v").alias("above"))
     mark = F.col("below") + (F.col("above") - F.col("below")) * (F.col("at") - F.floor("at"))
     names = [f"p{round(q * 100)}_latency" for q in quantiles]
-    return marks.groupBy(key).agg(*[F.max(F.when(F.col("q") == i, mark)).alias(n) for i, n in enumerate(names)])
+    marks = marks.groupBy(F.col("kind").alias("k")).agg(
+        *[F.max(F.when(F.col("q") == i, mark)).alias(n) for i, n in enumerate(names)]
+    )
+    return stats.join(marks, same, "left").select(F.col("kind").alias(event), "n", "avg_latency", "max_latency", *names)
+
+
+def _narrowed(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """(kind, rank, v): the value at each rank, from ranges (kind, rank, lo, hi, first) that hold it.
+
+    The ranges are a few for each kind. The log is read again, each range in a million equal parts
+    that are counted where the rows are, until the part with the rank holds a single value.
+    """
+    found = []
+    while True:
+        hits = materialise(hits, "latency-ranges")
+        found.append(hits.where("lo = hi").select("kind", "rank", F.col("lo").alias("v")))
+        wide = hits.where("lo < hi")
+        if wide.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        ranges = wide.select(F.col("kind").alias("k"), "rank", "lo", "hi", "first")
+        inside = rows.join(ranges, F.col("kind").eqNullSafe(F.col("k")) & F.col("v").between(F.col("lo"), F.col("hi")))
+        # Halves first, so that the width of a range is finite.
+        part = F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * _PARTS)
+        parts = inside.groupBy("kind", "rank", part.alias("part")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.min("first").alias("base")
+        )
+        hits = _holding(_ranked(parts, ["kind", "rank"], "part", F.col("base"))).select("kind", "rank", "lo", "hi", "first")
 
 
 def _ranked(rows: DataFrame, by: Sequence[str], order: str, base: Column) -> DataFrame:

@@ -17,7 +17,7 @@ RUBRIC = (
     Criterion("joins clauses", (" and ", " und ", " et ", " que ")),
     Criterion("states terms", ("license", "copyright", "@", "141")),
 )
-ROLES = ("system", "user", "assistant")
+#: For the SQL side only, whose columns must be written out.
 LANGUAGES = ("de", "en", "es", "fr")
 
 
@@ -56,12 +56,19 @@ def rubric_long(spark, sf):
 
 def rubric_matrix(spark, sf):
     flagged = scoring.flags(read_table(spark, sf, "documents"), ["lang"], "text", RUBRIC)
-    return scoring.matrix(flagged, "lang", LANGUAGES, RUBRIC)
+    return scoring.matrix(flagged, "lang", RUBRIC)
 
 
 def layer_matrix(spark, sf):
-    """The same by speaker, over turns."""
-    return scoring.matrix(_turns(spark, sf), "role", ROLES, RUBRIC, layers=True)
+    """Which stored marks (layers) the documents of each language (agents) have."""
+    marks = [F.struct(F.lit(n).alias("layer"), (F.col(n) == 1).alias("present")) for n in ("quality", "toxic")]
+    stored = read_table(spark, sf, "labels").select("doc_id", F.inline(F.array(*marks)))
+    documents = read_table(spark, sf, "documents").select("doc_id", "lang")
+    return scoring.presence(stored.join(documents, "doc_id"), "layer", "lang", "present")
+
+
+def size_by_agent(spark, sf):
+    return scoring.size_by_agent(read_table(spark, sf, "documents"), "lang", "text")
 
 
 def newly_unlocked(spark, sf):
@@ -94,6 +101,7 @@ QUERIES = {
     "newly_unlocked": newly_unlocked,
     "still_missing": still_missing,
     "context_size": context_size,
+    "size_by_agent": size_by_agent,
     "answer_preview": answer_preview,
 }
 
@@ -143,7 +151,17 @@ ORACLE = {
         FROM flagged GROUP BY {_TOTAL}""",
     "rubric_long": f"{_TURN_FLAGS}, cells AS ({_unfold('flagged', 'conv_id, turn')}) SELECT * FROM cells",
     "rubric_matrix": _matrix(_DOC_FLAGS, "lang", LANGUAGES, "criterion"),
-    "layer_matrix": _matrix(_TURN_FLAGS, "role", ROLES, "layer"),
+    "layer_matrix": f"""
+        WITH cells AS (
+            SELECT 'quality' AS layer, lang, quality = 1 AS present FROM labels JOIN documents USING (doc_id)
+            UNION ALL SELECT 'toxic', lang, toxic = 1 FROM labels JOIN documents USING (doc_id))
+        SELECT layer, {", ".join(f"MAX(CAST(present AS INTEGER)) FILTER (lang = '{a}') AS {a}" for a in LANGUAGES)}
+        FROM cells GROUP BY layer""",
+    "size_by_agent": """
+        SELECT lang, CAST(SUM(LENGTH(text)) AS BIGINT) AS chars,
+               CASE WHEN SUM(LENGTH(text)) < 1000 THEN SUM(LENGTH(text)) || 'ch'
+                    ELSE printf('%.1fk', SUM(LENGTH(text)) / CAST(1000 AS DOUBLE)) END AS size
+        FROM documents GROUP BY lang""",
     "newly_unlocked": f"""{_TURN_FLAGS},
         cells AS ({_unfold('flagged', 'conv_id, turn, role')}),
         diff AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import exact_amount, percent
+from tessera.functions.numbers import percent
 from tessera.operators import position
 from tessera.operators.metrics import Dimension, Measure, Metric, MetricLayer, MetricModel, entity_duplicates
 from tessera.operators.quality import formula_mismatches
@@ -234,10 +234,8 @@ def entity_uniqueness(spark, sf):
 
 
 def ratio_of_sums(spark, sf):
-    rows = capital_position(spark, sf).select(
-        "entity", exact_amount("cet1_capital_mm").alias("capital"), exact_amount("rwa_mm").alias("assets")
-    )
-    return position.ratio_of_sums(rows, "capital", "assets", ["entity"]).select("entity", "ratio_of_sums")
+    rows = capital_position(spark, sf, decimals=True)
+    return position.ratio_of_sums(rows, "cet1_capital_mm", "rwa_mm", ["entity"]).select("entity", "ratio_of_sums")
 
 
 def latest_row(spark, sf):
@@ -268,13 +266,8 @@ def rwa_qoq(spark, sf):
 
 
 def ratio_trend(spark, sf):
-    rows = capital_position(spark, sf).select(
-        "reporting_date",
-        "cet1_ratio_pct",
-        exact_amount("cet1_capital_mm").alias("capital"),
-        exact_amount("rwa_mm").alias("assets"),
-    )
-    return _doubles(position.trend(rows, "reporting_date", "capital", "assets", "cet1_ratio_pct"), average_ratio=6)
+    rows = capital_position(spark, sf, decimals=True)
+    return _doubles(position.trend(rows, "reporting_date", "cet1_capital_mm", "rwa_mm", "cet1_ratio_pct"), average_ratio=6)
 
 
 def ratio_mismatch(spark, sf):

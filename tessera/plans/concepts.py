@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import exact_amount
 from tessera.operators import ontology as onto
 from tessera.plans.tables import CAPITAL_SQL, capital_position, read_table
 from tessera.session import new_path
@@ -100,6 +99,20 @@ def triples_scan(spark, sf):
     return t.read_ntriples(spark, path)
 
 
+def triples_malformed(spark, sf):
+    """Lines of a file that hold a triple, and lines that should but do not."""
+    said = F.concat(F.lit("<"), _iri("nation", "n_nationkey"), F.lit(f'><{t.LABEL}>"'), "n_name", F.lit('"@en.'))
+    broken = F.concat(F.lit("<"), _iri("supplier", "s_suppkey"), F.lit("> says "), "s_name")
+    lines = read_table(spark, sf, "nation").select(said.alias("value"))
+    lines = lines.unionByName(read_table(spark, sf, "supplier").select(broken.alias("value")))
+    lines = lines.unionByName(read_table(spark, sf, "region").select(F.concat(F.lit("# "), "r_name").alias("value")))
+    path = new_path(spark, "lines")
+    lines.write.text(path)
+    good = t.read_ntriples(spark, path).select(F.lit("triple").alias("line"))
+    bad = t.malformed(spark, path).select(F.lit("malformed").alias("line"))
+    return good.unionByName(bad).groupBy("line").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def concept_scan(spark, sf):
     return onto.subjects(party_triples(spark, sf), t.OWL_CLASS).withColumnRenamed("s", "concept")
 
@@ -158,10 +171,9 @@ def concept_roots(spark, sf):
 
 def hierarchy_rollup(spark, sf):
     amounts = read_table(spark, sf, "orders").select(
-        _iri("customer", "o_custkey").alias("concept"), exact_amount("o_totalprice").alias("amount")
+        _iri("customer", "o_custkey").alias("concept"), F.col("o_totalprice").alias("amount")
     )
-    rolled = onto.roll_up(amounts, onto.closure(_edges(spark, sf)), "concept", "amount", "total")
-    return rolled.withColumn("total", F.col("total").cast("double"))
+    return onto.roll_up(amounts, _edges(spark, sf), "concept", "amount", "total", scale=2)
 
 
 def resolve_alias(spark, sf):
@@ -184,6 +196,7 @@ def concept_threshold_check(spark, sf):
 
 QUERIES = {
     "triples_scan": triples_scan,
+    "triples_malformed": triples_malformed,
     "concept_scan": concept_scan,
     "concept_table": concept_table,
     "regulation_table": regulation_table,
@@ -346,4 +359,6 @@ ORACLE = {
         SELECT entity, reporting_date, 'combined_buffer', 'Combined Buffer', combined_buffer, 2.5,
                combined_buffer >= 2.5
         FROM capital_position""",
+    "triples_malformed": """
+        SELECT 'triple' AS line, COUNT(*) AS lines FROM nation UNION ALL SELECT 'malformed', COUNT(*) FROM supplier""",
 }

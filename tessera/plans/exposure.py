@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import decimals_as_doubles, exact_amount
-from tessera.operators.exposure import concentration, due_within, exposure_by, rated_at_or_below
+from tessera.functions.numbers import decimals_as_doubles, exact_sum
+from tessera.operators.exposure import concentration, due_this_week, due_within, exposure_by, rated_at_or_below
 from tessera.operators.semantic import SemanticQuery, run
 from tessera.plans.tables import orders, read_table
 from tessera.session import new_path
@@ -44,8 +44,9 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_trade_exposure(spark, sf):
     """The trades as a typed table, written and read back."""
-    nations = read_table(spark, sf, "nation")
-    homes = nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home"))
+    regions = read_table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    nations = read_table(spark, sf, "nation").join(regions, "n_regionkey", "left")
+    homes = nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("home"))
     state = F.when(F.col("status") == "O", "OPEN").when(F.col("status") == "F", "SETTLED").otherwise("DEFAULTED")
     wide = trades(spark, sf).join(homes, "c_nationkey", "left").select(
         F.col("trade_id"),
@@ -61,13 +62,13 @@ def model_trade_exposure(spark, sf):
     return saved.withColumn("notional_usd_mm", F.col("notional_usd_mm").cast("double"))
 
 
-def _open_by(spark: SparkSession, sf: str, *dimensions: str) -> DataFrame:
+def _open_by(spark: SparkSession, sf: str, *dimensions: str, filters: tuple[str, ...] = (), decimals: bool = False) -> DataFrame:
     query = SemanticQuery.of(
         measures=[{"formula": "order_total:sum", "name": "exposure"}, {"formula": "*:count", "name": "trades"}],
         dimensions=dimensions,
-        filters=[OPEN],
+        filters=[OPEN, *filters],
     )
-    return decimals_as_doubles(run(orders(spark, sf), query))
+    return run(orders(spark, sf), query, decimals)
 
 
 def open_exposure_by_counterparty(spark, sf):
@@ -80,12 +81,35 @@ def exposure_by_region(spark, sf):
 
 def exposure_by_instrument(spark, sf):
     instruments = read_table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
-    return decimals_as_doubles(exposure_by(instruments, ["o_orderpriority"], exact_amount("o_totalprice")))
+    return exposure_by(instruments, ["o_orderpriority"], "o_totalprice")
 
 
 def rating_concentration(spark, sf):
-    rated = _open_by(spark, sf, "customer.c_mktsegment").withColumnRenamed("customer_c_mktsegment", "rating")
-    return decimals_as_doubles(concentration(rated, ["rating"], exact_amount("exposure")))
+    rated = _open_by(spark, sf, "customer.c_mktsegment", decimals=True).withColumnRenamed("customer_c_mktsegment", "rating")
+    return decimals_as_doubles(concentration(rated, ["rating"], F.col("exposure")))
+
+
+def exposure_rated_at_or_below(spark, sf):
+    """Which counterparties stand at the rating or worse, and the open exposure to each."""
+    low = ", ".join(f"'{r}'" for r in SCALE[SCALE.index(FLOOR) :])
+    rated = _open_by(
+        spark, sf, "customer_id", "customer.c_name", "customer.c_mktsegment", filters=(f"customer.c_mktsegment IN ({low})",)
+    )
+    return rated.withColumnsRenamed({"customer_c_name": "counterparty", "customer_c_mktsegment": "rating"})
+
+
+def settles_this_week(spark, sf):
+    """Open trades that settle between the day of the report and the end of its week."""
+    due = trades(spark, sf).where((F.col("status") == "O") & due_this_week(F.col("settles"), AS_OF))
+    return due.select("trade_id", "counterparty", F.col("settles").cast("date").alias("settles"), "notional")
+
+
+def charged_exact(spark, sf):
+    """Charges of more than two decimals, summed without loss and rounded at a stated place."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    lines = read_table(spark, sf, "lineitem").select("l_returnflag", charge.alias("charge"))
+    sums = lines.groupBy("l_returnflag").agg(exact_sum("charge").alias("charged"), F.count(F.lit(1)).alias("items"))
+    return sums.withColumn("charged", F.round("charged", 3))
 
 
 def due_within_n_days(spark, sf):
@@ -97,11 +121,11 @@ def due_within_n_days(spark, sf):
 def settlement_ladder(spark, sf):
     """Open amount and trades due within growing horizons, in one pass; overdue trades apart."""
     open_trades = read_table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
-    when, amount = F.col("o_orderdate"), exact_amount("o_totalprice")
+    when = F.col("o_orderdate")
     rungs = [("overdue", when < F.lit(AS_OF).cast("date"))]
     rungs += [(f"within {n} days", due_within(when, AS_OF, n, overdue=False)) for n in (7, 30, 90)]
     row = open_trades.agg(
-        *[F.sum(F.when(due, amount)).cast("double").alias(f"sum {name}") for name, due in rungs],
+        *[exact_sum(F.when(due, F.col("o_totalprice"))).alias(f"sum {name}") for name, due in rungs],
         *[F.count_if(due).alias(f"n {name}") for name, due in rungs],
     )
     pairs = [
@@ -126,6 +150,9 @@ QUERIES = {
     "due_within_n_days": due_within_n_days,
     "settlement_ladder": settlement_ladder,
     "rating_at_or_below": rating_at_or_below,
+    "exposure_rated_at_or_below": exposure_rated_at_or_below,
+    "settles_this_week": settles_this_week,
+    "charged_exact": charged_exact,
 }
 
 _SUM = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
@@ -135,9 +162,9 @@ ORACLE = {
     "model_trade_exposure": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS trade_id, c_name AS counterparty, o_orderpriority AS instrument_type,
                o_totalprice AS notional_usd_mm, CAST(o_orderdate AS DATE) AS settlement_date,
-               c_mktsegment AS credit_rating, n_name AS region,
+               c_mktsegment AS credit_rating, r_name AS region,
                CASE o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'F' THEN 'SETTLED' ELSE 'DEFAULTED' END AS status
-        {_PARTY} LEFT JOIN nation ON c_nationkey = n_nationkey""",
+        {_PARTY} LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "open_exposure_by_counterparty": f"""
         SELECT o_custkey AS customer_id, c_name AS customer_c_name, {_SUM} AS exposure, COUNT(*) AS trades
         {_PARTY} WHERE o_orderstatus = 'O' GROUP BY ALL""",
@@ -169,4 +196,14 @@ ORACLE = {
         SELECT o_orderkey AS trade_id, o_totalprice AS notional, o_orderstatus AS status, c_name AS counterparty,
                c_mktsegment AS rating
         {_PARTY} WHERE o_orderstatus = 'O' AND c_mktsegment >= '{FLOOR}'""",
+    "exposure_rated_at_or_below": f"""
+        SELECT o_custkey AS customer_id, c_name AS counterparty, c_mktsegment AS rating, {_SUM} AS exposure, COUNT(*) AS trades
+        {_PARTY} WHERE o_orderstatus = 'O' AND c_mktsegment >= '{FLOOR}' GROUP BY ALL""",
+    "settles_this_week": f"""
+        SELECT o_orderkey AS trade_id, c_name AS counterparty, CAST(o_orderdate AS DATE) AS settles, o_totalprice AS notional
+        {_PARTY} WHERE o_orderstatus = 'O' AND CAST(o_orderdate AS DATE) >= DATE '{AS_OF}'
+          AND CAST(o_orderdate AS DATE) < CAST(date_trunc('week', DATE '{AS_OF}') AS DATE) + 7""",
+    "charged_exact": """
+        SELECT l_returnflag, round(fsum(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 3) AS charged, COUNT(*) AS items
+        FROM lineitem GROUP BY ALL""",
 }

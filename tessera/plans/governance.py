@@ -109,6 +109,29 @@ def schema_conformance(spark, sf):
     )
 
 
+def promise_states(spark, sf):
+    """Every promise of every contract beside what the tables show; null where tables cannot tell."""
+    as_of = {ORDERS.id: ORDERS_AS_OF, EVENTS.id: EVENTS_AS_OF}
+    seen = []
+    for contract in (ORDERS, EVENTS):
+        table = next(iter(contract.tables))
+        df, column = read_table(spark, sf, table), contract.promise("freshness").column
+        state = quality.freshness(df, table, column, as_of[contract.id], contract.promise("freshness").value)
+        shown = [state.select(F.lit("freshness").alias("kind"), F.col("newest").cast("string").alias("observed"), F.col("fresh").alias("kept"))]
+        state = quality.retention_split(df, table, column, RETENTION_AS_OF, contract.promise("retention").value)
+        expired = F.col("expired_rows")
+        shown.append(state.select(F.lit("retention").alias("kind"), expired.cast("string").alias("observed"), (expired == 0).alias("kept")))
+        if promised := contract.promise("completeness"):
+            least = F.min("completeness_pct")
+            state = quality.completeness(df, table, [s.name for s in contract.columns(table)]).agg(least.alias("least"))
+            enough = F.col("least") >= float(promised.value.rstrip("%"))
+            shown.append(state.select(F.lit("completeness").alias("kind"), F.col("least").cast("string").alias("observed"), enough.alias("kept")))
+        seen.append(_stack(shown).withColumn("contract", F.lit(contract.id)))
+    promised = c.promise_table(spark, ALL).select("contract", "kind", "value", "description")
+    owners = c.contract_table(spark, ALL).select("contract", "status", "owner")
+    return promised.join(owners, "contract").join(_stack(seen), ["contract", "kind"], "left")
+
+
 def governed_result(spark, sf):
     return quality.governed(retail.revenue_by_store(spark, sf), ORDERS)
 
@@ -130,6 +153,7 @@ QUERIES = {
     "schema_conformance": schema_conformance,
     "governed_result": governed_result,
     "governance_lookup": governance_lookup,
+    "promise_states": promise_states,
 }
 
 
@@ -150,7 +174,7 @@ def _declared_columns() -> str:
 _CHECK_SQL = {
     "orders": {
         "row_count > 0": ("COUNT(*)", "> 0"),
-        "duplicate_count(o_orderkey) = 0": ("COUNT(*) - COUNT(DISTINCT o_orderkey)", "= 0"),
+        "duplicate_count(o_orderkey) = 0": ("MAX((SELECT COUNT(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING COUNT(*) > 1)))", "= 0"),
         "missing_count(o_custkey) = 0": ("COUNT(*) - COUNT(o_custkey)", "= 0"),
         "missing_count(o_orderdate) = 0": ("COUNT(*) - COUNT(o_orderdate)", "= 0"),
         "min(o_totalprice) > 0": ("MIN(o_totalprice)", "> 0"),
@@ -182,7 +206,7 @@ _CHECK_SQL = {
     "labels": {
         "quality in [0, 1]": ("COUNT(*) FILTER (quality NOT IN (0, 1))", "= 0"),
         "toxic in [0]": ("COUNT(*) FILTER (toxic NOT IN (0))", "= 0"),
-        "duplicate_count(doc_id) = 0": ("COUNT(*) - COUNT(DISTINCT doc_id)", "= 0"),
+        "duplicate_count(doc_id) = 0": ("MAX((SELECT COUNT(*) FROM (SELECT 1 FROM labels GROUP BY doc_id HAVING COUNT(*) > 1)))", "= 0"),
     },
 }
 
@@ -244,12 +268,53 @@ def _conformance_sql() -> str:
     return "\nUNION ALL ".join(rows)
 
 
-def _facts_sql() -> str:
-    state = "(SELECT COUNT(*) FROM orders) AS table_rows, (SELECT CAST(MAX(o_orderdate) AS VARCHAR) FROM orders) AS newest"
-    rows = [
-        f"SELECT 'orders' AS table_name, {state}, '{k}' AS field, '{v}' AS value" for k, v in c.governance_facts(ORDERS)
-    ]
-    return "\nUNION ALL ".join(rows)
+# What the contract file says about orders, written out by hand.
+_FACTS = """
+    ('title', 'Order Book Contract'), ('version', '1.0.0'), ('status', 'active'), ('owner', 'Order Desk'),
+    ('contact', 'orders@example.org'), ('usage', 'Internal reporting.'), ('limitations', 'Not for external distribution.'),
+    ('lineage', 'parquet:orders.parquet'), ('tags', 'retail, orders'),
+    ('service level availability', '99.9%: During business hours'),
+    ('service level retention', 'P3Y: Rolling three years'),
+    ('service level freshness', 'P5D: Updated within 5 business days of each quarter end'),
+    ('service level support', 'P1D: Answered within a day'), ('service level backup', 'P1D: Daily'),
+    ('term usage', 'Internal reporting.'), ('term limitations', 'Not for external distribution.'), ('term noticePeriod', 'P3M')
+"""
+# The promises of the three contracts, written out by hand.
+_PROMISES = """
+    ('urn:contract:orders:v1', 'availability', '99.9%', 'During business hours', 'active', 'Order Desk'),
+    ('urn:contract:orders:v1', 'retention', 'P3Y', 'Rolling three years', 'active', 'Order Desk'),
+    ('urn:contract:orders:v1', 'freshness', 'P5D', 'Updated within 5 business days of each quarter end', 'active', 'Order Desk'),
+    ('urn:contract:orders:v1', 'support', 'P1D', 'Answered within a day', 'active', 'Order Desk'),
+    ('urn:contract:orders:v1', 'backup', 'P1D', 'Daily', 'active', 'Order Desk'),
+    ('urn:product:events:v1', 'freshness', 'T+1', 'Loaded each business day', 'active', 'Web Team'),
+    ('urn:product:events:v1', 'completeness', '100%', 'All events captured', 'active', 'Web Team'),
+    ('urn:product:events:v1', 'retention', 'P3Y', 'not specified', 'active', 'Web Team'),
+    ('document_labels', 'refresh', 'quarterly', 'not specified', 'not specified', 'labels@example.org')
+"""
+
+
+def _working_days(after: str, upto: str) -> str:
+    """SQL for the Mondays to Fridays after one date and up to another."""
+    return f"(SELECT COUNT(*) FROM generate_series({after} + INTERVAL 1 DAY, {upto}, INTERVAL 1 DAY) g(x) WHERE isodow(x) < 6)"
+
+
+# The newest quarter end that five working days have passed since, and the working day before a date.
+_DUE_SQL = f"""
+    due AS (
+        SELECT 'orders' AS table_name, 'P5D' AS promise, MAX(CAST(d AS DATE)) AS required
+        FROM generate_series(DATE '1997-01-01', DATE '{ORDERS_AS_OF}', INTERVAL 1 DAY) t(d)
+        WHERE month(d + INTERVAL 1 DAY) IN (1, 4, 7, 10) AND day(d + INTERVAL 1 DAY) = 1
+          AND {_working_days("d", f"DATE '{ORDERS_AS_OF}'")} >= 5
+        UNION ALL
+        SELECT 'events', 'T+1', MAX(CAST(d AS DATE))
+        FROM generate_series(DATE '2024-01-01', DATE '{EVENTS_AS_OF}', INTERVAL 1 DAY) t(d)
+        WHERE isodow(d) < 6 AND {_working_days("d", f"DATE '{EVENTS_AS_OF}'")} >= 1)"""
+_NEWEST_SQL = f"""
+    newest AS (
+        SELECT 'orders' AS table_name, CAST(MAX(o_orderdate) AS DATE) AS newest
+        FROM orders WHERE o_orderdate < DATE '{ORDERS_AS_OF}' + INTERVAL 1 DAY
+        UNION ALL
+        SELECT 'events', CAST(MAX(ts) AS DATE) FROM events WHERE ts < DATE '{EVENTS_AS_OF}' + INTERVAL 1 DAY)"""
 
 
 ORACLE = {
@@ -259,16 +324,11 @@ ORACLE = {
     "dq_duplicates": """
         SELECT l_orderkey, l_linenumber, COUNT(*) AS rows FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1""",
     "dq_valid_values": _checks_sql("labels"),
-    "sla_freshness": """
-        WITH newest AS (
-            SELECT 'orders' AS table_name, 'P5D' AS promise, DATE '1997-12-31' AS required,
-                   CAST(MAX(o_orderdate) AS DATE) AS newest
-            FROM orders WHERE o_orderdate < DATE '1998-01-09'
-            UNION ALL
-            SELECT 'events', 'T+1', DATE '2024-01-30', CAST(MAX(ts) AS DATE) FROM events WHERE ts < DATE '2024-02-01')
-        SELECT *, newest >= required AS fresh,
+    "sla_freshness": f"""
+        WITH {_DUE_SQL}, {_NEWEST_SQL}
+        SELECT table_name, promise, required, newest, newest >= required AS fresh,
                CAST(GREATEST(date_diff('day', newest, required), 0) AS INTEGER) AS days_late
-        FROM newest""",
+        FROM due JOIN newest USING (table_name)""",
     "retention_split": """
         SELECT 'orders' AS table_name, COUNT(*) FILTER (o_orderdate >= DATE '1998-08-01') AS retained_rows,
                COUNT(*) FILTER (o_orderdate < DATE '1998-08-01') AS expired_rows,
@@ -293,5 +353,22 @@ ORACLE = {
         SELECT *, 'Order Desk' AS data_owner, 'active' AS data_status,
                'Updated within 5 business days of each quarter end' AS freshness_promise
         FROM ({retail.ORACLE["revenue_by_store"]})""",
-    "governance_lookup": _facts_sql(),
+    "governance_lookup": f"""
+        SELECT 'orders' AS table_name, (SELECT COUNT(*) FROM orders) AS table_rows,
+               (SELECT CAST(MAX(o_orderdate) AS VARCHAR) FROM orders) AS newest, field, value
+        FROM (VALUES {_FACTS}) f(field, value)""",
+    "promise_states": f"""
+        WITH {_DUE_SQL}, {_NEWEST_SQL}, seen AS (
+            SELECT CASE table_name WHEN 'orders' THEN 'urn:contract:orders:v1' ELSE 'urn:product:events:v1' END AS contract,
+                   'freshness' AS kind, CAST(newest AS VARCHAR) AS observed, newest >= required AS kept
+            FROM due JOIN newest USING (table_name)
+            UNION ALL SELECT 'urn:contract:orders:v1', 'retention', CAST(COUNT(*) FILTER (o_orderdate < DATE '1998-08-01') AS VARCHAR),
+                   COUNT(*) FILTER (o_orderdate < DATE '1998-08-01') = 0 FROM orders
+            UNION ALL SELECT 'urn:product:events:v1', 'retention', CAST(COUNT(*) FILTER (ts < DATE '1998-08-01') AS VARCHAR),
+                   COUNT(*) FILTER (ts < DATE '1998-08-01') = 0 FROM events
+            UNION ALL SELECT 'urn:product:events:v1', 'completeness', CAST(least AS VARCHAR), least >= 100 FROM (
+                SELECT LEAST(COUNT(event_id), COUNT(ts), COUNT(user_id), COUNT(event_type), COUNT(value))
+                       / CAST(COUNT(*) AS DOUBLE) * 100 AS least FROM events))
+        SELECT p.*, observed, kept
+        FROM (VALUES {_PROMISES}) p(contract, kind, value, description, status, owner) LEFT JOIN seen USING (contract, kind)""",
 }

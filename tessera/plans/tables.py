@@ -89,20 +89,24 @@ def items(spark: SparkSession, sf: str) -> SemanticModel:
     )
 
 
-def capital_position(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per nation and quarter end: settled amount as capital, all amounts as assets."""
+def capital_position(spark: SparkSession, sf: str, decimals: bool = False) -> DataFrame:
+    """One row per nation and quarter end: settled amount as capital, all amounts as assets.
+
+    With ``decimals`` the amounts stay decimals, for sums further on.
+    """
     totals = run(
         orders(spark, sf),
         SemanticQuery.of(
             measures=["settled_total:sum", "order_total:sum"],
             dimensions=["customer.nation.n_name", "ordered_at__quarter"],
         ),
+        decimals,
     )
     amounts = totals.select(
         quarter_end(F.col("ordered_at__quarter")).alias("reporting_date"),
         F.col("customer_nation_n_name").alias("entity"),
-        F.col("settled_total_sum").cast("double").alias("cet1_capital_mm"),
-        F.col("order_total_sum").cast("double").alias("rwa_mm"),
+        F.col("settled_total_sum").alias("cet1_capital_mm"),
+        F.col("order_total_sum").alias("rwa_mm"),
     )
     return amounts.select(
         "*", percent("cet1_capital_mm", "rwa_mm").alias("cet1_ratio_pct"), F.lit(9.75).alias("combined_buffer")

@@ -54,8 +54,11 @@ def trace_events(spark, sf):
 
 
 def trace_sql_arg(spark, sf):
-    calls = read_table(spark, sf, "events").select("event_id", "props")
-    return traces.tool_arguments(calls, "props", "argument").drop("props")
+    """The arguments of each event as a tool call: with ``sql``, with ``query``, or as they are."""
+    given = F.when(F.col("event_type") == "click", F.concat(F.lit('{"sql": "user '), "user_id", F.lit('", "query": "x"}')))
+    given = given.when(F.col("event_type") == "view", F.concat(F.lit('{"sql": "", "query": "event '), "event_id", F.lit('"}')))
+    calls = read_table(spark, sf, "events").select("event_id", given.otherwise(F.col("props")).alias("arguments"))
+    return traces.tool_arguments(calls, "arguments", "argument").drop("arguments")
 
 
 def trace_lineage(spark, sf):
@@ -92,7 +95,8 @@ ORACLE = {
         FROM events""",
     "trace_events": "SELECT event_id, event_type, ts FROM events WHERE event_type IN ('error', 'purchase')",
     "trace_sql_arg": """
-        SELECT event_id, COALESCE(NULLIF(props->>'$.sql', ''), NULLIF(props->>'$.query', ''), props->>'$.k') AS argument
+        SELECT event_id, CASE event_type WHEN 'click' THEN 'user ' || user_id WHEN 'view' THEN 'event ' || event_id
+                         ELSE props->>'$.k' END AS argument
         FROM events""",
     "trace_lineage": """
         SELECT event_type AS event, ts AS timestamp, NULL AS source FROM events WHERE event_type <> 'purchase'

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,30 +60,90 @@ class Catalog:
         return run(self.model(request["source_model"]), SemanticQuery.of(**rest))
 
 
-_SCRIPT = re.compile(r"\b(TRANSFORM|MAP|REDUCE)\b.*\bUSING\b", re.IGNORECASE | re.DOTALL)
-_STORED_TABLE = re.compile(r"SubqueryAlias [^\s,]*\.[^\s,]+")
+# The parser's nodes that a read-only query is made of, and the groups of built-in functions that
+# compute from their arguments alone. The group of miscellaneous functions, which holds the reflective ones, is not among them.
+_NODES = frozenset(
+    "Project Filter Aggregate Join SubqueryAlias UnresolvedSubqueryColumnAliases Sort GlobalLimit LocalLimit Offset "
+    "Distinct Union Intersect Except UnresolvedWith UnresolvedHaving UnresolvedInlineTable OneRowRelation "
+    "UnresolvedRelation Generate WithWindowDefinition Pivot Unpivot LateralJoin Sample LocalRelation".split()
+)
+_GROUPS = frozenset(
+    f"{name}_funcs"
+    for name in "agg array bitwise collection conditional conversion datetime generator hash json lambda map math "
+    "predicate string struct window".split()
+)
 
 
 def governed_sql(spark: SparkSession, tables: Mapping[str, str], sql: str) -> DataFrame:
     """Run one read-only query over the parquet tables given as name to path.
 
     The text stands as a subquery, where Spark's grammar admits nothing but a query: a command
-    fails to parse and is never run. A session of its own holds only the named tables. File
-    paths and scripts cannot be addressed, and a query whose plan names a stored table of some
-    database is refused before it runs.
+    fails to parse and is never run. Before it runs, the parsed plan is walked: its relations
+    must be the named tables or its own common table expressions, its nodes those of a query, and its
+    functions built-in ones that compute from their arguments. A session of its own holds only the named tables.
     """
     text = sql.strip().rstrip(";")
-    if _SCRIPT.search(text):
-        raise PermissionError("script transforms are not allowed in governed SQL")
     session = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.ansi.enabled"):
         session.conf.set(key, spark.conf.get(key))
     session.conf.set("spark.sql.runSQLOnFiles", "false")
+    query = f"SELECT * FROM (\n{text}\n) AS governed"
+    try:
+        plan = session._jsparkSession.sessionState().sqlParser().parsePlan(query)
+    except (Py4JJavaError, PySparkException):
+        return session.sql(query)  # raises the parser's error as Spark words it
+    _check(session, plan, {name.lower() for name in tables})
     for name, path in tables.items():
         session.read.parquet(path).createOrReplaceTempView(name)
-    query = f"SELECT * FROM (\n{text}\n) AS governed"
-    result = session.sql(query)
-    stored = _STORED_TABLE.search(session.sql(f"EXPLAIN EXTENDED {query}").first()[0])
-    if stored:
-        raise PermissionError(f"not among the governed tables: {stored.group(0).split(' ', 1)[1]}")
-    return result
+    return session.sql(query)
+
+
+def _items(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName().rstrip("$")
+
+
+def _check(session: SparkSession, plan, known: set[str]) -> None:
+    """Raise PermissionError for anything in a parsed plan that a governed query may not hold."""
+    kind = _kind(plan)
+    if kind not in _NODES:
+        raise PermissionError(f"not allowed in governed SQL: {plan.nodeName()}")
+    if kind == "UnresolvedWith":
+        # Names are added one by one: an expression sees those before it.
+        for pair in _items(plan.cteRelations()):
+            _check(session, pair._2(), known)
+            known = known | {pair._1().lower()}
+    if kind == "UnresolvedRelation":
+        name = ".".join(_items(plan.multipartIdentifier()))
+        if name.lower() not in known:
+            raise PermissionError(f"not among the governed tables: {name}")
+    for child in _items(plan.children()):
+        _check(session, child, known)
+    for expression in _items(plan.expressions()):
+        _check_expression(session, expression, known)
+
+
+def _check_expression(session: SparkSession, expression, known: set[str]) -> None:
+    kind = _kind(expression)
+    if kind == "UnresolvedFunction":
+        _check_function(session, ".".join(_items(expression.nameParts())))
+    if kind == "UnresolvedGenerator":
+        _check_function(session, expression.name().funcName())
+    if kind in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "UnresolvedTableArgPlanId"):
+        _check(session, expression.plan(), known)
+    for child in _items(expression.children()):
+        _check_expression(session, child, known)
+
+
+def _check_function(session: SparkSession, name: str) -> None:
+    state = session._jsparkSession.sessionState()
+    identifier = state.sqlParser().parseFunctionIdentifier(f"`{name}`")
+    try:
+        group = state.catalog().lookupFunctionInfo(identifier).getGroup()
+    except (Py4JJavaError, PySparkException):
+        group = None
+    if group not in _GROUPS:
+        raise PermissionError(f"not a function of governed SQL: {name}")

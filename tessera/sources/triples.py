@@ -23,10 +23,14 @@ OWL_DATATYPE_PROPERTY = "http://www.w3.org/2002/07/owl#DatatypeProperty"
 XSD_STRING = "http://www.w3.org/2001/XMLSchema#string"
 XSD_DATE = "http://www.w3.org/2001/XMLSchema#date"
 
-# A line is subject, predicate and the rest; the rest is an IRI, a blank node or a literal.
-_LINE = r"^\s*(?:<[^>]*>|_:\S+)\s+<[^>]*>\s+(?:<[^>]*>|_:\S+|\".*\"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?)\s*\.\s*$"
+# A line is subject, predicate and object, spaced or not; an object is an IRI, a blank node or a literal.
+_IRI, _BLANK = r"<[^>]*>", r"_:[^\s<>\"]*[^\s<>\".]"
+_LITERAL = r"\".*\"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?"
+_LINE = rf"^\s*({_IRI}|{_BLANK})\s*({_IRI})\s*({_IRI}|{_BLANK}|{_LITERAL})\s*\.\s*$"
+# A long escape, behind an even number of backslashes.
+_LONG = r"(?<=(?:^|[^\\])(?:\\\\){0,20})\\U([0-9A-Fa-f]{8})"
 _COMMENT = r"\.\s*#[^\"]*$"
-_SUFFIX = r"\"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?\s*\.$"
+_SUFFIX = r"\"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?$"
 
 
 def statement(p: str, o: Column, lang: str | None = None, datatype: str | None = None) -> Column:
@@ -61,15 +65,13 @@ def malformed(spark: SparkSession, path: str) -> DataFrame:
 def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
     """Parse N-Triples lines; see ``malformed`` for those that hold no triple."""
     lines = _statements(spark, path).where(F.col("line").rlike(_LINE))
-    parts = lines.select(F.split("line", r"\s+", 3).alias("part"))
-    fields = parts.select(
-        _bare(F.col("part")[0]).alias("s"), _bare(F.col("part")[1]).alias("p"), F.col("part")[2].alias("rest")
-    )
+    s, p, o = (F.regexp_extract("line", _LINE, k) for k in (1, 2, 3))
+    fields = lines.select(_bare(s).alias("s"), _bare(p).alias("p"), o.alias("rest"))
     literal = F.col("rest").startswith('"')
     split = fields.select(
         "s",
         "p",
-        F.when(~literal, _bare(F.regexp_replace("rest", r"\s*\.$", ""))).alias("iri"),
+        F.when(~literal, _bare(F.col("rest"))).alias("iri"),
         F.when(literal, F.regexp_replace(F.expr("substring(rest, 2)"), _SUFFIX, "")).alias("text"),
         F.when(literal, F.nullif(F.regexp_extract("rest", _SUFFIX, 1), F.lit(""))).alias("lang"),
         F.when(literal, F.nullif(F.regexp_extract("rest", _SUFFIX, 2), F.lit(""))).alias("type"),
@@ -90,9 +92,16 @@ def _bare(node: Column) -> Column:
 
 
 def _unescaped(text: Column) -> Column:
-    """Backslash escapes are those of JSON, save for the single quote."""
-    boxed = F.concat(F.lit('["'), F.regexp_replace(text, r"\\'", "'"), F.lit('"]'))
-    return F.when(F.instr(text, "\\") > 0, F.from_json(boxed, "array<string>")[0]).otherwise(text)
+    """Backslash escapes are those of JSON, save for the single quote and the long ones of eight digits."""
+
+    def short(piece: Column) -> Column:
+        boxed = F.concat(F.lit('["'), F.regexp_replace(piece, r"\\'", "'"), F.lit('"]'))
+        return F.from_json(boxed, "array<string>")[0]
+
+    characters = F.transform(F.regexp_extract_all(text, F.lit(_LONG), F.lit(1)), lambda c: F.decode(F.unhex(c), "UTF-32"))
+    pairs = F.zip_with(F.split(text, _LONG), characters, lambda a, c: F.concat(short(a), F.coalesce(c, F.lit(""))))
+    whole = F.when(F.instr(text, "\\U") > 0, F.array_join(pairs, "")).otherwise(short(text))
+    return F.when(F.instr(text, "\\") > 0, whole).otherwise(text)
 
 
 def _node(column: str) -> Column:

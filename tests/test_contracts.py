@@ -101,7 +101,7 @@ def test_commands_are_refused(spark, text):
 def test_only_named_tables_can_be_read(spark, tmp_path):
     spark.range(3).createOrReplaceTempView("other_view")
     for text in ("SELECT * FROM other_view", f"SELECT * FROM parquet.`{ORDERS}`"):
-        with pytest.raises(AnalysisException):
+        with pytest.raises(PermissionError):
             governed_sql(spark, {"orders": ORDERS}, text)
     spark.range(1).write.parquet(str(tmp_path / "stored"))
     spark.sql(f"CREATE TABLE stored_orders USING parquet LOCATION '{tmp_path}/stored'")
@@ -116,6 +116,48 @@ def test_only_named_tables_can_be_read(spark, tmp_path):
         governed_sql(spark, {"orders": ORDERS}, "SELECT TRANSFORM(o_orderkey) USING 'cat' FROM orders")
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT java_method('java.util.UUID', 'randomUUID')",
+        "SELECT reflect('java.lang.System', 'getenv')",
+        "SELECT 1 FROM orders WHERE o_orderkey = length(try_reflect('java.util.UUID', 'randomUUID'))",
+        "SELECT * FROM global_temp.other_view",
+        "SELECT * FROM range(5)",
+        "SELECT * FROM orders, LATERAL (SELECT reflect('java.lang.System', 'getenv'))",
+        "WITH a AS (SELECT java_method('java.util.UUID', 'randomUUID') AS x) SELECT * FROM a",
+        "SELECT (SELECT max(id) FROM somewhere.else) FROM orders",
+        "SELECT input_file_name() FROM orders",
+        "SELECT current_user()",
+        "SELECT no_such_function(1)",
+        "WITH a AS (SELECT 1 AS x) SELECT * FROM b",
+        "SELECT x FROM orders LATERAL VIEW java_method('java.util.UUID', 'randomUUID') t AS x",
+    ],
+)
+def test_what_is_not_a_query_over_the_tables_is_refused(spark, text):
+    spark.range(3).createOrReplaceGlobalTempView("other_view")
+    with pytest.raises(PermissionError):
+        governed_sql(spark, {"orders": ORDERS}, text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT map('a', a.o_orderkey) AS m FROM orders a JOIN orders b USING (o_orderkey)",
+        "SELECT 'SubqueryAlias a.b' AS x, 'TRANSFORM map USING' AS y FROM orders",
+        "WITH a AS (SELECT o_custkey FROM orders), b AS (SELECT * FROM a) SELECT count(DISTINCT o_custkey) AS n FROM b",
+        "SELECT o_orderstatus, sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS s FROM orders",
+        "SELECT upper(o_orderstatus), CASE WHEN o_totalprice > 5 THEN 1 END, CAST(o_orderdate AS date) FROM ORDERS ORDER BY 1 LIMIT 3",
+        "SELECT x FROM orders LATERAL VIEW explode(array(1, 2)) t AS x",
+        "SELECT 1 UNION ALL SELECT count(*) FROM orders HAVING count(*) > 1",
+        "SELECT * FROM (VALUES (1, 'a')) AS v(k, l) WHERE k IN (SELECT o_orderkey FROM orders) AND EXISTS (SELECT 1 FROM orders)",
+        "SELECT o_custkey, transform(array(1, 2), x -> x + 1) FROM orders TABLESAMPLE (10 ROWS)",
+    ],
+)
+def test_queries_over_the_tables_run(spark, text):
+    governed_sql(spark, {"orders": ORDERS}, text).limit(1).collect()
+
+
 def test_queries_run(spark):
     text = "WITH o AS (SELECT * FROM orders) SELECT count(*) AS n FROM o -- all;"
     assert governed_sql(spark, {"orders": ORDERS}, text).first().n == 1500

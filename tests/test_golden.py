@@ -9,7 +9,7 @@ import pytest
 from conftest import CAPITAL_DDL, RATING_SCALE, capital_rows
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import exact_amount, percent
+from tessera.functions.numbers import exact_sum, percent
 from tessera.operators import position, quality
 from tessera.operators.exposure import concentration, due_within, exposure_by, rated_at_or_below, within_last
 from tessera.operators.metrics import Dimension, Measure, Metric, MetricLayer, MetricModel
@@ -230,10 +230,57 @@ def test_maximum_is_not_latest(spark):
     assert (float(total.capital_latest), float(total.cet1_capital)) == (14, 24)
 
 
-def test_exact_amounts(spark):
-    values = [0.1, 0.2, 0.29, -1.15, 1234567890.07, 99999999999.99, None]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = [r.x for r in df.select(exact_amount("v").alias("x")).collect()]
-    assert got == [None if v is None else Decimal(str(v)).quantize(Decimal("0.01")) for v in values]
-    thirds = df.select(exact_amount("v", 0).alias("x")).where("v = 0.29").first()
-    assert thirds.x == 0
+def _sum(spark, values, scale=2):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
+    return df.agg(exact_sum("v", scale).alias("x")).first().x
+
+
+def test_sums_of_amounts_lose_nothing(spark):
+    values = [0.1, 0.2, 0.29, -1.15, 1234567890.07, 99999999999.99, -0.01, None]
+    total = sum(Decimal(str(v)) for v in values if v is not None)
+    assert _sum(spark, values * 30) == float(30 * total)
+    assert _sum(spark, [0.004] * 1000) == 4.0 and _sum(spark, [0.004] * 1000, 0) == 4.0
+    assert _sum(spark, [1e17, 1e17, 0.01, -1e17]) == 1e17
+    assert _sum(spark, [190000000000000.11]) == 190000000000000.11
+    assert _sum(spark, [9e15, 0.25] * 100) == 9e17 + 25
+    assert _sum(spark, [2.0**70, 1.0, -(2.0**70)]) in (0.0, 1.0)
+    assert _sum(spark, []) is None and _sum(spark, [None]) is None
+
+
+def test_numbers_that_no_amount_can_be_pass_through(spark):
+    import math
+
+    assert math.isnan(_sum(spark, [1.0, float("nan")])) and _sum(spark, [1.0, float("inf")]) == float("inf")
+    rows = [("a", 1.5), ("a", float("nan")), ("b", 2.25), ("b", 0.004), ("c", None)]
+    model = SemanticModel.from_frame("t", spark.createDataFrame(rows, "k string, v double"), exact={"v": 2})
+    measures = ["v:sum", "v:avg", "v:sum + v:sum", "v:sum / *:count"]
+    got = {r.k: r for r in run(model, SemanticQuery.of(measures=measures, dimensions=["k"])).collect()}
+    assert all(math.isnan(got["a"][c]) for c in ("v_sum", "v_avg", "v_sum_plus_v_sum", "v_sum_count"))
+    assert got["b"]["v_sum"] == 2.254 and got["b"]["v_sum_plus_v_sum"] == 4.508 and got["c"]["v_sum"] is None
+    kept = {r.k: r.v_sum for r in run(model, SemanticQuery.of(measures=["v:sum"], dimensions=["k"]), decimals=True).collect()}
+    assert kept["b"] == Decimal("2.254") and kept["a"] == Decimal("1.5") or kept["a"] is None
+
+
+def test_formulas_need_different_names(spark):
+    model = SemanticModel.from_frame("t", spark.createDataFrame([(1.0, 2.0)], "a double, b double"))
+    out = run(model, SemanticQuery.of(measures=["a:sum + b:sum", "a:sum - b:sum", "a:sum * b:sum"]))
+    assert out.columns == ["a_sum_plus_b_sum", "a_sum_minus_b_sum", "a_sum_times_b_sum"]
+    with pytest.raises(ValueError, match="several columns"):
+        run(model, SemanticQuery.of(measures=["(a:sum + b:sum) * 2", "a:sum + b:sum * 2"]))
+
+
+def test_limits_without_an_order_are_repeatable(spark):
+    frame = spark.range(1000).selectExpr("id % 50 AS k", "id AS v").repartition(9)
+    model = SemanticModel.from_frame("t", frame)
+    rows = run(model, SemanticQuery.of(measures=["*:count"], dimensions=["k"], limit=3)).collect()
+    assert [r.k for r in rows] == [0, 1, 2]
+
+
+def test_undated_keys_and_ties(spark):
+    rows = [("a", None, 1.0), ("b", "2024-01-01", 2.0), ("b", None, 9.0), ("c", "2024-01-01", 3.0), ("c", "2024-01-01", 4.0)]
+    rows += [("c", "2024-06-30", 7.0), ("c", "2024-06-30", 1.0)]
+    df = spark.createDataFrame(rows, "k string, d string, v double").withColumn("d", F.col("d").cast("date")).repartition(5)
+    latest = {r.k: (r.d and str(r.d), r.v) for r in position.latest_per(df, ["k"], "d").collect()}
+    assert latest == {"a": (None, 1.0), "b": ("2024-01-01", 2.0), "c": ("2024-06-30", 7.0)}
+    grown = {r.k: (r.first_value, r.last_value) for r in position.growth_since(df, ["k"], "d", "v", "2024-01-01").collect()}
+    assert grown == {"b": (2.0, 2.0), "c": (7.0, 8.0)}

@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from tessera.operators.metrics import Dimension, Measure, Metric, MetricLayer, MetricModel, entity_duplicates
 from tessera.sources.spine import time_spine
@@ -131,3 +132,13 @@ def test_catalogue_comes_from_the_definitions(spark, layer):
 
 def test_entity_duplicates(layer):
     assert rows(entity_duplicates(layer.models["sales"], "store")) == [("x", 2)]
+
+
+def test_fill_keeps_what_lies_outside_the_spine(spark):
+    rows = [("2024-01-05", 1.0), ("2024-03-05", 2.0), ("2023-12-31", 4.0), (None, 8.0)]
+    frame = spark.createDataFrame(rows, "d string, v double").withColumn("d", F.col("d").cast("date"))
+    model = MetricModel("m", frame, (Measure("v", "sum", "v", exact=2),), (Dimension("d", "time"),))
+    layer = MetricLayer([model], [Metric("v", measure="v")])
+    out = layer.query(["v"], ["metric_time__month"], spine=time_spine(spark, "2024-01-01", "2024-04-01")).collect()
+    got = {r[0] and str(r[0]): r.v for r in out}
+    assert got == {"2024-01-01": 1.0, "2024-02-01": None, "2024-03-01": 2.0, "2023-12-01": 4.0, None: 8.0}

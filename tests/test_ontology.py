@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import ontology as onto
+from tessera.session import materialise
 from tessera.sources import triples as t
 
 VOCABULARY = onto.Vocabulary("urn:v:")
@@ -113,7 +114,7 @@ def test_paths(triples):
 
 def test_roll_up(spark, triples):
     facts = spark.createDataFrame([("CET1Capital", 10.0), ("AT1Capital", 2.0), ("Tier2Capital", 1.0), ("CET1Capital", 5.0)], "c string, v double")
-    rows = onto.roll_up(facts, onto.closure(onto.subclass_edges(triples)), "c", "v", "total").collect()
+    rows = onto.roll_up(facts, onto.subclass_edges(triples), "c", "v", "total").collect()
     totals = {r.concept: r.total for r in rows}
     assert totals["Capital"] == 18.0 and totals["Tier1Capital"] == 17.0 and totals["CET1Capital"] == 15.0
 
@@ -193,3 +194,42 @@ def test_ntriples_lines(spark, tmp_path):
     got = [(r.s, r.o, r.lang) for r in t.read_ntriples(spark, str(path)).collect()]
     assert got == [("urn:a", "urn:b", None), ("urn:a", "it's 'so'", "en"), ("urn:a", "v", None), ("http://x.#f", "urn:b#c", None)]
     assert [r.line for r in t.malformed(spark, str(path)).collect()] == ["broken line"]
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(onto, "materialise", lambda df, label: rounds.append(label) or materialise(df, label))
+    edges = spark.createDataFrame([(f"{k:03}", f"{k + 1:03}") for k in range(500)], "child string, parent string")
+    pairs = onto.closure(edges)
+    assert pairs.count() == 500 * 501 // 2 and pairs.agg({"depth": "max"}).first()[0] == 500
+    assert len([r for r in rounds if r.startswith("closure-round-")]) <= 11
+
+
+def test_roll_up_against_brute_force(spark):
+    rng = random.Random(11)
+    edges = [(f"n{rng.randrange(40)}", f"n{rng.randrange(12)}") for _ in range(60)] + [("n0", "n1"), ("n1", "n0")]
+    values = [(f"n{rng.randrange(45)}", round(rng.uniform(-5, 5), 2)) for _ in range(300)]
+    df = spark.createDataFrame([e for e in edges if e[0] != e[1]], "child string, parent string")
+    rolled = onto.roll_up(spark.createDataFrame(values, "c string, v double"), df, "c", "v", "total", scale=2).collect()
+    below = {}
+    for child, ancestor in _brute_closure([e for e in edges if e[0] != e[1]]):
+        below.setdefault(ancestor, set()).add(child)
+    expected = {}
+    for concept in {c for c, _ in values} | {a for a, cs in below.items() if cs & {c for c, _ in values}}:
+        members = below.get(concept, set()) | {concept}
+        expected[concept] = round(sum(v for c, v in values if c in members), 2)
+    assert {r["concept"]: round(r.total, 2) for r in rolled} == pytest.approx(expected)
+
+
+def test_unspaced_triples_and_long_escapes(spark, tmp_path):
+    lines = [
+        "<a><b><c>.", '_:x<p>"v"@en .', r'<s> <p> "smile \U0001F600 and \u00e9" .', r'<s> <p> "\\U0001F600" .', "<s> <p> _:y.",
+        r'<s> <p> "\U0001F600\U0001F601\n" .', "<s> <p> no", "# note", "",
+    ]
+    (tmp_path / "t.nt").write_text("\n".join(lines))
+    got = [(r.s, r.p, r.o, r.lang) for r in t.read_ntriples(spark, str(tmp_path / "t.nt")).collect()]
+    assert got == [
+        ("a", "b", "c", None), ("_:x", "p", "v", "en"), ("s", "p", "smile 😀 and é", None), ("s", "p", "\\U0001F600", None),
+        ("s", "p", "_:y", None), ("s", "p", "😀😁\n", None),
+    ]
+    assert [r.line for r in t.malformed(spark, str(tmp_path / "t.nt")).collect()] == ["<s> <p> no"]

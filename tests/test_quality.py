@@ -60,7 +60,7 @@ def test_business_days(spark, days):
 
 def test_periods():
     assert Period.parse("P3Y") == Period(36, 0)
-    assert Period.parse("P1Y2M1W3D") == Period(14, 10)
+    assert Period.parse("P1Y2M1W3D") == Period(14, 3, 1)
     for text in ("P", "3Y", "PT5H", "P-1D"):
         with pytest.raises(ValueError):
             Period.parse(text)

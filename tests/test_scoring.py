@@ -6,7 +6,6 @@ import random
 
 from pyspark.sql import functions as F
 
-from tessera.functions.text import tidy
 from tessera.operators import scoring
 from tessera.operators.scoring import CAPITAL_RUBRIC, Criterion
 
@@ -53,16 +52,19 @@ def test_preview(spark):
     assert rows == {1: (400, False), 2: (400, True)}
 
 
-def test_tidy(spark):
-    df = spark.createDataFrame([("  a ",), (None,)], "x string")
-    assert [r.x for r in df.select(tidy(F.col("x")).alias("x")).collect()] == ["a", "not specified"]
-
-
 def test_matrix(spark):
     rubric = (Criterion("one", ("x",)), Criterion("two", ("Y",), case_sensitive=True))
-    df = spark.createDataFrame([("a", "X"), ("a", "Y"), ("b", "y"), ("b", None)], "agent string, t string")
-    cells = scoring.matrix(scoring.flags(df, ["agent"], "t", rubric), "agent", ["a", "b", "c"], rubric).collect()
-    assert {r.criterion: (r.a, r.b, r.c) for r in cells} == {"one": (1, 0, None), "two": (1, 0, None)}
+    df = spark.createDataFrame([("a", "X"), ("a", "Y"), ("b", "y"), ("b", None), (None, "x")], "agent string, t string")
+    cells = scoring.matrix(scoring.flags(df, ["agent"], "t", rubric), "agent", rubric).collect()
+    assert {r.criterion: (r.a, r.b, r["null"]) for r in cells} == {"one": (1, 0, 1), "two": (1, 0, 0)}
+
+
+def test_presence_of_stored_flags(spark):
+    rows = [("contract", "a1", True), ("contract", "a2", False), ("ontology", "a2", True), ("contract", "a2", None), (None, "a1", False)]
+    cells = scoring.presence(spark.createDataFrame(rows, "layer string, agent string, present boolean"), "layer", "agent", "present")
+    assert {r.layer: (r.a1, r.a2) for r in cells.collect()} == {"contract": (1, 0), "ontology": (None, 1), None: (0, None)}
+    sizes = scoring.size_by_agent(spark.createDataFrame([("a", "x" * 990), ("a", "y" * 20), ("b", None)], "g string, t string"), "g", "t")
+    assert {r.g: (r.chars, r["size"]) for r in sizes.collect()} == {"a": (1010, "1.0k"), "b": (0, "—")}
 
 
 def test_newly_unlocked_against_a_loop(spark):

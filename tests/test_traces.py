@@ -1,17 +1,19 @@
-"""Trace logs in batch and as a stream."""
+"""Trace logs."""
 
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tessera.operators import traces
+from tessera.session import materialise
 from tessera.sources.traces import read_trace
-from tessera.streaming.traces import stream_trace
 
-# A recorded trace.
+# Lines of our own in the form of a trace.
 LINES = """
 {"event":"agent.start","question":"What is our CET1 ratio?","contract":"capital_risk","timestamp":"2026-05-09T10:01:00Z"}
 {"event":"agent.turn1","stop_reason":"tool_use","latency_ms":843,"timestamp":"2026-05-09T10:01:01Z"}
@@ -39,17 +41,6 @@ def test_batch(spark, folder):
     assert asked.first().q == "SELECT 1"
 
 
-def test_stream_reads_the_same_lines(spark, folder, tmp_path):
-    calls = traces.events(stream_trace(spark, folder), "agent.turn1", "agent.answer").select("event", "latency_ms")
-    query = calls.writeStream.format("memory").queryName("trace_stream").outputMode("append").start()
-    try:
-        query.processAllAvailable()
-        rows = {r.event: r.latency_ms for r in spark.table("trace_stream").collect()}
-    finally:
-        query.stop()
-    assert rows == {"agent.turn1": 843, "agent.answer": 612}
-
-
 def test_argument_fallback(spark):
     given = ['{"sql":"a","query":"b"}', '{"sql":"","query":"b"}', '{"x":"c","sql":""}', "{}", "oops", None]
     df = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, g string")
@@ -67,10 +58,27 @@ def test_quantiles_are_exact(spark):
         "wide": [rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 12) for _ in range(2000)],
         "dense": [rng.random() for _ in range(2000)],
     }
-    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs] + [("hot", None)], "k string, v double")
+    values[None] = [3.0, 1.0, 2.0]
+    rows = [(k, v) for k, vs in values.items() for v in vs] + [("hot", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
     marks = (0.0, 0.25, 0.5, 0.95, 1.0)
-    for row in traces.latency(df, "k", "v", marks).collect():
+    found = traces.latency(df, "k", "v", marks).collect()
+    empty = [r for r in found if r.k == "empty"]
+    assert len(found) == len(values) + 1 and empty[0].n == 0 and empty[0].p50_latency is None
+    for row in found:
+        if row.k == "empty":
+            continue
         expected = numpy.quantile(values[row.k], marks)
         assert [row[f"p{round(q * 100)}_latency"] for q in marks] == pytest.approx(list(expected))
         assert row.n == len(values[row.k]) and row.max_latency == max(values[row.k])
         assert row.avg_latency == pytest.approx(numpy.mean(values[row.k]))
+
+
+def test_values_are_never_shuffled(spark, monkeypatch):
+    """Every reading of the log is reduced to bins or parts before its exchange."""
+    plans = []
+    monkeypatch.setattr(traces, "materialise", lambda df, label: plans.append(plan_of(df)) or materialise(df, label))
+    df = spark.createDataFrame([("a", float(x)) for x in range(100)], "k string, v double")
+    plans.append(plan_of(traces.latency(df, "k", "v", (0.5,))))
+    keys = [found for plan in plans for found in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    assert keys and not any(re.search(r"\bv#", k) for k in keys)
