@@ -219,10 +219,11 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
     # Buckets of the same classes are one bucket, that of the lowest band.
     once = buckets.filter("n > 1").groupBy("n", "x", "y").agg(F.min("band").alias("bucket"))
     once = materialise(once.select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "buckets")
-    met = bands.join(once, F.col("band") == F.col("bucket")).select("band", "cls", "chunks")
+    # Neither side of these joins is bounded: they are merged at every size, so that none turns into another plan.
+    met = bands.join(once.hint("merge"), F.col("band") == F.col("bucket")).select("band", "cls", "chunks")
     dealt = materialise(_dealt(met, "band", "chunks"), "candidates")
     parts = max(parts_for(dealt.count(), 20_000), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = dealt.join(classes.select("cls", "signature"), "cls")
+    rows = dealt.hint("merge").join(classes.select("cls", "signature"), "cls")
     return by_groups(rows, ["band", "lo", "hi"], _prune(threshold), "a long, b long", parts)
 
 
@@ -300,7 +301,8 @@ def verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int,
     )
     dealt = _dealt(rows.join(materialise(large, "chunks"), "root"), "root", "chunks")
     own = rows.select(F.col("cls").alias("c"), "identity", "least", "n")
-    own = own.join(docs.select("id", "text"), F.col("least").eqNullSafe(F.col("id"))).select("c", "identity", "n", "text")
+    own = own.hint("merge").join(docs.select("id", "text"), F.col("least").eqNullSafe(F.col("id")))
+    own = own.select("c", "identity", "n", "text")
     rows = dealt.join(own, F.col("cls") == F.col("c")).drop("c")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return by_groups(rows, ["root", "lo", "hi"], _verify(words, threshold), "a long, b long, links long", parts)
@@ -365,8 +367,8 @@ def keep_one(
     losers = losers.select(F.col("id").alias("i"), F.col("cls").alias("c"))
     if found.count() == found.filter("id IS NOT NULL").select("id").distinct().count():
         # The ids tell the rows apart: no text is needed to find them again.
-        return docs.join(losers, F.col(id_column).cast("long") == F.col("i"), "left_anti")
+        return docs.join(losers.hint("merge"), F.col(id_column).cast("long") == F.col("i"), "left_anti")
     whole = _signed(docs, id_column, text_column, words, whole=True).select("id", "cls", "row")
-    kept = whole.join(losers, F.col("id").eqNullSafe(F.col("i")) & (F.col("cls") == F.col("c")), "left_anti")
+    kept = whole.join(losers.hint("merge"), F.col("id").eqNullSafe(F.col("i")) & (F.col("cls") == F.col("c")), "left_anti")
     same = Window.partitionBy("id", "cls").orderBy(F.xxhash64("row"))
     return kept.withColumn("k", F.row_number().over(same)).filter("k = 1 OR cls IS NULL").select("row.*")
