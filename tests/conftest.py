@@ -12,7 +12,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.session import local_session  # noqa: E402
+from tessera.session import local_session, scratch  # noqa: E402
 from tessera.sources.schemas import CAPITAL_POSITION as CAPITAL_DDL  # noqa: E402
 from tessera.sources.schemas import TRADE_EXPOSURE as TRADE_DDL  # noqa: E402
 
@@ -41,7 +41,9 @@ RATING_SCALE = ("AAA", "AA", "A", "BBB", "BB", "B", "CCC")
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8)
+    session = local_session(8)
+    with scratch(session):  # what the queries wrote goes when the tests end
+        yield session
 
 
 def capital_rows(rows):
