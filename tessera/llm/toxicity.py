@@ -34,8 +34,8 @@ from tessera.session import materialise
 LABELLED_ROWS = 20_000
 #: Entries of the lexicon at most, lengths of word beginnings, and rows that must hold an entry.
 ENTRIES, BEGINNINGS, LEAST_ROWS = 400, (4, 5), 2
-#: An entry is this many times likelier on labelled rows of class 1.
-LEAST_ODDS = 50.0
+#: Of the labelled rows that hold an entry, this share at least is of class 1.
+LEAST_PRECISION = 0.98
 #: Ranks of entries at which the next lexicon voter begins.
 STRATA = (0, 5, 10, 20, 40, 60, 90, 130, 180, 260)
 PATTERNS = ("shouts", "exclaims", "asks", "addresses", "digits", "repeats")
@@ -87,12 +87,10 @@ def labelled(docs: DataFrame, labels: DataFrame, usable: Column, id_column: str,
     n = one.count()
     share = min(1.0, LABELLED_ROWS / max(n, 1))
     chosen = one.filter(F.pmod(F.xxhash64(id_column), F.lit(1 << 20)) < int(share * (1 << 20)))
-    if n > 2 * LABELLED_ROWS or n <= LABELLED_ROWS:
-        # The chosen rows are about LABELLED_ROWS pairs of numbers, however many labels there are.
-        chosen = F.broadcast(chosen)
     rows = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
     chosen = chosen.select(F.col(id_column).alias("i"), F.col("label").cast("int").alias("label"))
-    return materialise(rows.join(chosen, F.col("id") == F.col("i")).select("id", "text", "label"), "labelled")
+    # About LABELLED_ROWS pairs of numbers, however many labels there are: safe to broadcast.
+    return materialise(rows.join(F.broadcast(chosen), F.col("id") == F.col("i")).select("id", "text", "label"), "labelled")
 
 
 def _entry_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,23 +105,33 @@ def _entry_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(positive, pa.int32())], names=["entry", "label"])
 
 
+def _distinct(rows: DataFrame) -> DataFrame:
+    """One labelled row of most groups of near copies, which would make whatever words they share look telling.
+
+    Copies mostly agree on the least hash of their pairs of neighbouring words; other texts hardly ever do.
+    """
+    words = F.split(F.col("text"), r"\s+")
+    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.xxhash64(a, b))
+    kept = rows.groupBy(F.array_min(pairs).alias("sketch"), "label").agg(F.min_by("text", F.struct("id", "text")).alias("text"))
+    return materialise(kept.select("text", "label"), "labelled-texts")
+
+
 def lexicon(rows: DataFrame) -> dict[str, int]:
     """Entry to voter, from rows (id, text, label): the best ``ENTRIES`` entries by likelihood ratio."""
+    rows = _distinct(rows)
     total = rows.agg(F.sum("label"), F.count(F.lit(1))).first()
     positive, n = float(total[0] or 0), float(total[1])
     if not positive or positive == n:
         return {}
     seen = rows.mapInArrow(_entry_rows, "entry string, label int").groupBy("entry")
     seen = seen.agg(F.sum("label").cast("double").alias("p"), F.count(F.lit(1)).cast("double").alias("n"))
-    rate = (F.col("p") + 0.5) / (positive + 1)
-    other = (F.col("n") - F.col("p") + 0.5) / (n - positive + 1)
     expected = F.col("n") * positive / n
     evidence = F.col("p") * F.log(F.col("p") / expected)
     seen = materialise(seen.filter(F.col("p") >= LEAST_ROWS), "entries")
     # Of so many entries some look telling by chance: the evidence must outweigh their number.
     least = np.log(max(seen.count(), 1)) + 1
     best = (
-        seen.filter(rate > LEAST_ODDS * other)
+        seen.filter(F.col("p") >= LEAST_PRECISION * F.col("n"))
         .select("entry", evidence.alias("evidence"))
         .filter(F.col("evidence") >= float(least))
         .orderBy(F.desc("evidence"), "entry")
