@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components
+from tessera.llm.common import components, forest
 from tessera.session import materialise, scratch
 
 #: Bytes of a shard's vectors, and vectors of a chunk of queries, on average.
@@ -34,7 +34,8 @@ TOGETHER, OPENED = 256, 4
 RECALL, AUDITED, PROBES = 0.97, 64, 128
 
 GRAPH = "label string, dim int, shard int, ids binary, vectors binary, ground binary, upper binary, level binary"
-EDGES = "a long, b long"
+#: Links, and apart from them (``tree``) few edges that connect what a task's links connect.
+EDGES = "a long, b long, tree boolean"
 
 
 class Graph:
@@ -267,7 +268,7 @@ def _build(rows: pa.Table) -> pa.Table:
 
 
 def _query(threshold: float):
-    empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "tree": pa.array([], pa.bool_())})
 
     def work(rows: pa.Table, graphs: pa.Table) -> pa.Table:
         if not rows.num_rows or not graphs.num_rows:
@@ -284,13 +285,21 @@ def _query(threshold: float):
             s = slice(low, low + 50_000)
             cosine = (mine[q[s]] * vectors[g[s]]).sum(axis=1) / (own_norms[q[s]] * norms[g[s]])
             linked[s] = (cosine >= threshold) & (own[q[s]] != ids[g[s]])
-        return pa.table({"a": pa.array(own[q[linked]]), "b": pa.array(ids[g[linked]])})
+        if not linked.any():
+            return empty
+        a, b = own[q[linked]], ids[g[linked]]
+        node, root = forest(a, b)
+        tree = np.arange(len(a) + len(node)) >= len(a)
+        return pa.table({"a": pa.array(np.concatenate([a, node])), "b": pa.array(np.concatenate([b, root])), "tree": pa.array(tree)})
 
     return work
 
 
-def links(classes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) in both directions for rows (cls, label, dim, vector): classes whose cosine reaches the threshold."""
+def links(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(links, trees) for rows (cls, label, dim, vector): classes whose cosine reaches the threshold.
+
+    ``links``: (a, b) in both directions; ``trees``: (a, b), few edges that connect what the links connect.
+    """
     sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.select(
         F.col("label").alias("l"),
@@ -319,7 +328,8 @@ def links(classes: DataFrame, threshold: float) -> DataFrame:
     key = ["label", "dim", "shard", "chunk"]
     found = asked.repartition(parts, *key).groupBy(*key).cogroup(met.repartition(parts, *key).groupBy(*key))
     found = materialise(found.applyInArrow(_query(threshold), EDGES), "found")
-    return found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    one = found.where("NOT tree").select("a", "b")
+    return one.union(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), found.where("tree").select("a", "b")
 
 
 def near_duplicates(
@@ -343,10 +353,10 @@ def near_duplicates(
         own = chosen.filter("sound").groupBy("label", "vector").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
         own = own.withColumns({"cls": F.monotonically_increasing_id(), "dim": F.size("vector")})
         own = materialise(own, "classes")
-        edges = materialise(links(own.select("cls", "label", "dim", "vector"), threshold), "links")
+        edges, trees = links(own.select("cls", "label", "dim", "vector"), threshold)
         linked = edges.join(own.select(F.col("cls").alias("b"), "n"), "b").groupBy(F.col("a").alias("cls"))
         linked = linked.agg(F.sum("n").alias("others"))
-        roots = components(edges, "a", "b").withColumnRenamed("node", "cls")
+        roots = components(trees, "a", "b").withColumnRenamed("node", "cls")
         joined = own.select("cls", "label", "vector", "n", "least").join(linked, "cls", "left").join(roots, "cls", "left")
         joined = materialise(joined.withColumn("root", F.coalesce("root", "cls")), "joined")
         lowest = joined.groupBy("root").agg(F.min("least").alias("lowest"))
