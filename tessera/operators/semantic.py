@@ -20,6 +20,7 @@ from tessera.functions import formulas
 from tessera.functions.dates import GRAINS, truncate
 from tessera.operators import running
 from tessera.operators.aggregates import Aggregate, aggregate
+from tessera.session import materialise
 
 _QUOTED = re.compile(r"('(?:[^']|'')*')")
 
@@ -391,6 +392,8 @@ def _finish(
     def window(call: str, inner: Column) -> Column:
         nonlocal out
         time, rest, block = _time_axis(out, model, query, aliases)
+        if block is not None and not extra:
+            out = materialise(out, "series")  # blocks read it twice
         column = f"__{call}_{len(extra)}"
         extra.append(column)
         step = running.cumulative if call == "cumsum" else running.change

@@ -15,12 +15,12 @@ from tessera.sources.traces import read_trace
 
 # Lines of our own in the form of a trace.
 LINES = """
-{"event":"agent.start","question":"What is our CET1 ratio?","contract":"capital_risk","timestamp":"2026-05-09T10:01:00Z"}
-{"event":"agent.turn1","stop_reason":"tool_use","latency_ms":843,"timestamp":"2026-05-09T10:01:01Z"}
-{"event":"tool.args","raw_args":{"query":"SELECT 1"},"timestamp":"2026-05-09T10:01:01Z"}
-{"event":"tool.call","tool":"query_capital_position","sql":"SELECT 2","timestamp":"2026-05-09T10:01:01Z"}
-{"event":"tool.result","rows":1,"data":[{"cet1_ratio_pct":14.83,"combined_buffer":9.75}],"timestamp":"2026-05-09T10:01:01Z"}
-{"event":"agent.answer","latency_ms":612,"lineage_source":["bootstrap.py"],"timestamp":"2026-05-09T10:01:02Z"}
+{"event":"run.start","question":"How many orders are open?","contract":"orders","timestamp":"2001-08-01T08:00:00Z"}
+{"event":"run.step","stop_reason":"tool_use","latency_ms":120,"timestamp":"2001-08-01T08:00:01Z"}
+{"event":"step.args","raw_args":{"query":"SELECT 1"},"timestamp":"2001-08-01T08:00:01Z"}
+{"event":"step.call","tool":"orders","sql":"SELECT 2","timestamp":"2001-08-01T08:00:02Z"}
+{"event":"step.result","rows":1,"data":[{"open":731,"share":48.7}],"timestamp":"2001-08-01T08:00:02Z"}
+{"event":"run.answer","latency_ms":95,"lineage_source":["orders.parquet"],"timestamp":"2001-08-01T08:00:03Z"}
 """.strip()
 
 
@@ -33,10 +33,10 @@ def folder(tmp_path):
 def test_batch(spark, folder):
     trace = read_trace(spark, folder)
     assert trace.count() == 6
-    assert [r.sql for r in traces.events(trace, "tool.call").collect()] == ["SELECT 2"]
-    assert [r.source for r in traces.lineage(trace).where("source is not null").collect()] == ["bootstrap.py"]
+    assert [r.sql for r in traces.events(trace, "step.call").collect()] == ["SELECT 2"]
+    assert [r.source for r in traces.lineage(trace).where("source is not null").collect()] == ["orders.parquet"]
     record = traces.result_rows(trace).first().record
-    assert record == {"cet1_ratio_pct": "14.83", "combined_buffer": "9.75"}
+    assert record == {"open": "731", "share": "48.7"}
     asked = trace.where("raw_args is not null").select(traces.query_argument(F.col("raw_args")).alias("q"))
     assert asked.first().q == "SELECT 1"
 
