@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import lang_id
+from tessera.llm import lang_id, queries
 from tessera.llm.common import remainder
 
 SYLLABLES = {"aa": ["ka", "ro", "mi", "tu"], "bb": ["schl", "ung", "eit", "ver"], "cc": ["ção", "lha", "ndo", "que"], "dd": ["日", "本", "語", "字"]}
@@ -57,3 +58,12 @@ def test_pieces_count_alike(monkeypatch):
     whole = lang_id.counts_of(text("cc", 3, 500))
     monkeypatch.setattr(lang_id, "PIECE", 97)
     assert np.array_equal(whole, lang_id.counts_of(text("cc", 3, 500)))
+
+
+def test_the_query_tells_held_out_languages(spark):
+    folder = "/root/testdata/sf0.01"
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = queries.op8_language_id(spark, folder).collect()
+    assert len(got) == len(lang) and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
+    held = [r["lang_pred"] == lang[r["doc_id"]] for r in got if r["held_out"] and lang[r["doc_id"]]]
+    assert np.mean(held) > 0.99 and all(0 <= r["score"] <= 1 for r in got)

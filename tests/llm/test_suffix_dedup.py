@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from awkward import prose
 
-from tessera.llm import suffix_dedup
+from tessera.llm import queries, suffix_dedup
 from tessera.llm.suffix_dedup import FINE, GRAM, LENGTH, SPAN
 
 
@@ -103,3 +103,12 @@ def test_cells_cover_every_string_and_choose_alike():
     ids = suffix_dedup.identifiers(flat, (GRAM, LENGTH - FINE + 1, LENGTH))
     moved = suffix_dedup.identifiers(np.concatenate([flat[:100], flat]), (GRAM, LENGTH - FINE + 1, LENGTH))
     assert all(np.array_equal(ids[d], moved[d][100:]) for d in ids)
+
+
+def test_the_query_against_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    want = sorted((i, n, gone, len(spans), sha) for i, n, gone, spans, sha in brute(rows))
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = sorted(tuple(r[c] for c in columns) for r in queries.op6_suffix_dedup(spark, folder).collect())
+    assert found == want and any(gone for _, _, gone, _, _ in want)

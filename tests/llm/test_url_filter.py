@@ -88,3 +88,14 @@ def test_lexical_features():
     assert got["secure"] == 1 and got["fragment"] == 1 and got["escapes"] == 1 and got["hyphens"] == 1
     assert math.isclose(got["entropy"], -sum(n / len(url) * math.log2(n / len(url)) for n in Counter(url).values()))
     assert not any(none)
+
+
+def test_the_query_against_brute_force_rules(spark):
+    folder = "/root/testdata/sf0.001"
+    got = {r["page_id"]: r for r in op10_url_filter(spark, folder).collect()}
+    for page in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url").collect():
+        host, path = parse(page["url"])
+        name, verdict = rule(host, path)
+        mine = got[page["page_id"]]
+        assert (mine["host"], mine["path"], mine["rule"]) == (host, path, name)
+        assert mine["verdict"] == verdict if name else mine["verdict"] in ("allow", "block")
