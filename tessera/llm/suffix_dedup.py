@@ -143,17 +143,20 @@ def _signed(ids: np.ndarray) -> np.ndarray:
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of each text. Of cells equal in all bytes within a piece one goes on to be sorted, the others are known repeats (n = 0)."""
+    """Cells of each text. Of cells equal in all bytes within a piece one goes on to be sorted, the others are known repeats (n = 0).
+
+    A text that stands in two or more rows (``copies``) counts twice, so its cells are known repeats too.
+    """
     for batch in batches:
-        keys = batch.column("key")
+        keys, copies = batch.column("key"), batch.column("copies").to_numpy()
         for flat, ends, row, begin in _batches_of(batch.column("text")):
             text, anchor, low, high, core, outer = cells_of(flat, ends)
             if not len(text):
                 continue
             starts = ends - np.diff(np.concatenate([[0], ends]))
-            _, first, inverse, count = np.unique(outer, return_index=True, return_inverse=True, return_counts=True)
+            _, first, inverse = np.unique(outer, return_index=True, return_inverse=True)
             n = np.zeros(len(text), dtype=np.int32)
-            n[first] = np.minimum(count, 2)
+            n[first] = np.minimum(np.bincount(inverse, weights=copies[row[text]]), 2)
             own = keys.take(pa.array(row[text]))
             place = (anchor - starts[text] + begin[text]).astype(np.int32)
             yield _table(CELLS, own, place, low.astype(np.int32), high.astype(np.int32), _signed(core), _signed(outer), n)
@@ -248,10 +251,10 @@ def _finer(size: int):
     return work
 
 
-def _merged(cells: list) -> tuple[np.ndarray, np.ndarray]:
+def _merged(cells: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of the maximal runs that cells cover."""
-    first = np.array([c["anchor"] - c["high"] for c in cells], dtype=np.int64)
-    last = np.array([c["anchor"] - c["low"] for c in cells], dtype=np.int64) + LENGTH
+    anchor, low, high = (cells.field(c).to_numpy().astype(np.int64) for c in ("anchor", "low", "high"))
+    first, last = anchor - high, anchor - low + LENGTH
     order = np.argsort(first, kind="stable")
     first, last = first[order], np.maximum.accumulate(last[order])
     new = np.concatenate([[True], first[1:] > last[:-1]])
@@ -263,7 +266,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, offsets = column_bytes(batch.column("text"))
         cells = batch.column("cells")
         for row in range(batch.num_rows):
-            starts, ends = _merged(cells[row].as_py())
+            starts, ends = _merged(cells.slice(row, 1).flatten())
             text = flat[offsets[row] : offsets[row + 1]]
             gone = np.zeros(len(text) + 1, dtype=np.int8)
             gone[starts] += 1
@@ -288,7 +291,7 @@ def digest(text_column: str) -> Column:
 
 
 def _by_text(cells: DataFrame, *columns: str) -> DataFrame:
-    """All cells of a text in one row: as many as the text is long at most."""
+    """All cells of a text in one row: as many as the text is long at most, as each text has its cells once."""
     return cells.groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("cells"))
 
 
@@ -300,13 +303,13 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     with scratch(docs.sparkSession):
         keyed = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"), digest(text_column).alias("key"))
         rows = materialise(keyed.select("id", "key", F.octet_length("text").cast("long").alias("n_bytes")), "rows", keep=True)
-        cells = materialise(keyed.select("key", "text").mapInArrow(_cells, CELLS), "cells")
+        # One row per text: copies are reduced before the shuffle, and after it only count as repeats.
+        texts = keyed.groupBy("key").agg(F.first("text").alias("text"), F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("copies"))
+        cells = materialise(texts.mapInArrow(_cells, CELLS), "cells")
         states = _sorted(cells, "buckets")
         copies = cells.filter("n = 0").select("key", "anchor", "low", "high", "core", F.lit(REPEATED).alias("state"))
         touched = materialise(_by_text(states.union(copies), "anchor", "low", "high", "core", "state"), "touched")
-        # One row per text: copies are reduced before the shuffle and are never counted again.
-        texts = keyed.groupBy("key").agg(F.first("text").alias("text"))
-        touched = materialise(touched.join(texts, "key"), "touched-texts")
+        touched = materialise(touched.join(texts.drop("copies"), "key"), "touched-texts")
         open_ones = F.filter("cells", lambda c: c["state"] != REPEATED)
         first = touched.withColumn("cells", open_ones).filter(F.size("cells") > 0)
         second = _sorted(materialise(first.mapInArrow(_finer(FINE), CELLS), "fine"), "fine-buckets")

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from awkward import prose
+from pyspark.sql import functions as F
 
 from tessera.llm import queries, suffix_dedup
 from tessera.llm.suffix_dedup import FINE, GRAM, LENGTH, SPAN
@@ -72,6 +73,21 @@ def test_random_near_copies(spark, seed):
     assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
 
 
+def test_a_text_has_its_cells_once_however_often_it_is_copied(spark, monkeypatch):
+    """300 copies of one text, beside a text in two rows, one that shares a passage, and one alone."""
+    text, twice = prose(500, 400), prose(501, 300)
+    rows = [(k, text) for k in range(300)] + [(400, twice), (401, twice), (402, "q" + text[:900] + prose(502, 100)), (403, prose(503, 300))]
+    by_text, most = suffix_dedup._by_text, []
+
+    def watched(cells, *columns):
+        most.append(by_text(cells, *columns).agg(F.max(F.size("cells"))).first()[0] or 0)
+        return by_text(cells, *columns)
+
+    monkeypatch.setattr(suffix_dedup, "_by_text", watched)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
+    assert len(most) == 3 and 0 < max(most) <= len(text)
+
+
 def test_empty(no_docs):
     rows, removed = suffix_dedup.repeats(no_docs)
     assert rows.count() == removed.count() == 0
