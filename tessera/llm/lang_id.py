@@ -3,7 +3,7 @@
 A text is lower-cased, its letters are kept and everything else becomes one space between words.
 Character 1- to 3-grams are hashed into ``WIDTH`` places; counts are damped (1 + log) and weighted by the
 inverse document frequency over all training documents, and the vector is normalised. Each language's
-training vectors (a sample bounded by ``PER_LANGUAGE``, chosen by hash) are clustered by spherical
+training vectors (a sample of its distinct texts bounded by ``PER_LANGUAGE``, chosen by hash) are clustered by spherical
 k-means; a text takes the language of the nearest centroid. The score is the cosine, cut to 0..1. A text
 farther from its centroid than nearly all training texts of that centroid is marked as rejected.
 
@@ -29,7 +29,7 @@ from tessera.session import materialise
 
 WIDTH = 4096
 ORDERS = (1, 2, 3)
-#: Training texts of a language that its centroids are clustered from, at most (about).
+#: Distinct training texts of a language that its centroids are clustered from, at most (about); all of them if there are no more.
 PER_LANGUAGE = 2_000
 CENTROIDS = 4
 LLOYD_ROUNDS = 12
@@ -132,10 +132,10 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     for row in got:
         n[row["k"]] = row["n"]
     idf = np.log((n[-1] + 1) / (n[:-1] + 1)) + 1
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    # Copies share a hash, so each text enters once at most; the hash orders nothing but the choice.
+    # Copies share a hash, so each text enters once at most, and the share is of distinct texts; the hash orders nothing but the choice.
+    sizes = rows.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
     order = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    share = F.least(F.lit(1.0), F.lit(float(PER_LANGUAGE)) / F.col("rows")) * (1 << 30)
+    share = F.least(F.lit(1.0), F.lit(float(PER_LANGUAGE)) / F.col("texts")) * (1 << 30)
     shares = materialise(sizes.select(F.col("lang").alias("l"), share.alias("share")), "languages")
     sample = rows.withColumn("order", order).join(shares, F.col("lang") == F.col("l")).filter("order < share")
     sample = materialise(sample.select("lang", "text", "order").distinct(), "language-sample")

@@ -37,6 +37,16 @@ def test_the_same_model_whatever_the_order(corpus):
     assert len(one.languages) == 4 * lang_id.CENTROIDS
 
 
+def test_copies_of_one_text_do_not_crowd_out_the_others(spark, corpus, monkeypatch):
+    monkeypatch.setattr(lang_id, "PER_LANGUAGE", 50)
+    copies = spark.range(5000).select((F.col("id") + 10_000).alias("doc_id"), F.lit(text("bb", -2)).alias("text"), F.lit("bb").alias("lang"))
+    few = corpus.filter("lang <> 'bb' OR doc_id < 160")  # 40 other texts
+    model = lang_id.fit(few.union(copies))
+    assert all(model.languages.count(lang) == lang_id.CENTROIDS for lang in SYLLABLES)
+    unseen = spark.createDataFrame([(k, text("bb", 10_000 + k)) for k in range(50)], "doc_id long, text string")
+    assert {r["lang"] for r in lang_id.predict(unseen, model).collect()} == {"bb"}
+
+
 def test_strange_texts_are_rejected_and_letterless_ones_unknown(spark, corpus):
     model = lang_id.fit(corpus)
     rows = [(1, None), (2, ""), (3, "123 !! ²"), (4, "ЖЩЪ ЫЭЮ ЖЖЩ ЪЫЭ"), (5, text("bb", -1)), (6, "a"), (7, text("aa", 1, 400_000))]
