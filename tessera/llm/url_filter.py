@@ -7,7 +7,7 @@ digit ratio, entropy, parameter counts, and statistics of the host's suffixes, t
 end in the suffix and the smoothed share of the labelled ones that is blocked.
 
 Suffix statistics count all urls; the trees see at most about ``TRAIN_ROWS`` distinct labelled urls, chosen
-by hash. Null urls and urls without ``://`` have an empty host and path and are judged by the trees like any
+by hash from each verdict, of the rarer one all up to half the bound, and weighted back. Null urls and urls without ``://`` have an empty host and path and are judged by the trees like any
 other. With one verdict among the labelled urls, that one holds for all; with none, ``allow``. Repeated
 rows are judged each.
 """
@@ -135,6 +135,12 @@ def _statistics(rows: DataFrame, column: str, share: float) -> DataFrame:
     )
 
 
+def _shares(allowed: int, blocked: int) -> tuple[float, float]:
+    """Shares of the allowed and the blocked urls to train on: the rarer verdict up to half of ``TRAIN_ROWS``, the other fills up."""
+    rarer = min(allowed, blocked, TRAIN_ROWS // 2)
+    return tuple(min(1.0, (TRAIN_ROWS - rarer if n > min(allowed, blocked) else TRAIN_ROWS // 2) / max(n, 1)) for n in (allowed, blocked))
+
+
 def judge(pages: DataFrame, rules: Rules, id_column: str = "page_id", url_column: str = "url") -> DataFrame:
     """(id, host, path, rule, verdict, block_score) of every row; the score is null where it isn't needed."""
     rows = materialise(parsed(pages, rules, id_column, url_column), "urls")
@@ -152,12 +158,14 @@ def judge(pages: DataFrame, rules: Rules, id_column: str = "page_id", url_column
 
     # A url's copies have the same features and verdict: each url enters once, so the bound holds for any table.
     labelled = rows.filter("verdict IS NOT NULL").dropDuplicates(["url"])
-    distinct = rows.filter("verdict IS NOT NULL").agg(F.approx_count_distinct("url", 0.02)).first()[0]
-    share = min(1.0, TRAIN_ROWS / max(distinct, 1))
-    sample = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    sample = sample.select("url", *LEXICAL, *SUFFIX, (F.col("verdict") == BLOCK).cast("double").alias("label"))
+    is_block = F.col("verdict") == BLOCK
+    urls = [F.approx_count_distinct(F.when(wanted, F.col("url")), 0.02) for wanted in (~is_block, is_block)]
+    shares = _shares(*rows.filter("verdict IS NOT NULL").agg(*urls).first())
+    share = F.when(is_block, F.lit(shares[1])).otherwise(F.lit(shares[0]))
+    sample = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < share * (1 << 30))
+    sample = sample.select("url", *LEXICAL, *SUFFIX, is_block.cast("double").alias("label"), (1 / share).alias("weight"))
     sample = materialise(sample.repartitionByRange("url").sortWithinPartitions("url"), "url-sample")
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED)
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED)
     model = trees.fit(assembler.transform(sample))
 
     scored = model.transform(assembler.transform(rows))

@@ -65,6 +65,25 @@ def test_trees_learn_what_the_rules_say(spark):
     assert len(free) == 480 and np.mean([(r["verdict"] == "block") == bool(r["id"] % 2) for r in free]) > 0.97
 
 
+def test_a_rare_verdict_is_learned_from_too(spark, monkeypatch):
+    """20 of 12 000 labelled urls are blocked, and the bound is 400: a uniform draw would expect 0.7 of them."""
+    monkeypatch.setattr(url_filter, "TRAIN_ROWS", 400)
+    rows = [(k, f"https://fine{k % 50}.org/about/{k}") for k in range(12_000)]
+    rows += [(100_000 + k, f"https://spam{k}.{'org' if k < 20 else 'net'}/{'buy-' * 9}{k}?a=1&b=2&c=3") for k in range(40)]
+    rules = (("org", "/", "allow"), *((f"spam{k}.org", "/", "block") for k in range(20)))
+    rows += [(200_000 + k, f"https://fine{k}.net/about/{k}") for k in range(40)]
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    free = [r for r in got if r["rule"] is None]
+    assert len(free) == 60 and all((r["verdict"] == "block") == (r["id"] < 200_000) for r in free)
+
+
+def test_shares_of_the_verdicts():
+    assert url_filter._shares(100, 50) == (1.0, 1.0)
+    assert url_filter._shares(10_000_000, 20) == ((url_filter.TRAIN_ROWS - 20) / 10_000_000, 1.0)
+    assert url_filter._shares(20_000, 40_000) == (0.5, 0.25)
+    assert url_filter._shares(40_000, 40_000) == (0.25, 0.25)
+
+
 def test_the_query_is_the_same_again(spark):
     folder = "/root/testdata/sf0.001"
     one, two = (sorted(map(tuple, op10_url_filter(spark, folder).collect()), key=repr) for _ in range(2))
