@@ -1,42 +1,18 @@
-"""Shared session and the reference rows that golden tests use."""
+"""Shared session and tables. Helpers to import live in other modules: a second ``conftest`` may hide this one."""
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
-from decimal import Decimal
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.session import local_session, scratch  # noqa: E402
-from tessera.sources.schemas import CAPITAL_POSITION as CAPITAL_DDL  # noqa: E402
-from tessera.sources.schemas import TRADE_EXPOSURE as TRADE_DDL  # noqa: E402
-
-# Capital positions of one entity over three quarters.
-CAPITAL_ROWS = [
-    ("2025-09-30", "BANK_HOLDCO", "27410.00", "190500.00", "14.39", "9.75"),
-    ("2025-12-31", "BANK_HOLDCO", "28150.00", "192000.00", "14.66", "9.75"),
-    ("2026-03-31", "BANK_HOLDCO", "29273.00", "197400.00", "14.83", "9.75"),
-]
+from rows import CAPITAL_DDL, CAPITAL_ROWS, TRADE_DDL, TRADE_ROWS, capital_rows, trade_rows  # noqa: E402
 
-# Ten trades.
-TRADE_ROWS = [
-    ("T001", "GOLDMAN_SACHS", "FX_FORWARD", "450.00", "2026-05-30", "AA", "NORTH_AMERICA", "OPEN"),
-    ("T002", "DEUTSCHE_BANK", "BOND", "320.00", "2026-06-15", "A", "EUROPE", "OPEN"),
-    ("T003", "BARCLAYS", "DERIVATIVE", "180.00", "2026-05-28", "AA", "EUROPE", "OPEN"),
-    ("T004", "JPMORGAN", "FX_FORWARD", "890.00", "2026-06-01", "AAA", "NORTH_AMERICA", "OPEN"),
-    ("T005", "CREDIT_SUISSE", "BOND", "220.00", "2026-05-25", "BB", "EUROPE", "OPEN"),
-    ("T006", "CITIBANK", "DERIVATIVE", "560.00", "2026-06-20", "A", "NORTH_AMERICA", "OPEN"),
-    ("T007", "GOLDMAN_SACHS", "BOND", "340.00", "2026-07-01", "AA", "NORTH_AMERICA", "OPEN"),
-    ("T008", "HSBC", "FX_FORWARD", "410.00", "2026-05-29", "AA", "EUROPE", "OPEN"),
-    ("T009", "DEUTSCHE_BANK", "DERIVATIVE", "150.00", "2026-06-10", "A", "EUROPE", "SETTLED"),
-    ("T010", "BARCLAYS", "FX_FORWARD", "280.00", "2026-07-15", "AA", "EUROPE", "OPEN"),
-]
-RATING_SCALE = ("AAA", "AA", "A", "BBB", "BB", "B", "CCC")
+from tessera.session import local_session, scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -46,10 +22,6 @@ def spark():
         yield session
 
 
-def capital_rows(rows):
-    return [(dt.date.fromisoformat(d), e, *(None if v is None else Decimal(v) for v in vs)) for d, e, *vs in rows]
-
-
 @pytest.fixture(scope="session")
 def capital(spark):
     return spark.createDataFrame(capital_rows(CAPITAL_ROWS), CAPITAL_DDL)
@@ -57,9 +29,4 @@ def capital(spark):
 
 @pytest.fixture(scope="session")
 def trades(spark):
-    rows = [(i, c, k, Decimal(n), dt.date.fromisoformat(s), *rest) for i, c, k, n, s, *rest in TRADE_ROWS]
-    return spark.createDataFrame(rows, TRADE_DDL)
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return spark.createDataFrame(trade_rows(TRADE_ROWS), TRADE_DDL)

@@ -6,7 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import CAPITAL_DDL, RATING_SCALE, capital_rows
+from rows import CAPITAL_DDL, RATING_SCALE, capital_rows
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import exact_sum, percent

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from tessera.operators.metrics import Dimension, Measure, Metric, MetricLayer, MetricModel, entity_duplicates

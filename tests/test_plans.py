@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 
 import __spark_entry__ as driver
 

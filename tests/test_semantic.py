@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

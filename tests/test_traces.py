@@ -6,7 +6,7 @@ import random
 import re
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from tessera.operators import traces
