@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, hnsw_dedup, jaccard_join, lang_id, lm_score, mixing, suffix_dedup, toxicity, url_filter
+from tessera.llm import (
+    bpe,
+    collocations,
+    exact_dedup,
+    fill_middle,
+    hnsw_dedup,
+    jaccard_join,
+    lang_id,
+    lm_score,
+    mixing,
+    secret_scan,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from tessera.llm.common import remainder, table
 
 
@@ -218,6 +232,146 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "block_score")
 
 
+
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    live = F.size(F.filter("spans", lambda s: s["live"])).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"), count("assign"), count("access"), count("hex"),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"), live.alias("n_live"),
+    )
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t0,
+         '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS assign
+  FROM documents
+), a AS (
+  SELECT r, doc_id, source, t0, regexp_split_to_array(t0, assign) AS p, regexp_extract_all(t0, assign) AS m,
+         regexp_extract_all(t0, assign, 2) AS v
+  FROM d
+), b AS (
+  SELECT *, list_reduce(list_transform(p, lambda x, i: x || CASE WHEN i > len(m) THEN '' WHEN len(v[i]) >= 8 THEN repeat(' ', len(m[i])) ELSE m[i] END),
+                        lambda x, y: x || y) AS t1
+  FROM a
+), c AS (
+  SELECT *, regexp_split_to_array(t1, 'AKIA[A-Z0-9]{12,}') AS p1, regexp_extract_all(t1, 'AKIA[A-Z0-9]{12,}') AS m1 FROM b
+), e AS (
+  SELECT *, list_reduce(list_transform(p1, lambda x, i: x || CASE WHEN i > len(m1) THEN '' ELSE repeat(' ', len(m1[i])) END), lambda x, y: x || y) AS t2 FROM c
+), f AS (
+  SELECT *, regexp_split_to_array(t2, '[0-9a-f]{32,}') AS p2, regexp_extract_all(t2, '[0-9a-f]{32,}') AS m2 FROM e
+), g AS (
+  SELECT *, list_reduce(list_transform(p2, lambda x, i: x || CASE WHEN i > len(m2) THEN '' ELSE repeat(' ', len(m2[i])) END), lambda x, y: x || y) AS t3 FROM f
+), k AS (
+  SELECT r, doc_id, source, 0 AS kind, p, m, v FROM a
+  UNION ALL SELECT r, doc_id, source, 1, regexp_split_to_array(t0, 'AKIA[A-Z0-9]{12,}'), regexp_extract_all(t0, 'AKIA[A-Z0-9]{12,}'), regexp_extract_all(t0, 'AKIA[A-Z0-9]{12,}') FROM a
+  UNION ALL SELECT r, doc_id, source, 2, regexp_split_to_array(t0, '[0-9a-f]{32,}'), regexp_extract_all(t0, '[0-9a-f]{32,}'), regexp_extract_all(t0, '[0-9a-f]{32,}') FROM a
+  UNION ALL SELECT r, doc_id, source, 3, regexp_split_to_array(t3, '[A-Za-z0-9+/_=-]{20,}'), regexp_extract_all(t3, '[A-Za-z0-9+/_=-]{20,}'), regexp_extract_all(t3, '[A-Za-z0-9+/_=-]{20,}') FROM g
+), s AS (
+  SELECT r, doc_id, source, kind, unnest(m) AS m, unnest(v) AS v, unnest(list_transform(m, lambda x, i:
+         coalesce(list_sum(list_transform(p[1:i], lambda y: len(y))), 0) + coalesce(list_sum(list_transform(m[1:i-1], lambda y: len(y))), 0)))::BIGINT AS low
+  FROM k
+), u AS (
+  SELECT *, regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 10 AS shaped FROM s
+), w AS (
+  SELECT * FROM u WHERE (kind > 0 OR len(v) >= 8) AND (kind < 3 OR shaped)
+), o AS (
+  SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT (coalesce(source, chr(0)), coalesce(doc_id::VARCHAR, ''))) AS repositories FROM w GROUP BY v
+), j AS (
+  SELECT w.*, shaped AND owners <= 1 AND repositories <= 8 AS live,
+         (['assign', 'access', 'hex', 'token'])[kind + 1] || ':' || low || ':' || (low + len(m)) AS item
+  FROM w JOIN o USING (v)
+)
+SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(item, ',' ORDER BY low, kind) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(item, ',' ORDER BY low, kind) FILTER (kind < 3 OR live), '') AS spans, count(*) FILTER (live) AS n_live
+FROM d LEFT JOIN j USING (r) GROUP BY d.r, d.doc_id
+"""
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = collocations.mine(table(spark, sf_dir, "documents"))
+    return best.select(F.col("grp").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+  FROM documents
+), p AS (
+  SELECT r, lang, generate_subscripts(ps, 1) AS i, regexp_extract_all(unnest(ps), '[^\x20\x09]+') AS ws FROM d
+), w AS (
+  SELECT r, lang, i, generate_subscripts(ws, 1) AS j, unnest(ws) AS w1 FROM p
+), g AS (
+  SELECT lang, w1, lead(w1) OVER v AS w2, lead(w1, 2) OVER v AS w3 FROM w WINDOW v AS (PARTITION BY r, i ORDER BY j)
+), f1 AS (
+  SELECT lang, w1, count(*) AS f FROM g GROUP BY ALL
+), f2 AS (
+  SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL
+), f3 AS (
+  SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), n AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang
+), pairs AS (
+  SELECT c.lang, c.w1, c.w2, NULL AS w3, c.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+  WHERE c.f >= 10
+), threes AS (
+  SELECT c.lang, c.w1, c.w2, c.w3, c.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1, c.w2, c.w3, c.f, 2, x.f, y.f
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3
+), cuts AS (
+  SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM (SELECT * FROM pairs UNION ALL SELECT * FROM threes)
+), best AS (
+  SELECT *, concat_ws(' ', w1, w2, w3) AS phrase FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, w1, w2, w3 ORDER BY score, k) = 1
+), around AS (
+  SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN around o ON b.w3 IS NULL AND o.lang = b.lang AND o.w1 = b.w1 AND o.w2 = b.w2
+  WHERE o.f IS NULL OR 100 * o.f < 50 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.transform(table(spark, sf_dir, "documents"), restored=True)
+    return rows.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), c AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS one, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS two,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), s AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:least(one, two)], '') AS p,
+         array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS m, array_to_string(u[greatest(one, two) + 1:], '') AS s
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -229,5 +383,17 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_collocations": op12_collocations,
+    "op13_fill_middle": op13_fill_middle,
+}
+ORACLE = {
+    "op1_exact_dedup": OP1_SQL,
+    "op2_jaccard_join": OP2_SQL,
+    "op3_mixing": OP3_SQL,
+    "op4_hnsw_dedup": OP4_SQL,
+    "op5_lm_score": OP5_SQL,
+    "op11_secret_scan": OP11_SQL,
+    "op12_collocations": OP12_SQL,
+    "op13_fill_middle": OP13_SQL,
 }
-ORACLE = {"op1_exact_dedup": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op3_mixing": OP3_SQL, "op4_hnsw_dedup": OP4_SQL, "op5_lm_score": OP5_SQL}

@@ -22,5 +22,5 @@ def test_same_rows(spark, con, name):
     assert spark_rows(QUERIES[name](spark, FOLDER)) == oracle_rows(con, ORACLE[name])
 
 
-def test_ten_queries():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+def test_thirteen_queries():
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
