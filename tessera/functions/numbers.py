@@ -51,16 +51,22 @@ def exact_parts(value: Column | str, scale: int = 2) -> dict[str, Column]:
 
 
 def exact_total(high: Column, low: Column, rest: Column, scale: int = 2) -> Column:
-    """Summed parts as a decimal of at least six decimals."""
+    """Summed parts as a decimal of at least six decimals. Only the rest, which amounts of ``scale`` decimals do
+    not have, is rounded: to six decimals, once, after summing."""
     units = high.cast("decimal(19,0)") * F.lit(Decimal(_BLOCK)) + low.cast("decimal(19,0)")
     return units * F.lit(Decimal(1).scaleb(-scale)) + rest.cast(f"decimal(22,{max(scale, 6)})")
 
 
 def exact_sum(value: Column | str, scale: int = 2) -> Column:
     """Sum of amounts held as doubles, without loss up to the double it returns."""
-    parts = {name: F.sum(part) for name, part in exact_parts(value, scale).items()}
-    odd = parts.pop("odd")
-    total = exact_total(**parts, scale=scale).cast("double")
+    return exact_sum_of(exact_parts(value, scale), scale)
+
+
+def exact_sum_of(parts: dict[str, Column], scale: int = 2, when: Column | None = None) -> Column:
+    """The sum from parts worked out before, such as columns of a projection, over the rows that ``when`` chooses."""
+    summed = {name: F.sum(part if when is None else F.when(when, part)) for name, part in parts.items()}
+    odd = summed.pop("odd")
+    total = exact_total(**summed, scale=scale).cast("double")
     return F.when(odd.isNotNull(), F.coalesce(total, F.lit(0.0)) + odd).otherwise(total)
 
 

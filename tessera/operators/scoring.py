@@ -90,21 +90,43 @@ def long_form(flagged: DataFrame, keys: Sequence[str], rubric: Sequence[Criterio
     return flagged.select(*keys, F.inline(F.array(*pairs)))
 
 
-def matrix(flagged: DataFrame, agent: str, rubric: Sequence[Criterion]) -> DataFrame:
-    """Criterion by agent: 1 where any answer of the agent passes.
+#: A matrix with more columns than this is no table any more; its cells are.
+MAX_AGENTS = 1000
+
 
-    The flags are reduced per agent first and written; only one row per agent is unfolded and
-    pivoted. Every agent that occurs has a column, a null one the column ``null``.
+def matrix_cells(flagged: DataFrame, agent: str, rubric: Sequence[Criterion]) -> DataFrame:
+    """(agent, criterion, passed): whether any answer of the agent passes, for any number of agents.
+
+    The flags are reduced per agent first; only one row per agent is unfolded. A null agent is one of its own.
     """
     reduced = flagged.groupBy(agent).agg(*[F.max(n).alias(n) for n in flag_names(rubric)])
-    cells = long_form(materialise(reduced, "agents"), [agent], rubric)
-    return presence(cells, "criterion", agent, "passed")
+    return long_form(reduced, [agent], rubric)
+
+
+def presence_cells(cells: DataFrame, row: str, agent: str, present: str) -> DataFrame:
+    """(row, agent, cell): stored flags, such as layer by agent: 1 where any flag is set, null where all are null."""
+    return cells.groupBy(row, agent).agg(F.max(F.col(present).cast("int")).alias("cell"))
+
+
+def matrix(flagged: DataFrame, agent: str, rubric: Sequence[Criterion]) -> DataFrame:
+    """Criterion by agent: 1 where any answer of the agent passes. A view of ``matrix_cells``, see ``spread``."""
+    cells = materialise(matrix_cells(flagged, agent, rubric), "cells")
+    return spread(cells.withColumn("passed", F.col("passed").cast("int")), "criterion", agent, "passed")
 
 
 def presence(cells: DataFrame, row: str, agent: str, present: str) -> DataFrame:
-    """Stored flags as a matrix, such as layer by agent: 1 where any flag is set, null where there is none."""
-    reduced = cells.groupBy(row, agent).agg(F.max(F.col(present).cast("int")).alias("cell"))
-    return materialise(reduced, "cells").groupBy(row).pivot(agent).agg(F.max("cell"))
+    """Stored flags as a matrix: null where there is none. A view of ``presence_cells``, see ``spread``."""
+    return spread(materialise(presence_cells(cells, row, agent, present), "cells"), row, agent, "cell")
+
+
+def spread(cells: DataFrame, row: str, agent: str, cell: str) -> DataFrame:
+    """Written cells as a matrix with a column for each of at most ``MAX_AGENTS`` agents, a null one's named ``null``."""
+    agents = [r[0] for r in cells.select(agent).distinct().limit(MAX_AGENTS + 1).collect()]
+    if len(agents) > MAX_AGENTS:
+        raise ValueError(f"over {MAX_AGENTS} agents do not fit in columns; use the cells")
+    if None in agents and "null" in agents:
+        raise ValueError("an agent is named 'null' beside one without a name; use the cells")
+    return cells.groupBy(row).pivot(agent, sorted(agents, key=lambda a: (a is None, a))).agg(F.max(cell))
 
 
 def _listed(rubric: Sequence[Criterion], test) -> Column:

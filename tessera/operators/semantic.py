@@ -22,6 +22,9 @@ from tessera.operators import running
 from tessera.operators.aggregates import Aggregate, aggregate
 from tessera.session import materialise
 
+#: Which dimensions a row of a cut does not have, one bit each, the last dimension's the lowest.
+GROUPING_ID = "grouping_id"
+
 _QUOTED = re.compile(r"('(?:[^']|'')*')")
 
 
@@ -160,6 +163,8 @@ class SemanticQuery:
     having: tuple[str, ...] = ()
     order: tuple[tuple[str, bool], ...] = ()
     limit: int | None = None
+    #: Cuts by some of the dimensions each, all from one aggregate; the result then has a column ``grouping_id``.
+    sets: tuple[tuple[str, ...], ...] | None = None
 
     @classmethod
     def of(
@@ -170,10 +175,15 @@ class SemanticQuery:
         having: Iterable[str] | None = None,
         order: Iterable[Mapping | str] | None = None,
         limit: int | None = None,
+        sets: Iterable[Iterable[str | Mapping | Dimension]] | None = None,
     ) -> SemanticQuery:
         """Normalise a request: bare strings are accepted, an order without dimensions and
         empty filters are dropped, and a limit of zero or null means none."""
         dims = tuple(Dimension.read(d) for d in dimensions or ())
+        cuts = None if sets is None else tuple(tuple(Dimension.read(d).alias for d in cut) for cut in sets)
+        strange = sorted({a for cut in cuts or () for a in cut} - {d.alias for d in dims})
+        if strange:
+            raise ValueError(f"not among the dimensions: {', '.join(strange)}")
         return cls(
             measures=tuple(_read_measure(m) for m in measures),
             dimensions=dims,
@@ -181,6 +191,7 @@ class SemanticQuery:
             having=tuple(f for f in having or () if f and f.strip()),
             order=tuple(_read_order(o) for o in order or ()) if dims else (),
             limit=limit or None,
+            sets=cuts,
         )
 
 
@@ -260,11 +271,41 @@ def run(model: SemanticModel, query: SemanticQuery, decimals: bool = False) -> D
     decimal can hold (NaN, an infinity) then makes its group's sum null.
     """
     parsed = [formulas.parse(m.formula, m.name) for m in query.measures]
-    outputs = [f.name for f in parsed] + [d.alias for d in query.dimensions]
+    outputs = [f.name for f in parsed] + [d.alias for d in query.dimensions] + [GROUPING_ID] * (query.sets is not None)
     twice = sorted({name for name in outputs if outputs.count(name) > 1})
     if twice:
         raise ValueError(f"several columns would be named {', '.join(twice)}; give the measures names")
-    terms = list(dict.fromkeys(t for f in parsed for t in f.terms))
+    return settle(states(model, query), model, query, parsed, _how(model, _terms(parsed)), decimals)
+
+
+def _terms(parsed: Sequence[formulas.Formula]) -> list[formulas.Term]:
+    return list(dict.fromkeys(t for f in parsed for t in f.terms))
+
+
+def _how(model: SemanticModel, terms: Sequence[formulas.Term]) -> dict[formulas.Term, Aggregate]:
+    return {t: aggregate(t.aggregate, None if t.column == "*" else model.field(t.column).exact) for t in terms}
+
+
+def resolve(model: SemanticModel, text: str) -> tuple[Column, set[str]]:
+    """A filter over carried names, and the dotted names of the columns it reads."""
+    paths = _Paths(model)
+    found = _resolve_filter(text, paths)
+    parts = [part for part in _QUOTED.split(text) if not part.startswith("'")]
+    dotted = {name for part in parts for name in re.findall(r"[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+", part)}
+    dotted = {name for name in dotted if name.split(".")[0] in {j.name for j in model.joins}}
+    words = {w for part in parts for w in re.findall(r"(?<![\w.])\w+(?![\w.])", part)}
+    return found.condition, dotted | {f.name for f in model.fields if f.name in words}
+
+
+def carried_name(dotted: str) -> str:
+    """The flat name under which a query carries a column."""
+    *path, column = dotted.split(".")
+    return _flat(path, column)
+
+
+def states(model: SemanticModel, query: SemanticQuery) -> DataFrame:
+    """One row per group with the states of each term, named ``<term>__<state>``, before anything is finished."""
+    terms = _terms([formulas.parse(m.formula, m.name) for m in query.measures])
     paths = _Paths(model)
     dims = [(d, paths.need(d.name)) for d in query.dimensions]
     filters = [_resolve_filter(f, paths) for f in query.filters]
@@ -275,7 +316,7 @@ def run(model: SemanticModel, query: SemanticQuery, decimals: bool = False) -> D
             facts = facts.where(item.condition)
 
     values = {t: F.lit(1) if t.column == "*" else F.col(t.column) for t in terms}
-    how = {t: aggregate(t.aggregate, None if t.column == "*" else model.field(t.column).exact) for t in terms}
+    how = _how(model, terms)
 
     own = {flat_name(d, flat): _dimension_column(d, flat) for d, flat in dims if "." not in d.name}
     own |= {name: F.col(name) for item in filters for name in item.carried}
@@ -305,13 +346,36 @@ def run(model: SemanticModel, query: SemanticQuery, decimals: bool = False) -> D
         (F.col(n) if "." not in d.name else _dimension_column(d, flat)).alias(d.alias)
         for (d, flat), n in zip(dims, names, strict=True)
     ]
-    states = _states(inputs, how, merged)
-    grouped = facts.groupBy(*keys).agg(*states) if states else facts.select(*keys).distinct()
-    aliases = [d.alias for d in query.dimensions]
-    exact = [t.alias for t in terms if how[t].exact]
-    finished = [how[t].finish(t.alias) for t in terms]
+    return grouped(facts, keys, _states(inputs, how, merged), query)
+
+
+def grouped(facts: DataFrame, keys: list[Column], states: list[Column], query: SemanticQuery) -> DataFrame:
+    """One aggregate; with grouping sets, rows are taken once and each cut is a row beside the others'."""
+    if query.sets is None:
+        return facts.groupBy(*keys).agg(*states) if states else facts.select(*keys).distinct()
+    # Keys under their own names, out of the way of the facts' columns.
+    named = [f"__key_{k}" for k in range(len(keys))]
+    facts = facts.select("*", *[key.alias(n) for key, n in zip(keys, named, strict=True)])
+    of = dict(zip([d.alias for d in query.dimensions], named, strict=True))
+    cuts = [[F.col(of[a]) for a in cut] for cut in query.sets]
+    out = facts.groupingSets(cuts, *[F.col(n) for n in named]).agg(*states, F.grouping_id().alias(GROUPING_ID))
+    return out.withColumnsRenamed({n: a for a, n in of.items()})
+
+
+def settle(
+    groups: DataFrame,
+    model: SemanticModel,
+    query: SemanticQuery,
+    parsed: list[formulas.Formula],
+    how: dict[formulas.Term, Aggregate],
+    decimals: bool,
+) -> DataFrame:
+    """Results from one row of states per group: finished aggregates, formulas, having, order and limit."""
+    aliases = [d.alias for d in query.dimensions] + [GROUPING_ID] * (query.sets is not None)
+    exact = [t.alias for t in how if how[t].exact]
+    finished = [how[t].finish(t.alias) for t in how]
     odd = [F.col(f"`{formulas.odd_name(a)}`") for a in exact]
-    out = grouped.select(*[F.col(f"`{a}`") for a in aliases], *finished, *odd)
+    out = groups.select(*[F.col(f"`{a}`") for a in aliases], *finished, *odd)
 
     out = _finish(out, model, query, parsed, aliases, exact, decimals)
     for condition in query.having:

@@ -59,6 +59,12 @@ def rubric_matrix(spark, sf):
     return scoring.matrix(flagged, "lang", RUBRIC)
 
 
+def rubric_cells(spark, sf):
+    """The same in long form, with a row for each source of documents: any number of them."""
+    flagged = scoring.flags(read_table(spark, sf, "documents"), ["source"], "text", RUBRIC)
+    return scoring.matrix_cells(flagged, "source", RUBRIC)
+
+
 def layer_matrix(spark, sf):
     """Which stored marks (layers) the documents of each language (agents) have."""
     marks = [F.struct(F.lit(n).alias("layer"), (F.col(n) == 1).alias("present")) for n in ("quality", "toxic")]
@@ -97,6 +103,7 @@ QUERIES = {
     "capital_rubric": capital_rubric,
     "rubric_long": rubric_long,
     "rubric_matrix": rubric_matrix,
+    "rubric_cells": rubric_cells,
     "layer_matrix": layer_matrix,
     "newly_unlocked": newly_unlocked,
     "still_missing": still_missing,
@@ -150,6 +157,9 @@ ORACLE = {
         SELECT {_TOTAL} AS total, COUNT(*) AS answers, {", ".join(f"COUNT(*) FILTER (c{i}) AS c{i}" for i in range(1, 6))}
         FROM flagged GROUP BY {_TOTAL}""",
     "rubric_long": f"{_TURN_FLAGS}, cells AS ({_unfold('flagged', 'conv_id, turn')}) SELECT * FROM cells",
+    "rubric_cells": f"""WITH flagged AS (
+            SELECT source, {", ".join(f"max({x}) AS c{i}" for i, x in enumerate(_tests(), 1))} FROM documents GROUP BY source)
+        {_unfold("flagged", "source")}""",
     "rubric_matrix": _matrix(_DOC_FLAGS, "lang", LANGUAGES, "criterion"),
     "layer_matrix": f"""
         WITH cells AS (

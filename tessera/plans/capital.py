@@ -202,7 +202,7 @@ def cross_model_total(spark, sf):
 def metric_time_filled(spark, sf):
     spine = spine_over(read_table(spark, sf, "orders"), "o_orderdate")
     out = trading_layer(spark, sf).query(
-        ["urgent"], group_by=["metric_time__day"], where=["o_orderpriority = '1-URGENT'"], spine=spine
+        ["urgent"], group_by=["metric_time__day"], spine=spine
     )
     return _doubles(out, "urgent")
 
@@ -370,8 +370,8 @@ ORACLE = {
             FROM orders),
         daily AS (
             SELECT CAST(o_orderdate AS DATE) AS d,
-                   {_SUM.format("CASE WHEN o_orderstatus = 'O' THEN o_totalprice END")} AS urgent
-            FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL)
+                   {_SUM.format("CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN o_totalprice END")} AS urgent
+            FROM orders GROUP BY ALL)
         SELECT spine.d AS metric_time__day, urgent FROM spine LEFT JOIN daily ON spine.d = daily.d""",
     "metric_order_desc": f"""{CAPITAL_SQL}
         SELECT entity, CAST(date_trunc('quarter', reporting_date) AS DATE) AS metric_time__quarter, {_RWA} AS rwa

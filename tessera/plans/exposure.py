@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.numbers import decimals_as_doubles, exact_sum
+from tessera.functions.numbers import decimals_as_doubles, exact_parts, exact_sum, exact_sum_of
 from tessera.operators.exposure import concentration, due_this_week, due_within, exposure_by, rated_at_or_below
 from tessera.operators.semantic import SemanticQuery, run
 from tessera.plans.tables import orders, read_table
@@ -124,9 +124,13 @@ def settlement_ladder(spark, sf):
     when = F.col("o_orderdate")
     rungs = [("overdue", when < F.lit(AS_OF).cast("date"))]
     rungs += [(f"within {n} days", due_within(when, AS_OF, n, overdue=False)) for n in (7, 30, 90)]
+    # Parts and conditions are worked out once for each trade, then only summed.
+    parts = exact_parts("o_totalprice")
+    open_trades = open_trades.select(*[c.alias(n) for n, c in parts.items()], *[due.alias(f"due {n}") for n, due in rungs])
+    held = {n: F.col(n) for n in parts}
     row = open_trades.agg(
-        *[exact_sum(F.when(due, F.col("o_totalprice"))).alias(f"sum {name}") for name, due in rungs],
-        *[F.count_if(due).alias(f"n {name}") for name, due in rungs],
+        *[exact_sum_of(held, when=F.col(f"due {name}")).alias(f"sum {name}") for name, _ in rungs],
+        *[F.count_if(F.col(f"due {name}")).alias(f"n {name}") for name, _ in rungs],
     )
     pairs = [
         F.struct(F.lit(n).alias("horizon"), F.col(f"sum {n}").alias("exposure"), F.col(f"n {n}").alias("trades"))
@@ -141,7 +145,18 @@ def rating_at_or_below(spark, sf):
     return low.drop("settles", "instrument", "c_nationkey")
 
 
+def exposure_cuts(spark, sf):
+    """Open exposure by region, by instrument and in all, from one reading and one aggregate."""
+    asked = SemanticQuery.of(
+        ["order_total:sum", "*:count"], ["customer.nation.region.r_name", "priority"], [OPEN],
+        sets=[["customer.nation.region.r_name"], ["priority"], []],
+    )
+    out = decimals_as_doubles(run(orders(spark, sf), asked))
+    return out.withColumnsRenamed({"customer_nation_region_r_name": "region", "priority": "instrument", "order_total_sum": "exposure", "count": "trades"})
+
+
 QUERIES = {
+    "exposure_cuts": exposure_cuts,
     "model_trade_exposure": model_trade_exposure,
     "open_exposure_by_counterparty": open_exposure_by_counterparty,
     "exposure_by_region": exposure_by_region,
@@ -159,6 +174,11 @@ _SUM = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
 _PARTY = "FROM orders LEFT JOIN customer ON o_custkey = c_custkey"
 
 ORACLE = {
+    "exposure_cuts": f"""
+        SELECT r_name AS region, o_orderpriority AS instrument, GROUPING(r_name, o_orderpriority) AS grouping_id,
+               {_SUM} AS exposure, COUNT(*) AS trades
+        {_PARTY} LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
+        WHERE o_orderstatus = 'O' GROUP BY GROUPING SETS ((r_name), (o_orderpriority), ())""",
     "model_trade_exposure": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS trade_id, c_name AS counterparty, o_orderpriority AS instrument_type,
                o_totalprice AS notional_usd_mm, CAST(o_orderdate AS DATE) AS settlement_date,

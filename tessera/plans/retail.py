@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import decimals_as_doubles
-from tessera.operators import semantic
+from tessera.operators import rollups, semantic
 from tessera.operators.exposure import within_last
+from tessera.operators.rollups import Rollups
 from tessera.operators.semantic import SemanticQuery, run
 from tessera.plans import tables
 from tessera.plans.tables import read_table
@@ -252,7 +254,52 @@ def join_key_check(spark, sf):
     return semantic.duplicate_join_keys(model, "items")
 
 
+def _stored_days(spark: SparkSession, sf: str) -> Rollups:
+    """Orders with two roll-ups: days by priority, partitioned by year, and months by region."""
+    model = tables.orders(spark, sf)
+    measures = ["order_total:avg", "order_total:max", "*:count"]
+    days = SemanticQuery.of(measures, ["ordered_at__day", "priority", "ordered_at__year"])
+    months = SemanticQuery.of(["order_total:sum"], ["ordered_at__month", "customer.nation.region.r_name"])
+    return Rollups(model, [
+        rollups.store(model, days, new_path(spark, "rollup-days"), "ordered_at__year"),
+        rollups.store(model, months, new_path(spark, "rollup-months")),
+    ])
+
+
+def rollup_by_month(spark, sf):
+    """A request by month, with an average, answered from stored days."""
+    out = _stored_days(spark, sf).query(
+        {"measures": ["order_total:sum", "order_total:avg", "order_total:max", "*:count"], "dimensions": ["ordered_at__month", "priority"],
+         "filters": ["priority <> '5-LOW'"]}
+    )
+    return decimals_as_doubles(out).withColumn("order_total_avg", F.round("order_total_avg", 4))
+
+
+def rollup_by_region(spark, sf):
+    """Two requests over what is stored: quarters of one region, and regions with a large total."""
+    return decimals_as_doubles(_stored_days(spark, sf).query(
+        {"measures": ["order_total:sum"], "dimensions": ["ordered_at__quarter", "customer.nation.region.r_name"],
+         "filters": ["customer.nation.region.r_name IN ('ASIA', 'EUROPE')"], "having": ["order_total_sum > 1000"]}
+    ))
+
+
+def rollup_refreshed(spark, sf):
+    """Years stored from all but the last year's orders, then the last two years worked out anew."""
+    model = tables.orders(spark, sf)
+    last = model.logical().agg(F.max("ordered_at").cast("date")).first()[0]
+    query = SemanticQuery.of(["order_total:sum", "*:count"], ["ordered_at__month", "ordered_at__year"])
+    if last is None:
+        return decimals_as_doubles(run(model, query))
+    early = replace(model, frame=model.frame.where(F.col("o_orderdate") < F.lit(f"{last.year}-01-01").cast("timestamp_ntz")))
+    kept = rollups.store(early, query, new_path(spark, "rollup-years"), "ordered_at__year")
+    late = rollups.refresh(replace(kept, model=model), [f"{last.year - 1}-01-01", f"{last.year}-01-01"])
+    return decimals_as_doubles(rollups.answer(model, query, [late]))
+
+
 QUERIES = {
+    "rollup_by_month": rollup_by_month,
+    "rollup_by_region": rollup_by_region,
+    "rollup_refreshed": rollup_refreshed,
     "scan_orders": scan_orders,
     "row_count": row_count,
     "time_spine": time_spine,
@@ -293,6 +340,21 @@ _TOTAL = "SUM(CAST(o_totalprice AS DECIMAL(18,2)))"
 _STORE = "FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey"
 
 ORACLE = {
+    "rollup_by_month": """
+        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS ordered_at__month, o_orderpriority AS priority,
+               CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_total_sum,
+               ROUND(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice), 4) AS order_total_avg,
+               MAX(o_totalprice) AS order_total_max, COUNT(*) AS count
+        FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY ALL""",
+    "rollup_by_region": """
+        SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS ordered_at__quarter, r_name AS customer_nation_region_r_name,
+               CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_total_sum
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        WHERE r_name IN ('ASIA', 'EUROPE') GROUP BY ALL HAVING order_total_sum > 1000""",
+    "rollup_refreshed": """
+        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS ordered_at__month, CAST(date_trunc('year', o_orderdate) AS DATE) AS ordered_at__year,
+               CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_total_sum, COUNT(*) AS count
+        FROM orders GROUP BY ALL""",
     "scan_orders": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "row_count": """
         SELECT 'orders' AS table_name, COUNT(*) AS n FROM orders

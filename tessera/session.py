@@ -66,6 +66,18 @@ def remove(spark: SparkSession, path: str) -> None:
     there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """Give a folder another name; whether there was one."""
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    files = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(there):
+        return False
+    if not files.rename(there, jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not move {path} to {to}")
+    return True
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove the intermediate tables written inside, once the block ends.

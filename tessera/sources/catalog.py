@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.semantic import SemanticModel, SemanticQuery, run
+from tessera.session import move, remove
+
+# Fixed value: the folder in which Spark keeps the rows whose partition column is null.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def scan(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -27,9 +33,49 @@ def conform(df: DataFrame, schema: str) -> DataFrame:
 
 
 def save_model(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
-    """Materialise a model as a table, replacing an older one, and read it back."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Materialise a model as a table, replacing an older one, and read it back.
+
+    The new table is written beside the old one, which is moved out of the way only once it is whole: a
+    failed write leaves the old table, and a model may be made from what it replaces.
+    """
+    spark, fresh = df.sparkSession, f"{path}.new-{uuid.uuid4().hex}"
+    try:
+        df.write.partitionBy(*partition_by).parquet(fresh)
+    except Exception:
+        remove(spark, fresh)
+        raise
+    old = f"{path}.old-{uuid.uuid4().hex}"
+    if move(spark, path, old):
+        move(spark, fresh, path)
+        remove(spark, old)
+    else:
+        move(spark, fresh, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def refresh_model(df: DataFrame, path: str, partition: str, values: Iterable) -> DataFrame:
+    """Replace the partitions of a stored model that hold these values, and no others; read the model back.
+
+    ``df`` is read once, and only its rows of these partitions are used. They are staged before they take their place, so
+    that a failed write leaves the table as it was. A partition that has no rows any more goes. ``values`` are
+    the changed periods or keys of one refresh, not the data.
+    """
+    spark, values = df.sparkSession, list(values)
+    if not values:
+        return spark.read.schema(df.schema).parquet(path)
+    kind = df.schema[partition].dataType.simpleString()
+    changed = df.where(F.col(partition).isin([F.lit(v).cast(kind) for v in values if v is not None]) | (F.col(partition).isNull() if None in values else F.lit(False)))
+    seen = Observation()
+    rows = F.collect_set(F.coalesce(F.col(partition).cast("string"), F.lit(_NO_VALUE)))
+    changed = changed.observe(seen, rows.alias("held"))
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    held = set(seen.get["held"])
+    text = [_NO_VALUE if v is None else spark.range(1).select(F.lit(v).cast(kind).cast("string")).first()[0] for v in values]
+    for value in text:
+        if value not in held:
+            folder = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+            remove(spark, f"{path}/{partition}={folder}")
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @dataclass
@@ -72,6 +118,24 @@ _GROUPS = frozenset(
     for name in "agg array bitwise collection conditional conversion datetime generator hash json lambda map math "
     "predicate string struct window".split()
 )
+#: The parser's expressions that stand for columns, values, operators, subqueries, windows and lambdas. What is named only
+#: later, such as IDENTIFIER(...) or a parameter, is not among them.
+_EXPRESSIONS = frozenset(
+    "UnresolvedAttribute AttributeReference UnresolvedStar UnresolvedStarExceptOrReplace UnresolvedAlias UnresolvedOrdinal UnresolvedExtractValue "
+    "UnresolvedFunction UnresolvedGenerator UnresolvedSubqueryColumnAliases Alias MultiAlias Literal Cast Collate "
+    "And Or Not EqualTo EqualNullSafe LessThan LessThanOrEqual GreaterThan GreaterThanOrEqual In InSubquery IsNull IsNotNull "
+    "IsUnknown IsNotUnknown Like ILike RLike LikeAll NotLikeAll LikeAny NotLikeAny ILikeAll NotILikeAll ILikeAny NotILikeAny "
+    "Between Add Subtract Multiply Divide IntegralDivide Remainder UnaryMinus UnaryPositive "
+    "BitwiseAnd BitwiseOr BitwiseXor BitwiseNot ShiftLeft ShiftRight ShiftRightUnsigned Concat CaseWhen If Coalesce "
+    "CreateStruct CreateNamedStruct NamedExpression Substring Overlay StringLocate StringTrim StringTrimLeft StringTrimRight StringTrimBoth "
+    "TimestampAdd TimestampDiff Extract CurrentDate CurrentTimestamp First Last AnyValue PercentileCont PercentileDisc "
+    "ScalarSubquery Exists ListQuery LateralSubquery SortOrder Cube Rollup GroupingSets GroupingAnalytics "
+    "WindowExpression UnresolvedWindowExpression WindowSpecDefinition WindowSpecReference SpecifiedWindowFrame UnspecifiedFrame "
+    "UnboundedPreceding UnboundedFollowing CurrentRow LambdaFunction UnresolvedNamedLambdaVariable".split()
+)
+_SUBQUERIES = ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery")
+#: Looked for once more after analysis, when every function has its class.
+_REFUSED = re.compile(r"Reflect|Reflection|UDF$|UDAF$|UDTF$|InputFile|CurrentUser|CurrentDatabase|CurrentCatalog|SparkVersion|JavaMethod")
 
 
 def governed_sql(spark: SparkSession, tables: Mapping[str, str], sql: str) -> DataFrame:
@@ -79,8 +143,9 @@ def governed_sql(spark: SparkSession, tables: Mapping[str, str], sql: str) -> Da
 
     The text stands as a subquery, where Spark's grammar admits nothing but a query: a command
     fails to parse and is never run. Before it runs, the parsed plan is walked: its relations
-    must be the named tables or its own common table expressions, its nodes those of a query, and its
-    functions built-in ones that compute from their arguments. A session of its own holds only the named tables.
+    must be the named tables or its own common table expressions, its nodes and expressions those of a query, and its
+    functions built-in ones, named outright, that compute from their arguments. The analysed plan is walked once more
+    before it is returned. A session of its own holds only the named tables.
     """
     text = sql.strip().rstrip(";")
     session = spark.newSession()
@@ -95,7 +160,22 @@ def governed_sql(spark: SparkSession, tables: Mapping[str, str], sql: str) -> Da
     _check(session, plan, {name.lower() for name in tables})
     for name, path in tables.items():
         session.read.parquet(path).createOrReplaceTempView(name)
-    return session.sql(query)
+    found = session.sql(query)
+    _check_analysed(found._jdf.queryExecution().analyzed())
+    return found
+
+
+def _check_analysed(node, is_plan: bool = True) -> None:
+    """Raise PermissionError for an expression that looks outside its arguments, however it got its name."""
+    if _REFUSED.search(_kind(node)):
+        raise PermissionError(f"not allowed in governed SQL: {node.nodeName()}")
+    for child in _items(node.children()):
+        _check_analysed(child, is_plan)
+    if is_plan:
+        for expression in _items(node.expressions()):
+            _check_analysed(expression, False)
+    elif _kind(node) in _SUBQUERIES:
+        _check_analysed(node.plan())
 
 
 def _items(sequence) -> list:
@@ -128,11 +208,13 @@ def _check(session: SparkSession, plan, known: set[str]) -> None:
 
 def _check_expression(session: SparkSession, expression, known: set[str]) -> None:
     kind = _kind(expression)
+    if kind not in _EXPRESSIONS:
+        raise PermissionError(f"not allowed in governed SQL: {expression.nodeName()}")
     if kind == "UnresolvedFunction":
         _check_function(session, ".".join(_items(expression.nameParts())))
     if kind == "UnresolvedGenerator":
         _check_function(session, expression.name().funcName())
-    if kind in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "UnresolvedTableArgPlanId"):
+    if kind in _SUBQUERIES:
         _check(session, expression.plan(), known)
     for child in _items(expression.children()):
         _check_expression(session, child, known)

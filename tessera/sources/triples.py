@@ -23,15 +23,17 @@ OWL_DATATYPE_PROPERTY = "http://www.w3.org/2002/07/owl#DatatypeProperty"
 XSD_STRING = "http://www.w3.org/2001/XMLSchema#string"
 XSD_DATE = "http://www.w3.org/2001/XMLSchema#date"
 
-# A line is subject, predicate and object, spaced or not; an object is an IRI, a blank node or a literal.
+# A line is subject, predicate and object, spaced or not, and may end in a comment; an object is an IRI, a blank
+# node or a literal. It is held against a line whose escapes are masked, so that a quote mark ends a literal.
 _IRI, _BLANK = r"<[^>]*>", r"_:[^\s<>\"]*[^\s<>\".]"
-_LITERAL = r"\".*\"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?"
-_LINE = rf"^\s*({_IRI}|{_BLANK})\s*({_IRI})\s*({_IRI}|{_BLANK}|{_LITERAL})\s*\.\s*$"
-# A long escape, behind an even number of backslashes.
-_LONG = r"(?<=(?:^|[^\\])(?:\\\\){0,20})\\U([0-9A-Fa-f]{8})"
-_COMMENT = r"\.\s*#[^\"]*$"
+_LITERAL = r"\"[^\"]*\"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?"
+_LINE = rf"^(\s*)({_IRI}|{_BLANK})(\s*)({_IRI})(\s*)({_IRI}|{_BLANK}|{_LITERAL})\s*\.\s*(?:#.*)?$"
+_ESCAPE = r"\\U[0-9A-Fa-f]{8}|\\u[0-9A-Fa-f]{4}|\\."
 _SUFFIX = r"\"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?$"
 
+# The escapes of one letter.
+_LETTERS = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
+
 
 def statement(p: str, o: Column, lang: str | None = None, datatype: str | None = None) -> Column:
     """A predicate and object as one struct, to be exploded beside its subject."""
@@ -50,23 +52,31 @@ def triples_of(df: DataFrame, subject: Column, *statements: Column) -> DataFrame
 
 
 def _statements(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the file, stripped, and rid of a comment where only that keeps them from parsing."""
+    """Lines of the file, stripped, beside copies of the same length in which each escape is two letters."""
     lines = spark.read.text(path).select(F.btrim("value", F.lit(" \t")).alias("line"))
-    bare = F.when(F.col("line").rlike(_LINE), F.col("line")).otherwise(F.regexp_replace("line", _COMMENT, "."))
-    return lines.select(bare.alias("line"))
+    masked = F.when(F.instr("line", "\\") > 0, F.regexp_replace("line", r"\\.", "xx")).otherwise(F.col("line"))
+    return lines.select("line", masked.alias("masked"))
 
 
 def malformed(spark: SparkSession, path: str) -> DataFrame:
     """Lines that are neither triples nor empty nor comments, which ``read_ntriples`` passes over."""
-    known = F.col("line").rlike(_LINE) | (F.col("line") == "") | F.col("line").startswith("#")
-    return _statements(spark, path).where(~known)
+    known = F.col("masked").rlike(_LINE) | (F.col("line") == "") | F.col("line").startswith("#")
+    return _statements(spark, path).where(~known).select("line")
 
 
 def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
     """Parse N-Triples lines; see ``malformed`` for those that hold no triple."""
-    lines = _statements(spark, path).where(F.col("line").rlike(_LINE))
-    s, p, o = (F.regexp_extract("line", _LINE, k) for k in (1, 2, 3))
-    fields = lines.select(_bare(s).alias("s"), _bare(p).alias("p"), o.alias("rest"))
+    lines = _statements(spark, path).where(F.col("masked").rlike(_LINE))
+    sizes = [F.length(F.regexp_extract("masked", _LINE, k)).alias(f"n{k}") for k in range(1, 7)]
+    lines = lines.select("line", *sizes)
+
+    def part(k: int) -> Column:
+        before = F.lit(1)
+        for j in range(1, k):
+            before = before + F.col(f"n{j}")
+        return F.substring("line", before, F.col(f"n{k}"))
+
+    fields = lines.select(_bare(part(2)).alias("s"), _bare(part(4)).alias("p"), part(6).alias("rest"))
     literal = F.col("rest").startswith('"')
     split = fields.select(
         "s",
@@ -87,21 +97,25 @@ def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _bare(node: Column) -> Column:
-    """An IRI without its brackets; blank nodes stay as they are."""
-    return F.regexp_replace(node, r"^<|>$", "")
+    """An IRI without its brackets and escapes; blank nodes stay as they are."""
+    return F.when(node.startswith("_:"), node).otherwise(_unescaped(F.regexp_replace(node, r"^<|>$", "")))
 
 
 def _unescaped(text: Column) -> Column:
-    """Backslash escapes are those of JSON, save for the single quote and the long ones of eight digits."""
-
-    def short(piece: Column) -> Column:
-        boxed = F.concat(F.lit('["'), F.regexp_replace(piece, r"\\'", "'"), F.lit('"]'))
-        return F.from_json(boxed, "array<string>")[0]
-
-    characters = F.transform(F.regexp_extract_all(text, F.lit(_LONG), F.lit(1)), lambda c: F.decode(F.unhex(c), "UTF-32"))
-    pairs = F.zip_with(F.split(text, _LONG), characters, lambda a, c: F.concat(short(a), F.coalesce(c, F.lit(""))))
-    whole = F.when(F.instr(text, "\\U") > 0, F.array_join(pairs, "")).otherwise(short(text))
-    return F.when(F.instr(text, "\\") > 0, whole).otherwise(text)
+    """Escapes read from left to right; one that is not known stays as it is."""
+
+    def character(escape: Column) -> Column:
+        hexed = F.lpad(F.substring(escape, F.lit(3), F.length(escape)), 8, "0")
+        out = F.when(F.length(escape) > 2, F.decode(F.unhex(hexed), "UTF-32"))
+        for letter, meant in _LETTERS.items():
+            out = out.when(escape == f"\\{letter}", F.lit(meant))
+        return out.otherwise(escape)
+
+    pieces = F.zip_with(
+        F.split(text, _ESCAPE), F.regexp_extract_all(text, F.lit(_ESCAPE), F.lit(0)),
+        lambda piece, escape: F.concat(piece, F.when(escape.isNull(), "").otherwise(character(escape))),
+    )
+    return F.when(F.instr(text, "\\") > 0, F.array_join(pieces, "")).otherwise(text)
 
 
 def _node(column: str) -> Column:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import glob
+import os
+
 import pytest
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 
 from tessera.sources import contracts as c
-from tessera.sources.catalog import governed_sql, save_model
+from tessera.sources.catalog import governed_sql, refresh_model, save_model
 from tessera.sources.records import as_records
 
 ORDERS = "/root/testdata/sf0.001/orders.parquet"
@@ -132,6 +136,14 @@ def test_only_named_tables_can_be_read(spark, tmp_path):
         "SELECT no_such_function(1)",
         "WITH a AS (SELECT 1 AS x) SELECT * FROM b",
         "SELECT x FROM orders LATERAL VIEW java_method('java.util.UUID', 'randomUUID') t AS x",
+        "SELECT IDENTIFIER('java_method')('java.util.UUID', 'randomUUID') FROM orders",
+        "SELECT IDENTIFIER('java_' || 'method')('java.lang.System', 'getProperty', 'user.dir') FROM orders",
+        "SELECT IDENTIFIER('o_orderkey') FROM orders",
+        "SELECT * FROM IDENTIFIER('orders')",
+        "SELECT 1 FROM orders ORDER BY IDENTIFIER('reflect')('java.lang.System', 'getenv')",
+        "SELECT transform(array(1), x -> IDENTIFIER('reflect')('java.lang.System', 'getenv')) FROM orders",
+        "SELECT 1 FROM orders WHERE EXISTS (SELECT IDENTIFIER('uuid')())",
+        "SELECT :p FROM orders",
     ],
 )
 def test_what_is_not_a_query_over_the_tables_is_refused(spark, text):
@@ -152,6 +164,16 @@ def test_what_is_not_a_query_over_the_tables_is_refused(spark, text):
         "SELECT 1 UNION ALL SELECT count(*) FROM orders HAVING count(*) > 1",
         "SELECT * FROM (VALUES (1, 'a')) AS v(k, l) WHERE k IN (SELECT o_orderkey FROM orders) AND EXISTS (SELECT 1 FROM orders)",
         "SELECT o_custkey, transform(array(1, 2), x -> x + 1) FROM orders TABLESAMPLE (10 ROWS)",
+        "SELECT o_orderkey FROM orders a WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders b WHERE b.o_custkey = a.o_custkey)",
+        "SELECT avg(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) FROM orders",
+        "SELECT rank() OVER w FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC NULLS LAST)",
+        "SELECT o_orderstatus, o_orderpriority, count(*) FILTER (WHERE o_totalprice > 1) FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)",
+        "SELECT count(*), grouping(o_orderstatus) FROM orders GROUP BY GROUPING SETS ((o_orderstatus), ())",
+        "SELECT aggregate(array(1, 2), 0, (a, x) -> a + x, a -> a * 2), -o_custkey, o_custkey % 3, o_custkey DIV 2, 'a' || 'b' FROM orders",
+        "SELECT * FROM orders WHERE o_orderstatus LIKE 'O%' AND o_orderpriority RLIKE '^1' AND o_custkey NOT BETWEEN 3 AND 5 OR o_orderdate IS NULL",
+        "SELECT EXTRACT(year FROM o_orderdate), DATE '2024-01-01' - INTERVAL 1 MONTH, current_date(), struct(1 AS a).a, array(1)[0] FROM orders",
+        "SELECT trim(BOTH 'x' FROM o_orderstatus), substring(o_orderstatus FROM 1 FOR 1), position('a' IN o_orderstatus), * EXCEPT (o_orderkey) FROM orders",
+        "SELECT if(o_custkey > 3 AND NOT (o_custkey IN (1, 2)), 1, NULL) AS c, nullif(1, 2), coalesce(NULL, 2), first(o_custkey) OVER () FROM orders",
     ],
 )
 def test_queries_over_the_tables_run(spark, text):
@@ -179,3 +201,36 @@ def test_save_model_replaces(spark, tmp_path, capital):
     save_model(capital, path)
     assert save_model(capital.limit(1), path).count() == 1
     assert save_model(capital, str(tmp_path / "p"), ["entity"]).count() == 3
+
+
+def test_a_failed_write_leaves_the_old_model(spark, tmp_path, capital):
+    path = str(tmp_path / "m")
+    save_model(capital, path)
+    with pytest.raises(Exception, match="boom"):
+        save_model(capital.withColumn("entity", F.raise_error(F.lit("boom")).cast("string")), path)
+    kept = spark.read.parquet(path)
+    assert kept.count() == 3 and os.listdir(tmp_path) == ["m"]
+    assert save_model(kept.limit(2), path).count() == 2  # made from what it replaces
+
+
+def test_refresh_rewrites_the_changed_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "m")
+    kind = "v int, day date"
+    day = lambda k: dt.date(2024, 1, k)
+    rows = [(k, day(1 + k % 4)) for k in range(40)] + [(99, None)]
+    save_model(spark.createDataFrame(rows, kind), path, ["day"])
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*.parquet")}
+    before = files()
+    # A late row for the second, none left for the third, and a row without a day; the first is in the frame but not asked for.
+    late = [(1000, day(2)), (1, day(2)), (7, day(1)), (98, None)]
+    got = refresh_model(spark.createDataFrame(late, kind), path, "day", [day(2), day(3), None])
+    want = [r for r in rows if r[1] in (day(1), day(4))] + [late[0], late[1], late[3]]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    after = files()
+    same = {f for f in before if "day=2024-01-01" in f or "day=2024-01-04" in f}
+    assert same and all(after[f] == before[f] for f in same) and not set(after) & (set(before) - same)
+    with pytest.raises(Exception, match="boom"):
+        bad = spark.createDataFrame(late, kind).withColumn("v", F.when(F.col("v") == 1, F.raise_error(F.lit("boom")).cast("int")).otherwise(F.col("v")))
+        refresh_model(bad, path, "day", [day(2)])
+    assert files() == after
+    assert refresh_model(spark.createDataFrame([], kind), path, "day", []).count() == len(want)

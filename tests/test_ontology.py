@@ -233,3 +233,19 @@ def test_unspaced_triples_and_long_escapes(spark, tmp_path):
         ("s", "p", "_:y", None), ("s", "p", "😀😁\n", None),
     ]
     assert [r.line for r in t.malformed(spark, str(tmp_path / "t.nt")).collect()] == ["<s> <p> no"]
+
+
+def test_comments_with_quotes_and_escapes_in_iris(spark, tmp_path):
+    lines = [
+        '<urn:a> <urn:b> "c" . # say "hi"', r'<urn:a\u0041> <urn:b\U0001F600> <urn:c\u00e9> . # x', r'<s> <p> "a \"quoted\" . # no comment"@en-GB . # one',
+        r'<s> <p> "' + "\\\\" * 60 + r'\U0001F600" .', '<s> <p> "v"^^<urn:t> .# "', r'<s> <p> "odd \q" .', '<s> <p> "open .', '<s> <p> "a" "b" .',
+        '<s> <p> "' + 'x\\n' * 20_000 + '" .',
+    ]
+    (tmp_path / "t.nt").write_text("\n".join(lines))
+    got = [(r.s, r.p, r.o, r.lang, r.datatype) for r in t.read_ntriples(spark, str(tmp_path / "t.nt")).collect()]
+    assert got == [
+        ("urn:a", "urn:b", "c", None, t.XSD_STRING), ("urn:aA", "urn:b😀", "urn:cé", None, None), ("s", "p", 'a "quoted" . # no comment', "en-GB", t.LANG_STRING),
+        ("s", "p", "\\" * 60 + "😀", None, t.XSD_STRING), ("s", "p", "v", None, "urn:t"), ("s", "p", "odd \\q", None, t.XSD_STRING),
+        ("s", "p", "x\n" * 20_000, None, t.XSD_STRING),
+    ]
+    assert [r.line for r in t.malformed(spark, str(tmp_path / "t.nt")).collect()] == ['<s> <p> "open .', '<s> <p> "a" "b" .']

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessera.operators import scoring
@@ -67,6 +69,18 @@ def test_presence_of_stored_flags(spark):
     assert {r.g: (r.chars, r["size"]) for r in sizes.collect()} == {"a": (1010, "1.0k"), "b": (0, "—")}
 
 
+def test_cells_for_any_number_of_agents(spark, monkeypatch):
+    rubric = (Criterion("one", ("x",)),)
+    rows = [(f"a{k}", "x" if k % 3 else "y") for k in range(12_000)] + [(None, "x"), ("null", "y")]
+    flagged = scoring.flags(spark.createDataFrame(rows, "agent string, t string"), ["agent"], "t", rubric)
+    cells = {r.agent: r.passed for r in scoring.matrix_cells(flagged, "agent", rubric).collect()}
+    assert cells == {agent: text == "x" for agent, text in rows}
+    with pytest.raises(ValueError, match="use the cells"):
+        scoring.matrix(flagged, "agent", rubric)
+    with pytest.raises(ValueError, match="named 'null'"):
+        scoring.matrix(flagged.where("agent IS NULL OR agent = 'null'"), "agent", rubric)
+
+
 def test_newly_unlocked_against_a_loop(spark):
     rubric = tuple(Criterion(c, (c,)) for c in "abcd")
     rng = random.Random(5)
