@@ -1,8 +1,9 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-1. A lexicon comes from labelled rows: words and word beginnings that speak for the label. Its entries
-   are dealt by strength of evidence to lexicon voters. Pattern voters look at shouting, exclamation,
-   address, digits and repetition. A voter fires or stays silent on a document.
+1. A lexicon comes from labelled rows: words and word beginnings that are more frequent in rows of class 1, by a
+   likelihood ratio with a low floor and by more evidence than chance gives. As many are kept as there are; they are dealt by
+   precision to lexicon voters, from nearly certain ones to mere hints, so that the label model has noisy voters to
+   weigh. Pattern voters look at shouting, exclamation, address, digits and repetition. A voter fires or stays silent.
 2. The label model is a mixture of two classes over the voters' firing patterns. Its class-conditional
    rates (the voters' accuracies) and its pairwise dependences (a tree of the most correlated pairs,
    found from the conditional mutual information) are estimated by expectation maximisation over the
@@ -11,9 +12,10 @@
 3. A logistic regression on the voters and on rates of hits is trained on the model's posteriors, by
    Newton steps over all documents; a step's sums have a fixed size.
 
-Labelled rows are bounded by ``LABELLED_ROWS``, chosen by hash. Ids that carry both labels are no label;
-neither are nulls. Null texts count as empty and are scored like them. Without labels of both classes every
-score is 0. Repeated rows are scored each. Texts are read whole.
+Labelled rows are bounded by ``LABELLED_ROWS``, chosen by hash from each label, of the rarer one all up to half of them, and
+weighted back. Ids that carry both labels are no label; neither are nulls. Null texts count as empty and are scored
+like them. Without labels of both classes every score is 0; with labels but no telling entry the pattern voters
+decide. Repeated rows are scored each. Texts are read whole, and voted on once.
 """
 
 from __future__ import annotations
@@ -32,15 +34,15 @@ from tessera.session import materialise
 
 #: Labelled rows that the lexicon and the model's start are taken from, at most (about).
 LABELLED_ROWS = 20_000
-#: Entries of the lexicon at most, lengths of word beginnings, and rows that must hold an entry.
-ENTRIES, BEGINNINGS, LEAST_ROWS = 400, (4, 5), 2
-#: Of the labelled rows that hold an entry, this share at least is of class 1.
-LEAST_PRECISION = 0.98
-#: Ranks of entries at which the next lexicon voter begins.
-STRATA = (0, 5, 10, 20, 40, 60, 90, 130, 180, 260)
+#: Lengths of word beginnings, and rows of class 1 that must hold an entry.
+BEGINNINGS, LEAST_ROWS = (4, 5), 2
+#: How many times likelier an entry is in class 1, at least, and the evidence (in nats) beyond which it is no chance.
+LEAST_RATIO, LEAST_EVIDENCE = 4.0, 9.0
+#: Shares of class 1 among the rows with an entry from which on the entry belongs to the first voter, the second, and so on.
+STRATA = (0.99, 0.98, 0.96, 0.93, 0.88, 0.8, 0.7, 0.55, 0.4, 0.0)
 PATTERNS = ("shouts", "exclaims", "asks", "addresses", "digits", "repeats")
 VOTERS = len(STRATA) + len(PATTERNS)
-FEATURES = VOTERS + 4
+FEATURES = VOTERS + 5
 ROUNDS, NEWTON_STEPS, RIDGE = 25, 8, 1.0
 #: Pairs of voters with more conditional mutual information than this (in nats) are modelled together.
 LEAST_INFORMATION = 1e-4
@@ -57,13 +59,15 @@ def _keys_of(words: set[str]) -> set[str]:
     return words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in BEGINNINGS))
 
 
-def vote(text: str, voter_of: dict[str, int]) -> tuple[int, list[float]]:
-    """(voters that fire, as bits; features)."""
+def vote(text: str, entries: dict[str, tuple[int, float]]) -> tuple[int, list[float]]:
+    """(voters that fire, as bits; features). ``entries`` give each entry's voter and weight."""
     words = _WORDS.findall(text.lower())
-    hits = _keys_of(set(words)).intersection(voter_of)
-    mask = 0
-    for entry in hits:
-        mask |= 1 << voter_of[entry]
+    hits = _keys_of(set(words)).intersection(entries)
+    mask, weight = 0, 0.0
+    for entry in sorted(hits):
+        voter, ratio = entries[entry]
+        mask |= 1 << voter
+        weight += ratio
     n = max(len(words), 1)
     signs = (
         len(_SHOUT.findall(text)) * 50 > n,
@@ -75,22 +79,28 @@ def vote(text: str, voter_of: dict[str, int]) -> tuple[int, list[float]]:
     )
     for k, sign in enumerate(signs):
         mask |= sign << (len(STRATA) + k)
-    rates = [float(bool(hits)), np.log1p(len(hits)), 100.0 * len(hits) / (n + 50), 1.0]
+    rates = [float(bool(hits)), np.log1p(len(hits)), np.log1p(weight), 10.0 * weight / (n + 50), 1.0]
     return mask, [float(mask >> j & 1) for j in range(VOTERS)] + rates
 
 
-def labelled(docs: DataFrame, labels: DataFrame, usable: Column, id_column: str, text_column: str, label_column: str) -> DataFrame:
-    """(text, label) of a bounded sample of the labelled documents, the same on every run."""
+def labelled(
+    docs: DataFrame, labels: DataFrame, usable: Column, id_column: str, text_column: str, label_column: str
+) -> tuple[DataFrame, dict[int, float]]:
+    """(id, text, label) of a bounded sample of the labelled documents, the same on every run, and each label's weight."""
     value = F.col(label_column)
     one = labels.filter(usable & F.col(id_column).isNotNull() & value.isin(0, 1)).groupBy(id_column)
     one = materialise(one.agg(F.min(value).alias("label"), F.max(value).alias("other")).filter("label = other"), "labels")
-    n = one.count()
-    share = min(1.0, LABELLED_ROWS / max(n, 1))
-    chosen = one.filter(F.pmod(F.xxhash64(id_column), F.lit(1 << 20)) < int(share * (1 << 20)))
+    there = {int(r["label"]): r["count"] for r in one.groupBy("label").count().collect()}
+    rare = min(min(there.values(), default=0), LABELLED_ROWS // 2)
+    share = {k: min(1.0, (rare if n == min(there.values()) else LABELLED_ROWS - rare) / n) for k, n in there.items()}
+    bound = F.lit(0)
+    for k, part in share.items():
+        bound = F.when(F.col("label") == k, F.lit(int(part * (1 << 20)))).otherwise(bound)
+    chosen = one.filter(F.pmod(F.xxhash64(id_column), F.lit(1 << 20)) < bound)
     rows = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
-    chosen = chosen.select(F.col(id_column).alias("i"), F.col("label").cast("int").alias("label"))
-    # About LABELLED_ROWS pairs of numbers, however many labels there are: safe to broadcast.
-    return materialise(rows.join(F.broadcast(chosen), F.col("id") == F.col("i")).select("id", "text", "label"), "labelled")
+    chosen = materialise(chosen.select(F.col(id_column).alias("i"), F.col("label").cast("int").alias("label")), "chosen")
+    found = rows.join(chosen, F.col("id") == F.col("i")).select("id", "text", "label")
+    return materialise(found, "labelled"), {k: 1 / part for k, part in share.items()}
 
 
 def _entry_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,8 +126,8 @@ def _distinct(rows: DataFrame) -> DataFrame:
     return materialise(kept.select("text", "label"), "labelled-texts")
 
 
-def lexicon(rows: DataFrame) -> dict[str, int]:
-    """Entry to voter, from rows (id, text, label): the best ``ENTRIES`` entries by likelihood ratio."""
+def lexicon(rows: DataFrame) -> dict[str, tuple[int, float]]:
+    """Entry to (voter, log likelihood ratio), from rows (id, text, label)."""
     rows = _distinct(rows)
     total = rows.agg(F.sum("label"), F.count(F.lit(1))).first()
     positive, n = float(total[0] or 0), float(total[1])
@@ -125,26 +135,23 @@ def lexicon(rows: DataFrame) -> dict[str, int]:
         return {}
     seen = rows.mapInArrow(_entry_rows, "entry string, label int").groupBy("entry")
     seen = seen.agg(F.sum("label").cast("double").alias("p"), F.count(F.lit(1)).cast("double").alias("n"))
-    expected = F.col("n") * positive / n
-    evidence = F.col("p") * F.log(F.col("p") / expected)
-    seen = materialise(seen.filter(F.col("p") >= LEAST_ROWS), "entries")
-    # Of so many entries some look telling by chance: the evidence must outweigh their number.
-    least = np.log(max(seen.count(), 1)) + 1
-    best = (
-        seen.filter(F.col("p") >= LEAST_PRECISION * F.col("n"))
-        .select("entry", evidence.alias("evidence"))
-        .filter(F.col("evidence") >= float(least))
-        .orderBy(F.desc("evidence"), "entry")
-        .limit(ENTRIES)
-        .collect()
-    )
-    bounds = [*STRATA[1:], ENTRIES]
-    return {row["entry"]: next(v for v, top in enumerate(bounds) if k < top) for k, row in enumerate(best)}
-
-
-def votes(docs: DataFrame, voter_of: dict[str, int], id_column: str, text_column: str, extra: list[str]) -> DataFrame:
+    # Half a row more on either side keeps rare entries from looking certain.
+    ratio = ((F.col("p") + 0.5) / (positive + 1)) / ((F.col("n") - F.col("p") + 0.5) / (n - positive + 1))
+    evidence = F.col("p") * F.log(F.col("p") / (F.col("n") * positive / n))
+    kept = seen.filter(F.col("p") >= LEAST_ROWS).select("entry", ratio.alias("ratio"), evidence.alias("evidence"))
+    # The labelled rows are bounded, and so are the entries they give.
+    best = kept.filter((F.col("ratio") >= LEAST_RATIO) & (F.col("evidence") >= LEAST_EVIDENCE)).collect()
+    odds = positive / (n - positive)
+    found = {}
+    for row in best:
+        share = row["ratio"] * odds / (1 + row["ratio"] * odds)
+        found[row["entry"]] = next(v for v, least in enumerate(STRATA) if share >= least), float(np.log(row["ratio"]))
+    return found
+
+
+def votes(docs: DataFrame, entries: dict[str, tuple[int, float]], id_column: str, text_column: str, extra: list[str]) -> DataFrame:
     """(id, mask, features, extra columns) for every document."""
-    held = docs.sparkSession.sparkContext.broadcast(voter_of)
+    held = docs.sparkSession.sparkContext.broadcast(entries)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,7 +196,7 @@ def _likelihood(bits: np.ndarray, rates: np.ndarray, tree: list[int]) -> np.ndar
 
 def _tree(bits: np.ndarray, weights: list[np.ndarray]) -> list[int]:
     """Parent of each voter (-1: none): a maximum spanning forest over conditional mutual information."""
-    whole, info = sum(w.sum() for w in weights), np.zeros((VOTERS, VOTERS))
+    whole, info = sum(w.sum() for w in weights) + 1e-9, np.zeros((VOTERS, VOTERS))
     for w in weights:
         mass = w.sum() + 1e-9
         for x in (0, 1):
@@ -271,29 +278,27 @@ def score(
 
     ``usable`` tells which labelled ids may be learned from.
     """
-    known = labelled(docs, labels, usable, id_column, text_column, label_column)
-    # Two thirds of the labelled rows make the lexicon, the others start the label model.
-    first = F.pmod(F.crc32(F.concat(F.lit("part"), F.col("id").cast("string")).cast("binary")), F.lit(3)) != 0
-    voter_of = lexicon(known.filter(first))
+    known, weight = labelled(docs, labels, usable, id_column, text_column, label_column)
     source = docs.select(F.struct("*").alias("row"), id_column, text_column) if whole_rows else docs
     extra = ["row"] if whole_rows else []
-    if not voter_of:
+    if len(weight) < 2:
         return source.select(F.col(id_column).alias("id"), *extra, F.lit(0.0).alias("score"))
-    rows = votes(docs, voter_of, id_column, text_column, [])
-    rows = materialise(rows, "votes")
+    # Two thirds of the labelled rows make the lexicon, the others start the label model.
+    first = F.pmod(F.crc32(F.concat(F.lit("part"), F.col("id").cast("string")).cast("binary")), F.lit(3)) != 0
+    entries = lexicon(known.filter(first))
+    # Rows are carried past the votes, so that no text is voted on twice; what follows reads only the columns it needs.
+    rows = materialise(votes(source, entries, id_column, text_column, extra), "votes")
     patterns = rows.groupBy("mask").count().collect()  # at most 2^VOTERS
-    start = votes(known.filter(~first), voter_of, "id", "text", ["label"]).groupBy("mask", "label").count().collect()
+    start = votes(known.filter(~first), entries, "id", "text", ["label"]).groupBy("mask", "label").count().collect()
     masks = np.array(sorted({r["mask"] for r in patterns} | {r["mask"] for r in start}), dtype=np.int64)
     at = {int(m): k for k, m in enumerate(masks)}
     counts, by_label = np.zeros(len(masks)), np.zeros((2, len(masks)))
     for r in patterns:
         counts[at[r["mask"]]] = r["count"]
     for r in start:
-        by_label[r["label"], at[r["mask"]]] = r["count"]
+        by_label[r["label"], at[r["mask"]]] = r["count"] * weight[r["label"]]
     posterior = label_model(masks, counts, by_label[1], by_label[0])
     weights = _newton(rows, {int(m): float(p) for m, p in zip(masks, posterior, strict=True)})
-    if whole_rows:
-        rows = votes(source, voter_of, id_column, text_column, extra)
     linear = F.aggregate(
         F.zip_with("features", F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x
     )

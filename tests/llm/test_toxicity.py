@@ -72,6 +72,33 @@ def test_awkward_rows(spark, docs, no_docs, tables):
     assert toxicity.score(no_docs, labels, F.lit(True)).count() == 0
 
 
+def test_without_a_telling_entry_the_patterns_decide(spark):
+    """Labels of both classes, but no word that speaks for one: shouting and exclamation do."""
+    rows, labels = [], []
+    for k in range(400):
+        text = prose(k, 40)
+        rows.append((k, text.upper() + "!!" if k % 10 == 0 else text))
+        labels.append((k, int(k % 10 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["id"]: r["score"] for r in toxicity.score(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), remainder("doc_id", 5) != 0).collect()}
+    assert np.mean([got[k] >= 0.5 for k in range(0, 400, 10)]) > 0.9 and np.mean([got[k] >= 0.5 for k in range(400) if k % 10]) < 0.01
+
+
+def test_rare_labels_are_all_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 200)
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 100 == 0).cast("int").alias("toxic"))
+    rows, weight = toxicity.labelled(docs, labels, F.lit(True), "doc_id", "text", "toxic")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    assert counts[1] == 50 and weight[1] == 1.0 and 100 < counts[0] < 200 and abs(weight[0] * 150 - 4950) < 1
+
+
+def test_noisy_entries_are_kept_and_dealt_by_precision(spark):
+    rows = [(k, ("sure " if k % 10 == 0 else "") + ("hint " if k % 10 == 0 or k % 13 == 0 else "") + prose(k, 20), int(k % 10 == 0)) for k in range(1000)]
+    entries = toxicity.lexicon(spark.createDataFrame(rows, "id long, text string, label int"))
+    assert entries["sure"][0] < entries["hint"][0] and entries["sure"][1] > entries["hint"][1] > 1
+
+
 def test_label_model_finds_rates_and_dependence():
     """Two dependent voters, six independent ones; labels for a few rows only."""
     rng = np.random.default_rng(0)
@@ -102,3 +129,8 @@ def test_the_query_tells_held_out_documents_apart(spark):
     caught = [p for p, toxic in held if toxic]
     clean = [p for p, toxic in held if not toxic]
     assert np.mean(caught) > 0.85 and np.mean(clean) < 0.01
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
+    for language in ("en", "de", "fr", "es"):
+        mine = [r["predicted"] for r in got if r["held_out"] and labels.get(r["doc_id"]) == 1 and lang[r["doc_id"]] == language]
+        print(language, sum(mine), "of", len(mine))
+        assert np.mean(mine) > 0.6
