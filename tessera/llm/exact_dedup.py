@@ -26,8 +26,8 @@ PER_BUCKET = 50_000
 #: Bits of a level for each digest left.
 GAMMA = 2.0
 
-INDEX = "bucket long, sizes array<long>, bits binary, slots binary, winners binary, counts binary"
-GROUPS = "digest binary, keep_id long, group_size long"
+INDEX = "bucket long, sizes array<long>, bits binary, slots binary, winners binary, known binary, counts binary"
+GROUPS = "digest binary, keep_id long, known boolean, group_size long"
 
 
 def text_digest(column: str) -> Column:
@@ -84,7 +84,6 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
     words = _words(rows["digest"])
     sizes, bits, slot = perfect_hash(words)
     order = np.argsort(slot)
-    # A null winner is kept as the largest long, which no other row undercuts.
     winners = rows["keep_id"].to_numpy()[order]
     return pd.DataFrame(
         {
@@ -93,17 +92,19 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
             "bits": [np.packbits(bits).tobytes()],
             "slots": [words[order].astype(">u8").tobytes()],
             "winners": [winners.astype(np.int64).tobytes()],
+            "known": [rows["known"].to_numpy(bool)[order].tobytes()],
             "counts": [rows["group_size"].to_numpy()[order].astype(np.int64).tobytes()],
         }
     )
 
 
+#: Stands for the winner of rows without an id, beside a flag that tells it from the id it equals.
 _NONE = np.iinfo(np.int64).max
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(
-        F.coalesce(F.min("id"), F.lit(_NONE)).alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+        F.coalesce(F.min("id"), F.lit(_NONE)).alias("keep_id"), (F.count("id") > 0).alias("known"), F.count(F.lit(1)).alias("group_size")
     )
 
 
@@ -121,15 +122,16 @@ def build_index(history: DataFrame, buckets: int) -> DataFrame:
 
 
 def _look_up(new: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    keep, count = new["keep_id"].to_numpy(np.int64), new["group_size"].to_numpy(np.int64)
+    keep, count, known = new["keep_id"].to_numpy(np.int64), new["group_size"].to_numpy(np.int64), new["known"].to_numpy(bool)
     if not len(index):
-        return pd.DataFrame({"digest": new["digest"], "keep_id": keep, "group_size": count})
+        return pd.DataFrame({"digest": new["digest"], "keep_id": keep, "known": known, "group_size": count})
     row = index.iloc[0]
     sizes = [int(s) for s in row["sizes"]]
     bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=sum(sizes)).astype(bool)
     slots = np.frombuffer(row["slots"], dtype=">u8").reshape(-1, 4).astype(np.uint64)
     winners = np.frombuffer(row["winners"], np.int64).copy()
     counts = np.frombuffer(row["counts"], np.int64).copy()
+    has_winner = np.frombuffer(row["known"], bool).copy()
     member = np.zeros(len(new), dtype=bool)
     if len(new):
         words = _words(new["digest"])
@@ -138,12 +140,14 @@ def _look_up(new: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         # Digests are distinct on both sides, so each slot is met once.
         winners[slot[member]] = np.minimum(winners[slot[member]], keep[member])
         counts[slot[member]] += count[member]
+        has_winner[slot[member]] |= known[member]
     raw = slots.astype(">u8").tobytes()
     held = [raw[i : i + 32] for i in range(0, len(raw), 32)]
     return pd.DataFrame(
         {
             "digest": held + list(new["digest"][~member]),
             "keep_id": np.concatenate([winners, keep[~member]]),
+            "known": np.concatenate([has_winner, known[~member]]),
             "group_size": np.concatenate([counts, count[~member]]),
         }
     )
@@ -153,7 +157,7 @@ def look_up(new: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
     """One row per distinct digest of history and new rows: (digest, keep_id, group_size)."""
     new = _bucketed(_grouped(new), buckets).groupBy("bucket")
     found = new.cogroup(index.groupBy("bucket")).applyInPandas(_look_up, GROUPS)
-    return found.withColumn("keep_id", F.when(F.col("keep_id") != _NONE, F.col("keep_id")))
+    return found.withColumn("keep_id", F.when(F.col("known"), F.col("keep_id"))).drop("known")
 
 
 def groups_of(rows: DataFrame, cut: int | None = None) -> DataFrame:

@@ -6,8 +6,11 @@ about ``SHARD_BYTES``; a shard's graph is built in one task and written. Each ch
 then queries each graph of that label with a beam. A query whose whole beam lies above the threshold
 widens its beam; and a task audits itself against an exhaustive search of its shard, over a share of its own
 queries and over probes placed at the threshold from known members, and doubles all beams until it finds at
-least ``RECALL`` of the links. Every link is verified in double precision from the vectors as they came, so none is
-below the threshold; a found link counts for both ends.
+least ``RECALL`` of the links. A beam as wide as the shard is the shard itself, so the last widening is exact. Every link is
+verified in double precision from the vectors as they came, so none is below the threshold.
+
+No link is written. A pair belongs to one task, that of the lower class's chunk and the higher one's shard, which adds
+it to the counts of both ends; a task passes on one count for each of its vectors, and few edges that connect what it linked.
 
 Null labels, null or zero vectors and vectors with null or non-finite numbers link with nothing. Null ids
 rank last; rows that repeat an id are rows of their own. Empty tables give empty results.
@@ -27,15 +30,15 @@ from tessera.session import materialise, scratch
 SHARD_BYTES = 8 << 20
 CHUNK_ROWS = 4_000
 #: Links of a node on the ground layer, on upper layers, and the beam when linking and at the first query.
-GROUND, UPPER, BUILD_BEAM, FIRST_BEAM = 24, 12, 48, 48
+GROUND, UPPER, BUILD_BEAM, FIRST_BEAM = 24, 12, 48, 32
 #: Queries moved through a graph together, and nodes of each beam opened at once.
 TOGETHER, OPENED = 256, 4
 #: Share of the audited links that must be found, queries audited, and probes.
 RECALL, AUDITED, PROBES = 0.97, 64, 128
 
-GRAPH = "label string, dim int, shard int, ids binary, vectors binary, ground binary, upper binary, level binary"
-#: Links, and apart from them (``tree``) few edges that connect what a task's links connect.
-EDGES = "a long, b long, tree boolean"
+GRAPH = "label string, dim int, shard int, ids binary, rows binary, chunks binary, vectors binary, ground binary, upper binary, level binary"
+#: A class and the rows it is linked with (``b`` null), or an edge of those that connect what a task's links connect (``n`` null).
+EDGES = "a long, b long, n long"
 
 
 class Graph:
@@ -230,8 +233,8 @@ def _all_above(graph: Graph, queries: np.ndarray, beam: int, least: float) -> tu
     """Graph rows above ``least`` for each query; a beam that is full of them is widened for its query."""
     n, open_ones, rows, hits = len(graph.unit), np.arange(len(queries)), [], []
     while len(open_ones):
-        if 8 * beam >= n:
-            # So wide a beam opens most of the shard: searching all of it costs less.
+        if beam >= n:
+            # As wide as the shard: all of it.
             for low in range(0, len(open_ones), TOGETHER):
                 part = open_ones[low : low + TOGETHER]
                 q, g = np.nonzero(queries[part].astype(np.float32) @ graph.unit.T >= least)
@@ -261,75 +264,93 @@ def _build(rows: pa.Table) -> pa.Table:
     vectors = _matrix(rows.column("vector"), rows.num_rows)[order]
     ground, upper, level = Graph(units(vectors)).parts()
     first = {k: rows.column(k)[0].as_py() for k in ("label", "dim", "shard")}
-    ids = rows.column("cls").to_numpy()[order].astype(np.int64).tobytes()
-    row = first | {"ids": ids, "vectors": vectors.tobytes(), "ground": ground, "upper": upper, "level": level}
+    held = {"ids": ("cls", np.int64), "rows": ("n", np.int64), "chunks": ("chunk", np.int32)}
+    held = {k: rows.column(c).to_numpy()[order].astype(kind).tobytes() for k, (c, kind) in held.items()}
+    row = first | held | {"vectors": vectors.tobytes(), "ground": ground, "upper": upper, "level": level}
     kinds = {"label": pa.string(), "dim": pa.int32(), "shard": pa.int32()}
     return pa.table({k: pa.array([v], kinds.get(k, pa.binary())) for k, v in row.items()})
 
 
 def _query(threshold: float):
-    empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "tree": pa.array([], pa.bool_())})
+    def table(a: np.ndarray, b: np.ndarray, n: np.ndarray, node: np.ndarray, root: np.ndarray) -> pa.Table:
+        """Counts for each end of the pairs a-b, of ``n`` rows, then the edges node-root."""
+        ends, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        total = np.bincount(at, weights=n, minlength=len(ends)).astype(np.int64)
+        none_root, none_count = pa.nulls(len(ends), pa.int64()), pa.nulls(len(node), pa.int64())
+        return pa.table({
+            "a": pa.array(np.concatenate([ends, node]).astype(np.int64)),
+            "b": pa.chunked_array([none_root, pa.array(root.astype(np.int64))]), "n": pa.chunked_array([pa.array(total), none_count]),
+        }).combine_chunks()
+
+    none = np.zeros(0, np.int64)
 
     def work(rows: pa.Table, graphs: pa.Table) -> pa.Table:
         if not rows.num_rows or not graphs.num_rows:
-            return empty
-        held = {k: graphs.column(k)[0].as_py() for k in ("ids", "vectors", "ground", "upper", "level")}
-        ids = np.frombuffer(held["ids"], np.int64)
+            return table(none, none, none, none, none)
+        held = {k: graphs.column(k)[0].as_py() for k in ("ids", "rows", "chunks", "vectors", "ground", "upper", "level")}
+        ids, copies = np.frombuffer(held["ids"], np.int64), np.frombuffer(held["rows"], np.int64)
+        chunks = np.frombuffer(held["chunks"], np.int32)
         vectors = np.frombuffer(held["vectors"], np.float64).reshape(len(ids), -1)
         graph = Graph.of_parts(units(vectors), held["ground"], held["upper"], held["level"])
         own, mine = rows.column("cls").to_numpy(), _matrix(rows.column("vector"), rows.num_rows)
+        home, own_copies = rows.column("home").to_numpy(), rows.column("n").to_numpy()
+        chunk, shard = rows.column("chunk")[0].as_py(), rows.column("shard")[0].as_py()
         q, g, _ = links_in(graph, units(mine), threshold)
+        # The pair is this task's if the lower class is of its chunk and the higher one of its shard, whichever end found it.
+        here = (own[q] < ids[g]) | ((own[q] > ids[g]) & (home[q] == shard) & (chunks[g] == chunk))
+        q, g = q[here], g[here]
         norms, own_norms = np.sqrt((vectors * vectors).sum(axis=1)), np.sqrt((mine * mine).sum(axis=1))
         linked = np.zeros(len(q), bool)
         for low in range(0, len(q), 50_000):
             s = slice(low, low + 50_000)
             cosine = (mine[q[s]] * vectors[g[s]]).sum(axis=1) / (own_norms[q[s]] * norms[g[s]])
-            linked[s] = (cosine >= threshold) & (own[q[s]] != ids[g[s]])
-        if not linked.any():
-            return empty
-        a, b = own[q[linked]], ids[g[linked]]
-        node, root = forest(a, b)
-        tree = np.arange(len(a) + len(node)) >= len(a)
-        return pa.table({"a": pa.array(np.concatenate([a, node])), "b": pa.array(np.concatenate([b, root])), "tree": pa.array(tree)})
+            linked[s] = cosine >= threshold
+        q, g = q[linked], g[linked]
+        a, b = np.minimum(own[q], ids[g]), np.maximum(own[q], ids[g])
+        # Both ends may have found it.
+        _, once = np.unique(np.stack([a, b]), axis=1, return_index=True) if len(a) else (none, none)
+        q, g = q[once], g[once]
+        node, root = forest(own[q], ids[g]) if len(q) else (none, none)
+        return table(own[q], ids[g], np.concatenate([copies[g], own_copies[q]]), node, root)
 
     return work
 
 
 def links(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(links, trees) for rows (cls, label, dim, vector): classes whose cosine reaches the threshold.
+    """(counts, trees) for rows (cls, label, dim, vector, n): what reaches the threshold among classes of ``n`` rows.
 
-    ``links``: (a, b) in both directions; ``trees``: (a, b), few edges that connect what the links connect.
+    ``counts``: (cls, others), rows of other classes linked with each; ``trees``: (a, b), few edges that connect what links connect.
     """
-    sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+    sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("classes"))
     sizes = sizes.select(
         F.col("label").alias("l"),
         F.col("dim").alias("d"),
-        F.ceil(F.col("n") * F.col("dim") * 8 / SHARD_BYTES).cast("int").alias("shards"),
-        F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks"),
+        F.ceil(F.col("classes") * F.col("dim") * 8 / SHARD_BYTES).cast("int").alias("shards"),
+        F.ceil(F.col("classes") / CHUNK_ROWS).cast("int").alias("chunks"),
     )
     dealt = classes.join(materialise(sizes, "labels"), (F.col("label") == F.col("l")) & (F.col("dim") == F.col("d")))
     dealt = materialise(
         dealt.select(
-            "cls", "label", "dim", "vector", "shards", "chunks",
+            "cls", "label", "dim", "vector", "n", "shards", "chunks",
             F.pmod(F.xxhash64("cls"), F.col("shards")).cast("int").alias("shard"),
             F.pmod(F.xxhash64("cls", F.lit(1)), F.col("chunks")).cast("int").alias("chunk"),
         ),
         "dealt",
     )
     parts = max(1, dealt.select("label", "dim", "shard", "chunk").distinct().count())
-    graphs = dealt.select("cls", "label", "dim", "shard", "vector").repartition(parts, "label", "dim", "shard")
+    graphs = dealt.select("cls", "label", "dim", "shard", "chunk", "n", "vector").repartition(parts, "label", "dim", "shard")
     graphs = materialise(graphs.groupBy("label", "dim", "shard").applyInArrow(_build, GRAPH), "graphs")
     # Each chunk meets each graph of its label.
-    asked = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    asked = asked.select("cls", "label", "dim", "shard", "chunk", "vector")
-    chunks = dealt.select(F.col("label").alias("l"), F.col("dim").alias("d"), F.col("chunks")).distinct()
+    asked = dealt.withColumn("home", F.col("shard")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    asked = asked.select("cls", "label", "dim", "shard", "chunk", "home", "n", "vector")
+    chunks = dealt.select(F.col("label").alias("l"), F.col("dim").alias("d"), F.col("chunks").alias("of")).distinct()
     met = graphs.join(chunks, (F.col("label") == F.col("l")) & (F.col("dim") == F.col("d")))
-    met = met.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("l", "d", "chunks")
+    met = met.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).drop("l", "d", "of")
     key = ["label", "dim", "shard", "chunk"]
     found = asked.repartition(parts, *key).groupBy(*key).cogroup(met.repartition(parts, *key).groupBy(*key))
     found = materialise(found.applyInArrow(_query(threshold), EDGES), "found")
-    one = found.where("NOT tree").select("a", "b")
-    return one.union(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), found.where("tree").select("a", "b")
+    counts = found.where("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
+    return counts, found.where("b IS NOT NULL").select("a", "b")
 
 
 def near_duplicates(
@@ -353,9 +374,7 @@ def near_duplicates(
         own = chosen.filter("sound").groupBy("label", "vector").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
         own = own.withColumns({"cls": F.monotonically_increasing_id(), "dim": F.size("vector")})
         own = materialise(own, "classes")
-        edges, trees = links(own.select("cls", "label", "dim", "vector"), threshold)
-        linked = edges.join(own.select(F.col("cls").alias("b"), "n"), "b").groupBy(F.col("a").alias("cls"))
-        linked = linked.agg(F.sum("n").alias("others"))
+        linked, trees = links(own.select("cls", "label", "dim", "vector", "n"), threshold)
         roots = components(trees, "a", "b").withColumnRenamed("node", "cls")
         joined = own.select("cls", "label", "vector", "n", "least").join(linked, "cls", "left").join(roots, "cls", "left")
         joined = materialise(joined.withColumn("root", F.coalesce("root", "cls")), "joined")

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
@@ -293,24 +293,35 @@ def _verify(words: int, threshold: tuple[int, int]):
 def verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
     """(a, b, links): a spanning forest of the links among classes of one group, and each one's linked documents.
 
-    ``docs``: (id, text); ``classes``: (cls, identity, least, n, size); ``groups``: (cls, root).
+    ``docs``: (id, text); ``classes``: (cls, identity, least, mark, n, size); ``groups``: (cls, root). A class's text is that
+    of its smallest id and ``mark``, so that rows which share an id, or have none, do not all meet.
     """
-    rows = materialise(classes.join(groups, "cls").select("cls", "root", "identity", "least", "n", "size"), "grouped")
+    rows = materialise(classes.join(groups, "cls").select("cls", "root", "identity", "least", "mark", "n", "size"), "grouped")
     large = rows.groupBy("root").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / EXACT_CHUNK, F.sum("size") / EXACT_GRAMS)).cast("int").alias("chunks")
     )
     dealt = _dealt(rows.join(materialise(large, "chunks"), "root"), "root", "chunks")
-    own = rows.select(F.col("cls").alias("c"), "identity", "least", "n")
-    own = own.hint("merge").join(docs.select("id", "text"), F.col("least").eqNullSafe(F.col("id")))
+    own = rows.select(F.col("cls").alias("c"), "identity", "least", "mark", "n")
+    texts = docs.select("id", "text", text_mark("text").alias("m"))
+    # Of copies without an id, one is enough.
+    nameless = texts.filter("id IS NULL").groupBy("id", "m").agg(F.first("text").alias("text")).select("id", "text", "m")
+    texts = texts.filter("id IS NOT NULL").unionByName(nameless)
+    own = own.hint("merge").join(texts, (F.col("mark") == F.col("m")) & F.col("least").eqNullSafe(F.col("id")))
     own = own.select("c", "identity", "n", "text")
     rows = dealt.join(own, F.col("cls") == F.col("c")).drop("c")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return by_groups(rows, ["root", "lo", "hi"], _verify(words, threshold), "a long, b long, links long", parts)
 
 
+def text_mark(column: str) -> Column:
+    """A short mark of a text; what it brings together is still told apart by its n-grams."""
+    return F.xxhash64(column)
+
+
 def _signed(docs: DataFrame, id_column: str, text_column: str, words: int, whole: bool) -> DataFrame:
     extra = [F.struct("*").alias("row")] if whole else []
     chosen = docs.select(F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text"), *extra)
+    chosen = chosen.withColumn("mark", text_mark("text"))
     schema = chosen.drop("text").schema
     for name, kind in (("cls", "binary"), ("size", "integer"), ("signature", "binary")):
         schema = schema.add(name, kind)
@@ -331,10 +342,12 @@ def join(
     """
     with scratch(docs.sparkSession):
         rows = _signed(docs, id_column, text_column, words, whole=False)
-        rows = materialise(rows.select("id", "cls", "size", "signature"), "signed")
+        rows = materialise(rows.select("id", "mark", "cls", "size", "signature"), "signed")
         classes = rows.filter("cls IS NOT NULL").groupBy(F.col("cls").alias("identity")).agg(
-            F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("signature").alias("signature")
+            F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("first"), F.count(F.lit(1)).alias("n"),
+            F.first("size").alias("size"), F.first("signature").alias("signature"),
         )
+        classes = classes.select("identity", F.col("first.id").alias("least"), F.col("first.mark").alias("mark"), "n", "size", "signature")
         classes = materialise(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
         groups = components(candidates(classes, threshold[0] / threshold[1]), "a", "b").withColumnRenamed("node", "cls")
         texts = docs.select(F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))

@@ -41,6 +41,18 @@ def test_decide(docs):
     assert sorted(got, key=repr) == brute(plain)
 
 
+@pytest.mark.parametrize("cut", [None, 0, 2**63 - 2])
+def test_the_largest_id_is_an_id(spark, cut):
+    top = 2**63 - 1
+    rows = [(top, "a"), (None, "a"), (top, "b"), (None, "c"), (None, "c"), (5, "d"), (top, "d"), (-(2**63), "e"), (top, "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["digest"].hex(): (r["keep_id"], r["group_size"]) for r in exact_dedup.groups_of(exact_dedup.digests(df), cut).collect()}
+    assert got == {d: (keep, n) for _, keep, n, _, d in brute(rows)}
+    assert sorted((r["doc_id"], r["text"]) for r in exact_dedup.keep_first(df).collect() if r["doc_id"] is not None) == [
+        (-(2**63), "e"), (5, "d"), (top, "a"), (top, "b"),
+    ]
+
+
 def test_one_row_of_each_text_stays_whole(docs):
     kept = exact_dedup.keep_first(docs)
     assert kept.schema == docs.schema

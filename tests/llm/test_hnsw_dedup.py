@@ -59,6 +59,56 @@ def test_links_and_components(spark, shard_bytes, monkeypatch):
     assert got(frame) == brute(rows)
 
 
+def clustered(n, dims=16, seed=9):
+    """Groups of a few near vectors of one label, at all distances about the threshold."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 8, dims))
+    return centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, dims)) * rng.uniform(0.1, 0.35, size=(n, 1))
+
+
+def test_recall_of_the_query_over_several_shards(spark, monkeypatch):
+    """Six thousand vectors of one label through the graphs of six shards, against all exact links."""
+    monkeypatch.setattr(hnsw_dedup, "SHARD_BYTES", 1000 * 16 * 8)
+    monkeypatch.setattr(hnsw_dedup, "CHUNK_ROWS", 2000)
+    points = clustered(6000)
+    rows = [(k, p.tolist(), 1) for k, p in enumerate(points)]
+    found = {i: (n, c) for i, n, c, _ in got(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))}
+    unit = hnsw_dedup.units(points)
+    exact = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    mine = np.array([found[k][0] for k in range(6000)])
+    recall = mine.sum() / exact.sum()
+    print("recall", recall, "of", exact.sum(), "links")
+    assert len(found) == 6000 and (mine <= exact).all() and recall >= 0.97
+    assert ((mine > 0) == (np.array([found[k][1] != k for k in range(6000)]) | (mine > 0))).all()
+
+
+def test_no_pair_is_written(spark, monkeypatch):
+    """A dense group: what the tasks pass on grows with its vectors, not with its links."""
+    monkeypatch.setattr(hnsw_dedup, "SHARD_BYTES", 300 * 8 * 8)
+    monkeypatch.setattr(hnsw_dedup, "CHUNK_ROWS", 400)
+    written = []
+    keep = hnsw_dedup.materialise
+
+    def watch(df, label, **how):
+        out = keep(df, label, **how)
+        if label == "found":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(hnsw_dedup, "materialise", watch)
+    rng = np.random.default_rng(1)
+    rows = [(k, (np.ones(8) + rng.normal(size=8) * 0.01).tolist(), 1) for k in range(900)]
+    out = got(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert all(r[1:] == (899, 0, r[0] == 0) for r in out)
+    assert written[0] <= 2 * 900 * 3 * 3  # counts and edges of each vector in each task it meets
+
+
+def test_awkward_rows_through_graphs(spark, monkeypatch):
+    monkeypatch.setattr(hnsw_dedup, "FIRST_BEAM", 4)
+    rows = vectors(120)
+    assert got(spark.createDataFrame([(*r, "c", 1, "v") for r in rows], SCHEMA)) == brute(rows)
+
+
 def test_empty(spark):
     assert got(spark.createDataFrame([], SCHEMA)) == []
 

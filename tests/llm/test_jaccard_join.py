@@ -63,6 +63,32 @@ def test_links_and_classes(spark, docs, chunk, monkeypatch):
     assert sorted(got, key=repr) == brute(rows)
 
 
+def test_a_third_of_the_rows_without_an_id(spark):
+    """Many classes whose smallest id is null, copies of one of them, and ids that several texts share."""
+    near = variants(90)
+    rows = [(None, t) for _, t in near[:40]] + [(None, near[0][1])] * 30 + [(7, t) for _, t in near[40:60]] + near[60:]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r["id"], r["n_links"], r["class_id"]) for r in jaccard_join.join(table).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+
+
+def test_each_class_brings_one_text(spark, monkeypatch):
+    """Rows without an id do not all meet: as many texts are fetched as there are classes."""
+    seen = []
+    grouped = jaccard_join.by_groups
+
+    def watch(df, keys, *rest):
+        if "text" in df.columns:
+            seen.append(df.select("cls").count())
+        return grouped(df, keys, *rest)
+
+    monkeypatch.setattr(jaccard_join, "by_groups", watch)
+    near = variants(60)
+    rows = [(None, t) for _, t in near] + [(None, near[0][1])] * 50
+    jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert seen and seen[0] <= len({shingles(t) for _, t in rows})
+
+
 def test_one_of_each_group_stays(spark, docs):
     kept = jaccard_join.keep_one(docs)
     assert kept.schema == docs.schema
