@@ -37,14 +37,16 @@ from tessera.llm.common import column_bytes, mix64, text_of
 from tessera.session import materialise
 
 #: Bytes of text that one slice holds, unless a single text is longer.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Distinct fingerprints that a task holds before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 19
 #: Bits of a bitmap for each fingerprint in it, and at most in all: 16 MB reach the executors.
 BITS_EACH = 16
 MAX_BITS = 1 << 27
 #: A word is joined by broadcast if it makes up more than one in so many of all words.
 HOT = 4096
+#: Parts of a group that are ranked apart before the best of each are ranked together.
+RANKED = 64
 
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -325,6 +327,10 @@ def mine(docs: DataFrame, rules: Rules = Rules(), text_column: str = "text", gro
         F.col("around").isNull() | (F.col("around") * 100 < F.col("a") * rules.share)
     )
     rows = kept.select("grp", "phrase", F.col("words").cast("int").alias("words"), "a", F.col("b.l").alias("l"), F.col("b.r").alias("r"), F.col("b.score").alias("score"))
-    order = Window.partitionBy("grp").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    best_first = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # No task holds more of a group than one part of it, or the best of all parts.
+    part = Window.partitionBy("grp", F.pmod(F.xxhash64("phrase"), F.lit(RANKED))).orderBy(*best_first)
+    rows = rows.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= rules.top)
+    order = Window.partitionBy("grp").orderBy(*best_first)
     ranked = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rules.top)
     return ranked.join(totals, "grp").select("grp", F.col("rank").cast("long").alias("rank"), "phrase", "words", "a", "l", "r", "n", "score")
