@@ -3,8 +3,8 @@
 Vectors are compared only within one label (and one dimension). Equal vectors form one class, so a vector
 that fills a third of the table is one node. The classes of a label are dealt by hash to shards of at most
 about ``SHARD_BYTES``; a shard's graph is built in one task and written. Each chunk of a label's classes
-then queries each graph of that label with a beam. A query whose whole beam lies above the threshold
-widens its beam; and a task audits itself against an exhaustive search of its shard, over a share of its own
+then queries each graph of that label with a beam. A query whose whole beam lies above the threshold widens its beam
+to the shard; and a task audits itself against an exhaustive search of its shard, over a share of its own
 queries and over probes placed at the threshold from known members, and doubles all beams until it finds at
 least ``RECALL`` of the links. A beam as wide as the shard is the shard itself, so the last widening is exact. Every link is
 verified in double precision from the vectors as they came, so none is below the threshold.
@@ -250,7 +250,8 @@ def _all_above(graph: Graph, queries: np.ndarray, beam: int, least: float) -> tu
             rows.append(part[q])
             hits.append(ids[q, k])
             again.append(part[full])
-        open_ones, beam = np.concatenate(again), beam * 4
+        # What fills its beam lies in a dense group: the next beam is as wide as the shard.
+        open_ones, beam = np.concatenate(again), n
     return (np.concatenate(rows), np.concatenate(hits)) if rows else (np.zeros(0, int), np.zeros(0, int))
 
 
@@ -306,9 +307,12 @@ def _query(threshold: float):
             cosine = (mine[q[s]] * vectors[g[s]]).sum(axis=1) / (own_norms[q[s]] * norms[g[s]])
             linked[s] = cosine >= threshold
         q, g = q[linked], g[linked]
-        a, b = np.minimum(own[q], ids[g]), np.maximum(own[q], ids[g])
-        # Both ends may have found it.
-        _, once = np.unique(np.stack([a, b]), axis=1, return_index=True) if len(a) else (none, none)
+        # Both ends may have found a pair whose ends are both of this chunk and this shard.
+        place = np.minimum(np.searchsorted(ids, own), len(ids) - 1)
+        inner = (ids[place] == own)[q] & (chunks[g] == chunk)
+        i, j = place[q[inner]], g[inner]
+        _, first = np.unique(np.minimum(i, j) * len(ids) + np.maximum(i, j), return_index=True)
+        once = np.concatenate([np.flatnonzero(~inner), np.flatnonzero(inner)[first]])
         q, g = q[once], g[once]
         node, root = forest(own[q], ids[g]) if len(q) else (none, none)
         return table(own[q], ids[g], np.concatenate([copies[g], own_copies[q]]), node, root)
