@@ -14,7 +14,7 @@
 
 Labelled rows are bounded by ``LABELLED_ROWS``, chosen by hash from each label, of the rarer one all up to half of them, and
 weighted back. Ids that carry both labels are no label; neither are nulls. Null texts count as empty and are scored
-like them. Without labels of both classes every score is 0; with labels but no telling entry the pattern voters
+like them. With fewer than ``LEAST_LABELLED`` labelled documents of either class nothing is learned and every score is 0; with labels but no telling entry the pattern voters
 decide. Repeated rows are scored each. Texts are read whole, and voted on once.
 """
 
@@ -34,6 +34,8 @@ from tessera.session import materialise
 
 #: Labelled rows that the lexicon and the model's start are taken from, at most (about).
 LABELLED_ROWS = 20_000
+#: Labelled documents of each class without which a model of two classes could name either one toxic.
+LEAST_LABELLED = 5
 #: Lengths of word beginnings, and rows of class 1 that must hold an entry.
 BEGINNINGS, LEAST_ROWS = (4, 5), 2
 #: How many times likelier an entry is in class 1, at least, and the evidence (in nats) beyond which it is no chance.
@@ -281,7 +283,8 @@ def score(
     known, weight = labelled(docs, labels, usable, id_column, text_column, label_column)
     source = docs.select(F.struct("*").alias("row"), id_column, text_column) if whole_rows else docs
     extra = ["row"] if whole_rows else []
-    if len(weight) < 2:
+    there = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    if min(there.get(0, 0), there.get(1, 0)) < LEAST_LABELLED:
         return source.select(F.col(id_column).alias("id"), *extra, F.lit(0.0).alias("score"))
     # Two thirds of the labelled rows make the lexicon, the others start the label model.
     first = F.pmod(F.crc32(F.concat(F.lit("part"), F.col("id").cast("string")).cast("binary")), F.lit(3)) != 0
@@ -290,6 +293,9 @@ def score(
     rows = materialise(votes(source, entries, id_column, text_column, extra), "votes")
     patterns = rows.groupBy("mask").count().collect()  # at most 2^VOTERS
     start = votes(known.filter(~first), entries, "id", "text", ["label"]).groupBy("mask", "label").count().collect()
+    if len({r["label"] for r in start}) < 2:
+        # So few labels that a third of them lacks a class: all of them start the model.
+        start = votes(known, entries, "id", "text", ["label"]).groupBy("mask", "label").count().collect()
     masks = np.array(sorted({r["mask"] for r in patterns} | {r["mask"] for r in start}), dtype=np.int64)
     at = {int(m): k for k, m in enumerate(masks)}
     counts, by_label = np.zeros(len(masks)), np.zeros((2, len(masks)))

@@ -84,6 +84,16 @@ def test_without_a_telling_entry_the_patterns_decide(spark):
     assert np.mean([got[k] >= 0.5 for k in range(0, 400, 10)]) > 0.9 and np.mean([got[k] >= 0.5 for k in range(400) if k % 10]) < 0.01
 
 
+def test_labels_without_documents_condemn_nothing(spark, docs):
+    """Both classes are labelled, but the documents there are hold one of them at most."""
+    far = [(10**6 + k, k % 2) for k in range(50)]
+    for near in ([], [(3, 0), (5, 0)], [(3, 1), (5, 1)]):
+        labels = spark.createDataFrame(far + near, "doc_id long, toxic int")
+        assert {r["score"] for r in toxicity.score(docs, labels, F.lit(True)).collect()} == {0.0}
+    few = spark.createDataFrame([(3, 1), (30, 0), (31, 0), (36, 0), (32, 0)], "doc_id long, toxic int")
+    assert toxicity.drop_toxic(docs, few, F.lit(True)).count() > docs.count() // 2
+
+
 def test_rare_labels_are_all_in_the_sample(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "LABELLED_ROWS", 200)
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
