@@ -8,7 +8,8 @@ larger budget always takes a superset of what a smaller one takes.
 
 The source ends at whichever side of the last hash is nearer to the target. Documents are taken whole.
 Null texts have size 0, null sources form a source of their own, ranked last. Rows that repeat an id
-and a text have one hash and are taken or left together. Empty tables give empty results.
+and a text have one hash; where the budget ends among them, as many are taken as come nearest to it, counted
+off by file part, so that no task holds them all. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -67,7 +68,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
 
 
 def _thresholds(rows: DataFrame, shares: DataFrame) -> DataFrame:
-    """(source, source_size, target, epochs, below): hashes under ``below`` are taken once more."""
+    """(source, source_size, target, epochs, below, tied, extra): hashes under ``below`` are taken once more,
+    and of the rows that share the hash ``tied``, if it is not null, ``extra`` rows.
+    """
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     open_ones = shares.withColumn("epochs", epochs.cast("long")).select(
         "*",
@@ -83,17 +86,19 @@ def _thresholds(rows: DataFrame, shares: DataFrame) -> DataFrame:
             edge, F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("h", HASH_BITS - bits) == F.col("p"))
         )
         histogram = inside.groupBy("s", F.shiftright("h", shift).alias("bucket")).agg(
-            F.sum("size").alias("words"), F.min("h").alias("low"), F.max("h").alias("high")
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"), F.min("h").alias("low"), F.max("h").alias("high")
         )
         # At most 2^LEVEL_BITS rows for each source.
         running = Window.partitionBy("s").orderBy("bucket")
         histogram = histogram.withColumn("upto", F.sum("words").over(running))
         met = open_ones.join(histogram, F.col("source").eqNullSafe(F.col("s")) & (F.col("upto") > F.col("budget")), "left")
         first = met.groupBy("source", "source_size", "target", "epochs", "budget").agg(
-            F.min_by(F.struct("bucket", "words", "upto", "low", "high"), "bucket").alias("b")
+            F.min_by(F.struct("bucket", "words", "upto", "docs", "low", "high"), "bucket").alias("b")
         )
         before = F.col("b.upto") - F.col("b.words")
-        nearer = (F.col("b.upto") - F.col("budget")) < (F.col("budget") - before)
+        # Rows of one hash have one size. Of a single row this is whether its end is nearer than its start.
+        extra = F.ceil((F.col("budget") - before) * F.col("b.docs") / F.col("b.words") - 0.5)
+        split = (F.col("b.low") == F.col("b.high")) & (extra > 0) & (extra < F.col("b.docs"))
         step = materialise(
             first.select(
                 "source", "source_size", "target", "epochs",
@@ -102,17 +107,39 @@ def _thresholds(rows: DataFrame, shares: DataFrame) -> DataFrame:
                 F.coalesce(F.col("b.low") == F.col("b.high"), F.lit(True)).alias("closed"),
                 # No bucket passes the budget: the source is taken whole once more.
                 F.when(F.col("b").isNull(), F.lit(1 << HASH_BITS))
-                .otherwise(F.when(nearer, F.col("b.low") + 1).otherwise(F.col("b.low"))).alias("below"),
+                .otherwise(F.when(extra >= F.col("b.docs"), F.col("b.low") + 1).otherwise(F.col("b.low"))).alias("below"),
+                F.when(split, F.col("b.low")).alias("tied"),
+                F.when(split, extra).cast("long").alias("extra"),
             ),
             "thresholds",
         )
-        done = step.filter("closed").select("source", "source_size", "target", "epochs", "below")
+        done = step.filter("closed").drop("closed", "budget", "prefix")
         found = done if found is None else found.union(done)
-        open_ones, bits = step.filter("not closed").drop("closed", "below"), bits + LEVEL_BITS
+        open_ones, bits = step.filter("not closed").drop("closed", "below", "tied", "extra"), bits + LEVEL_BITS
         if bits >= HASH_BITS or open_ones.isEmpty():
             return found
 
 
+def _counted(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """``rows`` (with source and h) beside the limits of their sources, and ``copies``, how often each is taken."""
+    met = rows.join(limits.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    once = F.when(F.col("h") < F.col("below"), 1).otherwise(0)
+    if limits.filter("tied is not null").isEmpty():
+        return met.withColumn("copies", F.col("epochs") + once)
+    at_edge = F.coalesce(F.col("h") == F.col("tied"), F.lit(False))
+    tied = met.filter(at_edge).withColumn("place", F.monotonically_increasing_id())
+    # Written, so that a row keeps its place. The upper bits tell the part, the lower ones order the rows in it.
+    tied = materialise(tied, "ties").withColumn("part", F.shiftright("place", 33))
+    parts = tied.groupBy(F.col("source").alias("s"), F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    tied = tied.withColumn("rank", F.row_number().over(Window.partitionBy("source", "part").orderBy("place")))
+    tied = tied.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    more = F.when(F.col("earlier") + F.col("rank") <= F.col("extra"), 1).otherwise(0)
+    tied = tied.withColumn("copies", F.col("epochs") + more).drop("place", "part", "s", "p", "rank", "earlier")
+    return met.filter(~at_edge).withColumn("copies", F.col("epochs") + once).unionByName(tied)
+
+
 def mix(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -130,11 +157,7 @@ def mix(
         "sizes",
     )
     limits = materialise(_thresholds(rows, targets(rows, weights, max_epochs)), "limits")
-    limits = limits.withColumnRenamed("source", "s")
-    copies = F.col("epochs") + F.when(F.col("h") < F.col("below"), 1).otherwise(0)
-    return rows.join(limits, F.col("source").eqNullSafe(F.col("s"))).select(
-        "id", "h", "source", "size", "source_size", "target", copies.alias("copies")
-    )
+    return _counted(rows, limits).select("id", "h", "source", "size", "source_size", "target", "copies")
 
 
 def take(
@@ -151,9 +174,8 @@ def take(
     )
     limits = materialise(limits, "sizes")
     limits = materialise(_thresholds(limits, targets(limits, weights, max_epochs)), "limits")
-    limits = limits.select(F.col("source").alias("s"), "epochs", "below")
     whole = docs.select(
         F.struct("*").alias("row"), F.col(source_column).alias("source"), hash_of(id_column, text_column).alias("h")
-    ).join(limits, F.col("source").eqNullSafe(F.col("s")))
-    copies = (F.col("epochs") + F.when(F.col("h") < F.col("below"), 1).otherwise(0)).cast("int")
-    return whole.filter(copies > 0).select("row", F.explode(F.sequence(F.lit(1), copies))).select("row.*")
+    )
+    taken = _counted(whole, limits.drop("source_size", "target")).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -38,14 +38,15 @@ def brute(rows):
     targets, out = brute_targets(sizes), []
     for s, docs in by_source.items():
         epochs = int(targets[s] // sizes[s]) if sizes[s] else 0
-        budget, upto, below = targets[s] - epochs * sizes[s], 0, 1 << 60
-        for h in sorted({h for h, _, _ in docs}):
-            words = sum(n for x, _, n in docs if x == h)
-            if upto + words > budget:
-                below = h + 1 if upto + words - budget < budget - upto else h
-                break
-            upto += words
-        out += [(i, n, sizes[s], float(targets[s]), n * (epochs + (h < below))) for h, i, n in docs]
+        # One row after another in the order of hashes, up to whichever end is nearer to the budget.
+        budget, upto, full = targets[s] - epochs * sizes[s], 0, False
+        for _, i, n in sorted(docs, key=lambda d: d[0]):
+            if not full and upto + n > budget:
+                full, more = True, upto + n - budget < budget - upto
+            else:
+                more = not full
+            upto += n
+            out.append((i, n, sizes[s], float(targets[s]), n * (epochs + more)))
     return sorted(out, key=repr)
 
 
@@ -78,6 +79,20 @@ def test_many_sources_come_near_their_targets(spark):
     assert all(abs(taken[k] - target[k]) <= 37 for k in taken)
 
 
+def test_many_rows_of_one_hash_are_split(spark):
+    """A source of one text and null ids comes near its target, the rows in many parts; other columns stay whole."""
+    rows = [(None, "one two three", "s0", k) for k in range(3000)]
+    rows += [(k, "w " * (1 + k % 5), f"s{k % 2 + 1}", k) for k in range(1500)] + [(None, "a b", None, k) for k in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long").repartition(12)
+    found = got(frame)
+    same(found, brute([r[:3] for r in rows]))
+    for s in (9000, 1800):
+        assert abs(sum(r[4] for r in found if r[2] == s) - next(r[3] for r in found if r[2] == s)) <= 1.5
+    taken = mixing.take(frame).collect()
+    assert len({r["extra"] for r in taken if r["source"] == "s0"}) == min(3000, sum(r[4] for r in found if r[2] == 9000) // 3)
+    assert sum(size(r["text"]) for r in taken) == sum(r[4] for r in found)
+
+
 def test_rows_are_repeated_whole(docs):
     taken = mixing.take(docs)
     assert taken.schema == docs.schema
