@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,6 +40,23 @@ def result_rows(trace: DataFrame) -> DataFrame:
     return trace.select("event", "timestamp", "rows", F.posexplode("data").alias("position", "record"))
 
 
+def typed_rows(trace: DataFrame, fields: Mapping[str, tuple[str, str]], column: str = "data") -> DataFrame:
+    """One row per result record of a ``variant`` column, with ``fields``: name -> (path, type).
+
+    Records may be nested; a field is read with its own type. It is null where the record has no such path, or a
+    value there that its type cannot hold. A payload that is not a list is one record. Lines without a payload,
+    or with an empty list or JSON's null, give no rows.
+    """
+    given = F.when(~F.is_variant_null(column), F.col(column))
+    listed = F.coalesce(F.try_variant_get(given, "$", "array<variant>"), F.when(given.isNotNull(), F.array(given)))
+    records = trace.select("event", "timestamp", "rows", F.posexplode(listed).alias("position", "record"))
+    read = {name: F.try_variant_get("record", path, kind) for name, (path, kind) in fields.items()}
+    clash = set(read) & {"event", "timestamp", "rows", "position", "record"}
+    if clash:
+        raise ValueError(f"field names in use: {', '.join(sorted(clash))}")
+    return records.withColumns(read).drop("record")
+
+
 #: Equal parts that a range of values is cut into by one reading of the log.
 _PARTS = 1 << 20
 

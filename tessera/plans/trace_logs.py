@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import traces
+from tessera.functions.dates import truncate
+from tessera.operators import sketches, traces
 from tessera.plans.tables import read_table
-from tessera.session import new_path
+from tessera.session import materialise, new_path
 from tessera.sources.records import write_records
 from tessera.sources.traces import read_trace
 
@@ -73,6 +74,49 @@ def trace_result_rows(spark, sf):
     )
 
 
+def trace_typed_rows(spark, sf):
+    """Result records with a nested part, written as JSON and read back with their types."""
+    purchases = read_table(spark, sf, "events").where(F.col("event_type") == "purchase")
+    record = F.struct(
+        F.col("user_id").alias("user"),
+        F.struct(F.col("event_id").alias("id"), F.col("value").alias("amount")).alias("event"),
+        (F.col("value") >= 50).alias("large"),
+    )
+    lines = purchases.select(
+        F.col("event_type").alias("event"), F.col("ts").alias("timestamp"), F.lit(1).cast("bigint").alias("rows"),
+        F.array(record).alias("data"),
+    )
+    path = new_path(spark, "typed-trace")
+    write_records(lines, path)
+    fields = {
+        "user": ("$.user", "bigint"), "event_id": ("$.event.id", "bigint"), "amount": ("$.event.amount", "double"),
+        "large": ("$.large", "boolean"),
+    }
+    trace = read_trace(spark, path, "event string, timestamp timestamp_ntz, rows bigint, data variant")
+    return traces.typed_rows(trace, fields).drop("event")
+
+
+def trace_latency_months(spark, sf):
+    """Latency by month from sketches stored by day. The marks differ from run to run within the stated error, so
+    what is reported is their count, the exact ends, and whether each mark's rank holds against all values."""
+    events = read_table(spark, sf, "events").select("event_type", "value", F.col("ts").cast("date").alias("day"))
+    keys = {"event_type": F.col("event_type"), "day": F.col("day")}
+    days = sketches.store(events, keys, "value", new_path(spark, "latency-days"))
+    months = {"event_type": F.col("event_type"), "month": truncate(F.col("day"), "month")}
+    # Written, as a mark must be the same wherever it is read.
+    marks = materialise(sketches.quantiles(sketches.merge(days, months), (0, *QUANTILES, 1)), "latency-months")
+    values = events.select(*[c.alias(f"of_{name}") for name, c in months.items()], "value")
+    same = F.col("event_type").eqNullSafe(F.col("of_event_type")) & F.col("month").eqNullSafe(F.col("of_month"))
+    met = marks.join(values, same, "left").groupBy(*months, "n", "p0", "p50", "p95", "p100")
+    error, checks = 2 * sketches.rank_error(), {}
+    for q in QUANTILES:
+        mark = F.col(f"p{q * 100:g}")
+        below, upto = F.count_if(F.col("value") < mark), F.count_if(F.col("value") <= mark)
+        checks[f"{q * 100:g}"] = (below <= F.lit(q + error) * F.col("n")) & (upto >= F.lit(q - error) * F.col("n"))
+    held = met.agg(*[c.alias(f"p{name}_within_error") for name, c in checks.items()])
+    return held.drop("p50", "p95").withColumnsRenamed({"p0": "lowest", "p100": "highest"})
+
+
 def trace_latency(spark, sf):
     stats = traces.latency(read_table(spark, sf, "events"), "event_type", "value", QUANTILES)
     rounded = {c: F.round(c, 6) for c in ("avg_latency", "p50_latency", "p95_latency")}
@@ -86,6 +130,8 @@ QUERIES = {
     "trace_lineage": trace_lineage,
     "trace_result_rows": trace_result_rows,
     "trace_latency": trace_latency,
+    "trace_typed_rows": trace_typed_rows,
+    "trace_latency_months": trace_latency_months,
 }
 
 ORACLE = {
@@ -111,4 +157,12 @@ ORACLE = {
         SELECT event_type, COUNT(value) AS n, ROUND(AVG(value), 6) AS avg_latency, MAX(value) AS max_latency,
                ROUND(QUANTILE_CONT(value, 0.5), 6) AS p50_latency, ROUND(QUANTILE_CONT(value, 0.95), 6) AS p95_latency
         FROM events GROUP BY ALL""",
+    "trace_typed_rows": """
+        SELECT ts AS timestamp, 1::BIGINT AS rows, 0 AS position, user_id AS user, event_id, value AS amount,
+               value >= 50 AS large
+        FROM events WHERE event_type = 'purchase'""",
+    "trace_latency_months": """
+        SELECT event_type, CAST(DATE_TRUNC('month', ts) AS DATE) AS month, COUNT(value) AS n, MIN(value) AS lowest,
+               MAX(value) AS highest, TRUE AS p50_within_error, TRUE AS p95_within_error
+        FROM events GROUP BY ALL""",
 }

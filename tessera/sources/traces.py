@@ -12,6 +12,9 @@ TRACE_SCHEMA = """
     lineage_source array<string>
 """
 
+# The same with result records of any depth, whose values keep their types.
+TYPED_TRACE_SCHEMA = TRACE_SCHEMA.replace("array<map<string,string>>", "variant")
+
 
 def read_trace(spark: SparkSession, path: str, schema: str = TRACE_SCHEMA) -> DataFrame:
     """Trace lines under an explicit schema, so that no pass is spent on inferring one."""

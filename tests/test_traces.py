@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import traces
 from tessera.session import materialise
-from tessera.sources.traces import read_trace
+from tessera.sources.traces import TYPED_TRACE_SCHEMA, read_trace
 
 # Lines of our own in the form of a trace.
 LINES = """
@@ -41,6 +41,34 @@ def test_batch(spark, folder):
     assert asked.first().q == "SELECT 1"
 
 
+def test_typed_records(spark, tmp_path):
+    """Nested values and numbers are read back with their types."""
+    payloads = [
+        '[{"open":731,"share":48.5,"by":{"region":"EU","top":[{"id":9007199254740993}]}},{"open":"many","late":true}]',
+        '{"open":3}', "[]", "null", '[null,{"by":{"region":null}}]', "17",
+    ]
+    lines = [f'{{"event":"step.result","rows":{k},"data":{p}}}' for k, p in enumerate(payloads)]
+    (tmp_path / "trace.jsonl").write_text("\n".join([*lines, '{"event":"run.start"}']))
+    fields = {
+        "open": ("$.open", "bigint"), "share": ("$.share", "double"), "region": ("$.by.region", "string"),
+        "top": ("$.by.top[0].id", "bigint"), "late": ("$.late", "boolean"), "by": ("$.by", "map<string,variant>"),
+    }
+    trace = read_trace(spark, str(tmp_path), TYPED_TRACE_SCHEMA)
+    found = traces.typed_rows(trace, fields)
+    assert dict(found.dtypes)["top"] == "bigint" and dict(found.dtypes)["share"] == "double"
+    rows = found.select("rows", "position", "open", "share", "region", "top", "late", F.map_keys("by").alias("by")).collect()
+    assert sorted(map(tuple, rows), key=lambda r: r[:2]) == [
+        (0, 0, 731, 48.5, "EU", 9007199254740993, None, ["region", "top"]),
+        (0, 1, None, None, None, None, True, None),
+        (1, 0, 3, None, None, None, None, None),
+        (4, 0, None, None, None, None, None, None),
+        (4, 1, None, None, None, None, None, ["region"]),
+        (5, 0, None, None, None, None, None, None),
+    ]
+    with pytest.raises(ValueError, match="position"):
+        traces.typed_rows(trace, {"position": ("$.x", "int")})
+
+
 def test_argument_fallback(spark):
     given = ['{"sql":"a","query":"b"}', '{"sql":"","query":"b"}', '{"x":"c","sql":""}', "{}", "oops", None]
     df = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, g string")
