@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,11 @@ from tessera.functions.numbers import decimals_as_doubles
 from tessera.operators import rollups, semantic
 from tessera.operators.exposure import within_last
 from tessera.operators.rollups import Rollups
-from tessera.operators.semantic import SemanticQuery, run
+from tessera.operators.semantic import Join, SemanticQuery, run
 from tessera.plans import tables
 from tessera.plans.tables import read_table
 from tessera.session import new_path
-from tessera.sources.catalog import Catalog, governed_sql
+from tessera.sources.catalog import Catalog, governed_sql, save_colocated
 from tessera.sources.records import write_records
 from tessera.sources.spine import spine_over
 
@@ -136,6 +137,22 @@ def revenue_by_region_multihop(spark, sf):
     )
 
 
+def revenue_colocated(spark, sf):
+    """Orders and customers stored by customer: summed per customer and joined where they lie."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"{name}_{uuid.uuid4().hex}" for name in ("orders", "customer")]
+    frames = [(read_table(spark, sf, "orders"), ["o_custkey"]), (read_table(spark, sf, "customer"), ["c_custkey"])]
+    stored = save_colocated(dict(zip(names, frames, strict=True)), buckets, new_path(spark, "colocated"))
+    facts, buyers = (stored[name] for name in names)
+    for name in names:  # the frames know their files; the names served this query alone
+        spark.sql(f"DROP TABLE `{name}`")
+    customer = replace(tables.customer(spark, sf), frame=buyers)
+    joins = (Join("customer", customer, "customer_id", "c_custkey", preaggregate=True),)
+    model = replace(tables.orders(spark, sf), frame=facts, joins=joins)
+    asked = SemanticQuery.of(measures=["order_total:sum", "order_total:max", "*:count"], dimensions=["customer.c_mktsegment", "status"])
+    return decimals_as_doubles(run(model, asked))
+
+
 def measure_count(spark, sf):
     return _ask(spark, sf, measures=["*:count"], dimensions=["status"])
 
@@ -315,6 +332,7 @@ QUERIES = {
     "placed_last_n_days": placed_last_n_days,
     "normalise_query": normalise_query,
     "revenue_by_store": revenue_by_store,
+    "revenue_colocated": revenue_colocated,
     "revenue_by_region_multihop": revenue_by_region_multihop,
     "measure_count": measure_count,
     "measure_sum": measure_sum,
@@ -413,6 +431,10 @@ ORACLE = {
         FROM orders GROUP BY ALL""",
     "revenue_by_store": f"""
         SELECT n_name AS customer_nation_n_name, CAST({_TOTAL} AS DOUBLE) AS order_total_sum {_STORE} GROUP BY ALL""",
+    "revenue_colocated": f"""
+        SELECT c_mktsegment AS customer_c_mktsegment, o_orderstatus AS status, CAST({_TOTAL} AS DOUBLE) AS order_total_sum,
+               MAX(o_totalprice) AS order_total_max, COUNT(*) AS count
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
     "revenue_by_region_multihop": f"""
         SELECT r_name AS customer_nation_region_r_name, c_mktsegment AS customer_c_mktsegment,
                CAST({_TOTAL} AS DOUBLE) AS order_total_sum, COUNT(*) AS count

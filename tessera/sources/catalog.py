@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -19,6 +19,9 @@ from tessera.session import move, remove
 # Fixed value: the folder in which Spark keeps the rows whose partition column is null.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
+#: A bucket of more rows than this many times the average, and than ``SMALL_BUCKET``, is hot.
+HOT_BUCKET, SMALL_BUCKET = 4, 100_000
+
 
 def scan(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     """A parquet table; with a schema given, no footer is read to find it."""
@@ -78,6 +81,44 @@ def refresh_model(df: DataFrame, path: str, partition: str, values: Iterable) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def save_colocated(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], buckets: int, folder: str) -> dict[str, DataFrame]:
+    """Store tables that are joined on their keys so that the joins, and groupings by the key, need no shuffle.
+
+    ``tables``: catalogue name to (rows, key columns); keys have the same types in the same order. Each table is cut into
+    ``buckets`` by its key and has one file for each. A bucket is read by one task, so where any table has a bucket of more than
+    ``HOT_BUCKET`` times the average, all are stored uncut: their joins shuffle, and Spark splits the hot key. So it is with
+    keys that are often null. Names must be new in the catalogue; a table whose write fails leaves none behind.
+    """
+    kinds = {name: [df.schema[k].dataType for k in keys] for name, (df, keys) in tables.items()}
+    if not kinds or any(not k or k != next(iter(kinds.values())) for k in kinds.values()):
+        raise ValueError(f"tables stored together need keys of the same types: {kinds}")
+    spark = next(iter(tables.values()))[0].sparkSession
+    for name in tables:
+        if spark.catalog.tableExists(name):
+            raise ValueError(f"the catalogue has a table {name!r}")
+    cut = not any(_hot(df, keys, buckets) for df, keys in tables.values())
+    stored = {}
+    try:
+        for name, (df, keys) in tables.items():
+            stored[name] = f"{folder}/{name}"
+            # Dealt by the hash that buckets use: one task writes a bucket, and so one file.
+            rows = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys) if cut else df.write
+            rows.format("parquet").option("path", stored[name]).saveAsTable(name)
+    except Exception:
+        for name, path in stored.items():
+            spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+            remove(spark, path)
+        raise
+    return {name: spark.table(name) for name in tables}
+
+
+def _hot(df: DataFrame, keys: Sequence[str], buckets: int) -> bool:
+    """Whether one bucket is far larger than the average; small tables are as uneven as they like."""
+    sizes = df.groupBy(F.pmod(F.hash(*keys), F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return bool(total) and largest > max(HOT_BUCKET * total / buckets, SMALL_BUCKET)
+
+
 @dataclass
 class Catalog:
     """Semantic models by name; registering a known name again changes nothing."""
