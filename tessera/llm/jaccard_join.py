@@ -44,6 +44,8 @@ HASHES, STEP = BANDS * ROWS, 16
 TOLERANCE = 1e-7
 #: Classes of a bucket's chunk; classes and n-grams of a chunk that is verified.
 CHUNK, EXACT_CHUNK, EXACT_GRAMS = 2048, 1024, 400_000
+#: Texts, and bytes of text, that are signed at once in a task.
+SLICE_ROWS, SLICE_BYTES = 200, 1 << 20
 
 _rng = np.random.default_rng(20_240_805)
 _MULTIPLY = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,11 +82,23 @@ def _identity(grams_of: np.ndarray) -> bytes:
     return hashlib.blake2b(grams_of.tobytes(), digest_size=16).digest()
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows in order, of bounded text: the arrays of words are several times the text. A longer text comes alone."""
+    if not batch.num_rows:
+        return
+    _, offsets = column_bytes(batch.column("text"))
+    low = 0
+    while low < batch.num_rows:
+        fit = int(np.searchsorted(offsets, offsets[low] + SLICE_BYTES, side="right")) - 1
+        high = min(max(fit, low + 1), low + SLICE_ROWS)
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def _sign(words: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 200):
-                part = batch.slice(low, 200)
+            for part in _slices(batch):
                 sets = gram_sets(*column_bytes(part.column("text")), words)
                 made = {
                     "cls": pa.array([_identity(s) if len(s) else None for s in sets], pa.binary()),

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import jaccard_join
@@ -126,6 +128,28 @@ def test_signatures_estimate_similarity():
     assert abs((x == y).mean() - 0.8) < 0.12
 
 
+def test_long_texts_are_signed_in_bounded_memory(monkeypatch):
+    """60 texts of 20 000 words, an empty one, one longer than a slice and short ones: few at a time, the same signatures."""
+    draw = np.random.default_rng(3)
+    words = np.array([f"w{k}" for k in range(3000)])
+    texts = [" ".join(draw.choice(words, n)) for n in [20_000] * 60 + [0, 300_000] + [7] * 500]
+    assert len(texts[61]) > jaccard_join.SLICE_BYTES
+    rows = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+
+    def signed():
+        tracemalloc.start()
+        parts = list(jaccard_join._sign(5)(iter([rows.slice(0, 0), rows.slice(0, 50), rows.slice(50)])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return parts, peak
+
+    parts, peak = signed()
+    monkeypatch.setattr(jaccard_join, "SLICE_BYTES", 1 << 40)
+    whole, most = signed()
+    assert pa.Table.from_batches(parts).to_pydict() == pa.Table.from_batches(whole).to_pydict()
+    assert peak < 50 << 20 < most
+
+
 def test_components_against_union_find(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(k, k + 1) for k in range(500, 560)]
